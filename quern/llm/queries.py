@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quern.llm import exact_dedup
+from quern.llm import exact_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
 }
 
