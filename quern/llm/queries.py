@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import exact_dedup, suffix_dedup
+from quern.llm import bpe, exact_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_bpe": bpe.op3_bpe,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 SQL = {
