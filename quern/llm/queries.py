@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, exact_dedup, suffix_dedup, token_counts
+from quern.llm import bpe, chat, exact_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_bpe": bpe.op3_bpe,
+    "op8_chat_formatting": chat.op8_chat_formatting,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op8_chat_formatting": chat.OP8_SQL,
 }
