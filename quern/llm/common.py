@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -51,10 +50,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     stage, and frees the shuffle files behind it. The tables go when the driver ends, or with drop_written()."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
     _written.append((spark, path))
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go as soon as the table is there
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(clean, before) if before is not None else spark.conf.unset(clean)
     return spark.read.schema(df.schema).parquet(path)
 
 

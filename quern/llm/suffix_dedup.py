@@ -4,10 +4,10 @@ A string of min_bytes bytes that starts in two places also holds, in both, the s
 slices of ANCHOR bytes. So only suffixes at anchors are sorted first, one for about every 70 bytes. Sampled splitters range-partition
 them by their leading token (the fingerprint of the anchor's bytes) and next token (that of all bytes of the windows which the anchor
 stands for); each bucket sorts itself by multikey quicksort and compares neighbours, and the first and last suffix of each bucket are
-compared across boundaries. The last part of the sort key is a salt, so that splitters also cut runs of equal suffixes: a passage that a
+compared across boundaries. The sort key ends with the row's hash and the place in it, so that splitters also cut runs of equal suffixes: a passage that a
 third of all documents share spreads over many buckets. An anchor whose next token repeats repeats with all its windows; one whose leading
 token alone repeats is contested, and its windows, one suffix for each start, go through the same sort. Tokens are fingerprints: two
-different windows are taken for equal only if two independent 64-bit fingerprints of them agree.
+different windows are taken for equal only if two independent fingerprints of them, of 96 bits together, agree.
 """
 
 from __future__ import annotations
@@ -82,18 +82,14 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _salt(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (mix(x.astype(np.uint64) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(0x7FFF)).astype(np.int16)
-
-
 def _anchor_batches(size: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = utf8(batch.column("text"))
             ids, kids = batch.column("did").to_numpy(), batch.column("kid").to_numpy()
             for row, s1, s2, gram, tail in anchors(buf, offs, size, anchor):
-                cols = [_signed(gram), _signed(tail), _salt(kids[row].view(np.uint64), s1), ids[row], kids[row], s1.astype(np.int32), s2.astype(np.int32)]
-                yield pa.record_batch(cols, ["lead", "tail", "salt", "did", "kid", "s1", "s2"])
+                cols = [_signed(gram), _signed(tail), ids[row], kids[row], s1.astype(np.int32), s2.astype(np.int32)]
+                yield pa.record_batch(cols, ["lead", "tail", "did", "kid", "s1", "s2"])
 
     return run
 
@@ -121,8 +117,8 @@ def _window_batches(size: int):
                     for k in range(0, len(s), 1 << 16):
                         p = s[k : k + (1 << 16)]
                         start = p + at
-                        cols = [_signed(one.of(p, p + size)), _signed(two.of(p, p + size)), _salt(np.full(len(p), kids[i]).view(np.uint64), start), np.full(len(p), ids[i]), np.full(len(p), kids[i]), start.astype(np.int32), start.astype(np.int32)]
-                        yield pa.record_batch(cols, ["lead", "tail", "salt", "did", "kid", "s1", "s2"])
+                        cols = [_signed(one.of(p, p + size)), (two.of(p, p + size) >> np.uint64(32)).astype(np.int64), np.full(len(p), ids[i]), np.full(len(p), kids[i]), start.astype(np.int32), start.astype(np.int32)]
+                        yield pa.record_batch(cols, ["lead", "tail", "did", "kid", "s1", "s2"])
                     lo = hi
 
     return run
@@ -181,7 +177,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def compared(suffixes: DataFrame, name: str) -> DataFrame:
     """did, kid, s1, s2, kind of the suffixes whose tokens repeat: FULL or CHOSEN if both tokens do, GRAM if only the leading one."""
-    buckets = suffixes.repartitionByRange("lead", "tail", "salt").mapInArrow(
+    buckets = suffixes.repartitionByRange("lead", "tail", "kid", "s1").mapInArrow(
         _bucket, "did long, kid long, s1 int, s2 int, kind tinyint, edge tinyint, bucket int, lead long, tail long"
     )
     buckets = written(buckets, name)
@@ -233,7 +229,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("did", F.coalesce("doc_id", F.lit(-sys.maxsize - 1))).withColumn("kid", F.xxhash64("doc_id", "text"))
-    keys = "lead long, tail long, salt smallint, did long, kid long, s1 int, s2 int"
+    keys = "lead long, tail long, did long, kid long, s1 int, s2 int"
     kinds = compared(rows.select("did", "kid", "text").mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors")
     span = F.struct("s1", "s2")
     contested = kinds.where(f"kind IN ({GRAM}, {CHOSEN})").groupBy("did", "kid").agg(F.collect_set(span).alias("spans"))
