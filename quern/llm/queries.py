@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, chat, exact_dedup, suffix_dedup, token_counts
+from quern.llm import bpe, chat, exact_dedup, quality, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_bpe": bpe.op3_bpe,
+    "op6_url_filters": url_filter.op6_url_filters,
+    "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_chat_formatting": chat.op8_chat_formatting,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
