@@ -22,7 +22,7 @@ from quern.llm.common import chunks, gather, table, utf8
 #: The pattern by which byte-level tokenizers of this kind cut texts; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens that a worker remembers, and the longest of them in characters; longer ones are encoded each time.
-CACHE, CACHED_LENGTH = 400_000, 64
+CACHE, CACHED_LENGTH = 300_000, 64
 #: Characters of text that are encoded at once; pieces end where a pre-token does.
 PIECE = 1 << 20
 BORDER = regex.compile(r"\S(?=\s)")
@@ -100,8 +100,7 @@ class Bpe:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.word_text: list[str] = []
-        self.used = 0
+        self.words = self.used = 0
         self.flat, self.word_start, self.word_size = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def merged(self, text: bytes) -> list[int]:
@@ -242,7 +241,7 @@ class Bpe:
         for lo in range(0, len(new), 1 << 16):
             part = new[lo : lo + (1 << 16)]
             ids, sizes = self.encode_words([w.encode() for w in part])
-            n, end = len(self.word_text), self.used + len(ids)
+            n, end = self.words, self.used + len(ids)
             while end > len(self.flat):
                 self.flat = np.concatenate([self.flat, self.flat])
             while n + len(part) > len(self.word_start):
@@ -251,9 +250,7 @@ class Bpe:
             stops = np.cumsum(sizes)
             self.word_start[n : n + len(part)], self.word_size[n : n + len(part)] = self.used + stops - sizes, sizes
             self.known.update(zip(part, range(n, n + len(part)), strict=True))
-            said, stops = list(map(str, ids.tolist())), stops.tolist()
-            self.word_text += [",".join(said[a:b]) for a, b in zip([0, *stops], stops)]
-            self.used = end
+            self.words, self.used = n + len(part), end
 
     def pieces(self, text: str) -> Iterator[list[str] | int]:
         """Lists of pre-tokens, and ids of special strings between them."""
@@ -274,8 +271,8 @@ class Bpe:
         if at < len(part):
             yield self.find(part, at)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """All ids one after another, the number of each text's, and each text's ids in decimal, joined by commas."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and the number of each text's."""
         plan, needed = [], set()
         for text in texts:
             own = list(self.pieces(text))
@@ -286,24 +283,21 @@ class Bpe:
         if len(self.known) + len(needed) > CACHE:
             self._forget()
         self._learn(needed)
-        ids, counts, said = [], [], []
+        ids, counts = [], []
         for own in plan:
-            n, parts = 0, []
+            n = 0
             for x in own:
                 if isinstance(x, list):
                     k = np.fromiter(map(self.known.__getitem__, x), np.int64, len(x))
                     got = self.flat[gather(self.word_start[k], self.word_size[k])]
-                    parts.append(",".join([self.word_text[i] for i in k.tolist()]))
                 else:
                     got = np.array([x], np.int32)
-                    parts.append(str(x))
                 ids.append(got)
                 n += len(got)
             counts.append(n)
-            said.append(",".join(parts))
-        for w in [w for w in needed if len(w) > CACHED_LENGTH]:  # long ones don't recur; their place in the lists stays until these are forgotten
+        for w in [w for w in needed if len(w) > CACHED_LENGTH]:  # long ones don't recur; their place in the arrays stays until these are forgotten
             del self.known[w]
-        return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array(counts, np.int64), said
+        return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array(counts, np.int64)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ids."""
@@ -323,15 +317,20 @@ def loaded(path: str) -> Bpe:
     return _loaded[path]
 
 
-def _encode(path: str):
+def _texts(bpe: Bpe, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.array([t.decode("utf-8", "replace") for t in bpe.decode(ids, counts)], pa.string())
+
+
+def _encode(path: str, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
         for batch in batches:
             _, offs = utf8(batch.column("text"))
             for i, j in chunks(offs):
-                ids, counts, _ = bpe.encode(["" if t is None else t for t in batch.column("text")[i:j].to_pylist()])
+                ids, counts = bpe.encode(["" if t is None else t for t in batch.column("text")[i:j].to_pylist()])
                 stops = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.record_batch([batch.column("doc_id")[i:j], pa.ListArray.from_arrays(pa.array(stops), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
+                cols = [batch.column("doc_id")[i:j], pa.ListArray.from_arrays(pa.array(stops), pa.array(ids, pa.int32()))]
+                yield pa.record_batch([*cols, *([_texts(bpe, ids, counts)] if decode else [])], ["doc_id", "ids", "text"][: 2 + decode])
 
     return run
 
@@ -342,20 +341,19 @@ def _decode(path: str):
         for batch in batches:
             col = batch.column("ids")
             counts = np.diff(col.offsets.to_numpy()).astype(np.int64)
-            texts = [t.decode("utf-8", "replace") for t in bpe.decode(col.flatten().to_numpy(), counts)]
-            yield pa.record_batch([batch.column("doc_id"), col, pa.array(texts, pa.large_string()).cast(pa.string())], ["doc_id", "ids", "text"])
+            yield pa.record_batch([batch.column("doc_id"), col, _texts(bpe, col.flatten().to_numpy(), counts)], ["doc_id", "ids", "text"])
 
     return run
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids of each row, in its order, as the tokenizers library gives them without added special tokens, padding or truncation.
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """doc_id and ids of each row, and with decode also the text that the ids decode to, in one pass; ids are as the tokenizers library gives them without added special tokens, padding or truncation.
 
     path: a byte-level BPE file of that library, readable by every executor. Null text counts as empty and has no ids; null and repeated ids
     stay as they are; further columns are ignored; whole texts of any length are encoded, in pieces that end where pre-tokens do.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_encode(path), "doc_id long, ids array<int>")
+    return rows.mapInArrow(_encode(path, decode), "doc_id long, ids array<int>" + ", text string" * decode)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -365,7 +363,7 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
-    both = decoded(encoded(docs, path), path)
+    both = encoded(docs, path, decode=True)
     said = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
