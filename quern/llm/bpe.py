@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import chunks, gather, table, utf8
+from quern.llm.common import chunks, gather, in_batches, table, utf8
 
 #: The pattern by which byte-level tokenizers of this kind cut texts; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -353,13 +353,13 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     stay as they are; further columns are ignored; whole texts of any length are encoded, in pieces that end where pre-tokens do.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_encode(path, decode), "doc_id long, ids array<int>" + ", text string" * decode)
+    return in_batches(rows).mapInArrow(_encode(path, decode), "doc_id long, ids array<int>" + ", text string" * decode)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """doc_id, ids and the text of the ids, special tokens included. Bytes that aren't UTF-8 give U+FFFD; no ids, or null, an empty text."""
     rows = rows.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(_decode(path), "doc_id long, ids array<int>, text string")
+    return in_batches(rows).mapInArrow(_decode(path), "doc_id long, ids array<int>, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import table
+from quern.llm.common import in_batches, table
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: message: a whole text, which replaces any of its turn; without a turn, it is a new one after all before it. delta: more of the turn's text. edit: replaces the turn's text and drops later
@@ -135,7 +135,7 @@ def formatted(events: DataFrame) -> DataFrame:
     """
     rows = events.select(F.col("conv_id").cast("long"), F.col("seq").cast("long"), F.col("turn").cast("long"), "kind", "role", "text")
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "turn", "kind", "role", "text")
-    return dealt.select("conv_id", "turn", "kind", "role", "text").mapInArrow(_reconstruct, FORMATTED)
+    return in_batches(dealt.select("conv_id", "turn", "kind", "role", "text")).mapInArrow(_reconstruct, FORMATTED)
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,7 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digest(chats: DataFrame) -> DataFrame:
     """What is read back from formatted conversations."""
-    return chats.select("conv_id", "formatted", "spans").mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return in_batches(chats.select("conv_id", "formatted", "spans")).mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def logged(rows: DataFrame) -> DataFrame:

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that the vectorised code handles at once; its arrays hold eight bytes or more for each.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Bytes of an Arrow batch that goes to a worker at once.
+BATCH_BYTES = 8 << 20
 
 A_TO_Z, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +30,15 @@ def ascii_lower(col):
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, A_TO_Z, LOWER))
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, for mapInArrow. Sees to it that batches are bounded by bytes, not by rows alone: ten thousand rows of long texts wouldn't fit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = df.sparkSession.conf.get(key, None)
+    if now is None or now.startswith("-") or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

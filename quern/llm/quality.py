@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, table, utf8, words
+from quern.llm.common import TO_LOWER, Fingerprints, chunks, in_batches, table, utf8, words
 from quern.llm.labelled import remainder, sample
 
 #: Buckets of hashed words, length of the vectors, documents of each class in the training sample.
@@ -146,7 +146,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trained(docs: DataFrame, labels: DataFrame, label: str, where, per_class: int = PER_CLASS) -> Machine:
     """A machine from at most per_class documents of each class; only their features come to the driver."""
-    got = sample(docs, labels, label, where, per_class).mapInArrow(_extract, "y int, cols array<int>, vals array<double>, stats array<double>").collect()
+    got = in_batches(sample(docs, labels, label, where, per_class)).mapInArrow(_extract, "y int, cols array<int>, vals array<double>, stats array<double>").collect()
     got.sort(key=lambda r: (r.y, r.stats, r.cols))
     machine = Machine()
     shares = {r.y: r.n for r in labels.where(where).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
@@ -175,7 +175,7 @@ def scored(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col:
     """
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_score(shared), "doc_id long, score double")
+    return in_batches(rows).mapInArrow(_score(shared), "doc_id long, score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import CHUNK, Fingerprints, chunks, gather, mix, table, utf8, written
+from quern.llm.common import CHUNK, Fingerprints, chunks, gather, in_batches, mix, table, utf8, written
 
 #: Bytes of a slice whose hash may make it an anchor. Longer slices give more anchors but fewer contested windows.
 ANCHOR = 256
@@ -177,7 +177,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def compared(suffixes: DataFrame, name: str) -> DataFrame:
     """did, kid, s1, s2, kind of the suffixes whose tokens repeat: FULL or CHOSEN if both tokens do, GRAM if only the leading one."""
-    buckets = suffixes.repartitionByRange("lead", "tail", "kid", "s1").mapInArrow(
+    buckets = in_batches(suffixes.repartitionByRange("lead", "tail", "kid", "s1")).mapInArrow(
         _bucket, "did long, kid long, s1 int, s2 int, kind tinyint, edge tinyint, bucket int, lead long, tail long"
     )
     buckets = written(buckets, name)
@@ -230,13 +230,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("did", F.coalesce("doc_id", F.lit(-sys.maxsize - 1))).withColumn("kid", F.xxhash64("doc_id", "text"))
     keys = "lead long, tail long, did long, kid long, s1 int, s2 int"
-    kinds = compared(rows.select("did", "kid", "text").mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors")
+    kinds = compared(in_batches(rows.select("did", "kid", "text")).mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors")
     span = F.struct("s1", "s2")
     contested = kinds.where(f"kind IN ({GRAM}, {CHOSEN})").groupBy("did", "kid").agg(F.collect_set(span).alias("spans"))
-    windows = rows.select("did", "kid", "text").join(contested, ["did", "kid"]).select("did", "kid", "text", "spans").mapInArrow(_window_batches(min_bytes), keys)
+    windows = in_batches(rows.select("did", "kid", "text").join(contested, ["did", "kid"]).select("did", "kid", "text", "spans")).mapInArrow(_window_batches(min_bytes), keys)
     repeated = kinds.unionByName(compared(windows, "windows")).where(f"kind >= {FULL}").groupBy("did", "kid").agg(F.collect_set(span).alias("spans"))
     cut = rows.join(repeated, ["did", "kid"], "left").select("doc_id", "text", "spans")
-    return cut.mapInArrow(_cut(min_bytes), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
+    return in_batches(cut).mapInArrow(_cut(min_bytes), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

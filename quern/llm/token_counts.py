@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.bpe import PATTERN, vocabulary
-from quern.llm.common import chunks, table, utf8
+from quern.llm.common import chunks, in_batches, table, utf8
 
 #: Rows of the broadcast table, texts and characters of each in the sample that it comes from, pre-tokens in a worker's cache.
 FREQUENT, SAMPLE, SAMPLE_LENGTH, CACHE, CACHED_LENGTH = 32_768, 1_000, 4_096, 400_000, 64
@@ -114,7 +114,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_words(rows, path))
     rows = rows.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
-    counted = rows.mapInArrow(_count(path, frequent), "doc_id long, n_bytes long, n_tokens long")
+    counted = in_batches(rows).mapInArrow(_count(path, frequent), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

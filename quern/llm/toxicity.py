@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, table, utf8, words
+from quern.llm.common import TO_LOWER, Fingerprints, chunks, in_batches, table, utf8, words
 from quern.llm.labelled import remainder, sample
 
 #: Documents of each class in the training sample, features kept, and least documents and lift of a feature.
@@ -134,12 +134,12 @@ def trained(docs: DataFrame, labels: DataFrame, label: str, where, per_class: in
     rows = sample(docs, labels, label, where, per_class)
     sizes = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
-    counts = rows.mapInArrow(_gathered, "f long, ones long, zeros long").groupBy("f").agg(F.sum("ones").alias("a"), F.sum("zeros").alias("b"))
+    counts = in_batches(rows).mapInArrow(_gathered, "f long, ones long, zeros long").groupBy("f").agg(F.sum("ones").alias("a"), F.sum("zeros").alias("b"))
     lift = (F.col("a") / n1) / ((F.col("b") + 0.5) / n0)
     best = counts.where((F.col("a") >= LEAST_DOCS) & (lift >= LIFT)).orderBy(F.desc(F.col("a") * F.log(lift)), "f").limit(FEATURES)
     known = np.sort(np.array([r.f for r in best.select("f").collect()], np.int64).view(np.uint64))
     model = Model(known)
-    got = rows.mapInArrow(_pairs(known), "y int, sentences array<long>, features array<long>").collect()
+    got = in_batches(rows).mapInArrow(_pairs(known), "y int, sentences array<long>, features array<long>").collect()
     order = sorted(got, key=lambda r: (r.y, r.sentences, r.features))  # not by task, so that the model is the same each time
     model.train([(np.array(r.sentences, np.int64), np.array(r.features, np.int64)) for r in order], np.array([r.y for r in order], np.int64))
     return model
@@ -175,7 +175,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_score(shared, offending), "doc_id long, score double, offending array<struct<start:int,end:int,score:double>>")
+    return in_batches(rows).mapInArrow(_score(shared, offending), "doc_id long, score double, offending array<struct<start:int,end:int,score:double>>")
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7) -> DataFrame:
