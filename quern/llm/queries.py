@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, chat, exact_dedup, quality, suffix_dedup, token_counts, toxicity, url_filter
+from quern.llm import bpe, chat, decontamination, exact_dedup, ngram_join, quality, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_bpe": bpe.op3_bpe,
+    "op4_ngram_jaccard": ngram_join.op4_ngram_jaccard,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op6_url_filters": url_filter.op6_url_filters,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_chat_formatting": chat.op8_chat_formatting,
@@ -17,5 +19,6 @@ QUERIES = {
 
 SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op4_ngram_jaccard": ngram_join.OP4_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
 }
