@@ -265,6 +265,14 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     return out.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs (doc_id, text and others) whose doc_id is the least of their component; all columns stay. Rows without words and rows
+    with null ids all stay; of rows that share the least id, all stay."""
+    found = linked_components(docs, n, percent)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def _open(cand: DataFrame) -> DataFrame:
     """Rows of the trees that still hold more than one component."""
     several = cand.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("token", "m")

@@ -145,6 +145,27 @@ def trained(docs: DataFrame, labels: DataFrame, label: str, where, per_class: in
     return model
 
 
+def _keep(shared, threshold: float):
+    """Batches without the rows that score threshold or more, all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for batch in batches:
+            buf, offs = utf8(batch.column("text"))
+            for i, j in chunks(offs):
+                row, _, p = model.sentences(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                score = -np.expm1(np.bincount(row, np.log1p(-np.minimum(p, 1 - 1e-12)), j - i))
+                yield batch.slice(i, j - i).filter(pa.array(score < threshold))
+
+    return run
+
+
+def kept(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of docs (with a column text) whose texts score less than threshold, with all their columns; null texts score 0 and stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return in_batches(docs).mapInArrow(_keep(shared, threshold), docs.schema)
+
+
 def _score(shared, offending: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
