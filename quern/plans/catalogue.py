@@ -289,7 +289,11 @@ def srt_cues(spark, d):
     return emit.cues(_cues(spark, d), "user_id")
 
 
-@query()
+@query(
+    f"WITH m AS (SELECT user_id, event_id, event_type, CAST(floor({EVENT_MS}) * 1000 AS BIGINT) AS a, CAST(round_even((floor({EVENT_MS}) + value / 100) * 1000, 0) AS BIGINT) AS b FROM events),"
+    f" c AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS cue, {TIMING.format('a')} || ' --> ' || {TIMING.format('b')} AS timing, event_type || CASE WHEN event_type <> 'error' THEN chr(10) || upper(event_type) ELSE '' END AS body FROM m)"
+    " SELECT user_id, string_agg(cue || chr(10) || timing || chr(10) || body || chr(10), chr(10) ORDER BY cue) AS srt FROM c GROUP BY user_id"
+)
 def srt_files(spark, d):
     return emit.srt(_cues(spark, d), "user_id", "bilingual")
 
@@ -430,7 +434,13 @@ def progress_status(spark, d):
     return progress.progress(progress.latest_record(_matches(spark, d), "user_id")).select("user_id", "percent", "eta_seconds", "status")
 
 
-@query()
+@query(
+    f"WITH {MATCHES}, {LATEST}, {BASE}, p AS (SELECT *, coalesce(sec_per_step, CASE WHEN runtime <> 0 AND step <> 0 THEN runtime / step END) AS per FROM b LEFT JOIN base USING (user_id)),"
+    " r AS (SELECT *, step / total * 100 AS percent, CASE WHEN baseline > 0 AND per <> 0 THEN per / baseline END AS ratio, CASE WHEN total >= step AND per IS NOT NULL THEN greatest(CAST(round_even((total - step) * per, 0) AS BIGINT), 0) END AS s FROM p)"
+    " SELECT user_id, concat_ws(' | ', 'run ' || user_id, step || '/' || total, printf('%.1f%%', percent), printf('avr_loss %.3f', loss),"
+    " 'ETA ' || CASE WHEN s IS NULL THEN NULL WHEN s >= 3600 THEN printf('%dh%02dm', s // 3600, s % 3600 // 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) ELSE printf('%ds', s) END, printf('speed x%.2f', ratio),"
+    " 'risk ' || CASE WHEN ratio >= 1.6 THEN 'high' WHEN ratio >= 1.35 THEN 'warn' ELSE 'normal' END, CASE WHEN step < total THEN 'running' ELSE 'finished' END) AS line FROM r"
+)
 def progress_lines(spark, d):
     m = _matches(spark, d)
     p = progress.progress(progress.latest_record(m, "user_id")).join(progress.median_baseline(m, "user_id"), "user_id", "left")
