@@ -80,3 +80,18 @@ def progress_line(p: str = "") -> Column:
         F.concat(F.lit("risk "), c("risk")),
         c("status"),
     )
+
+
+def translated_records(rows: DataFrame, key: str, source_type: str, source: str = "auto", target: str = "zh", budget: int = 1200, refine_budget: int = 900) -> DataFrame:
+    """One record for each document from the rows of translate_documents(): languages, budgets, what became of the refinement, and the segments
+    by id. Times that a run took are left null, as they differ from run to run."""
+    status = {c: F.first(c).alias(c) for c in ("refine_status", "refine_error", "refine_skipped_noisy", "refine_partial_missing", "refine_chunk_size_used")}
+    timed = F.bool_or(F.col("start").isNotNull() & F.col("end").isNotNull()).alias("has_timestamps")
+    out = rows.groupBy(key).agg(timed, *status.values(), F.array_sort(F.collect_list(F.struct("id", "start", "end", "text", "translation"))).alias("segments"))
+    none = F.lit(None)
+    return out.select(
+        key, F.lit(source_type).alias("source_type"), F.lit(source).alias("source_lang"), F.lit(target).alias("target_lang"), "has_timestamps", F.lit("ok").alias("translate_status"),
+        none.cast("string").alias("translate_error"), none.cast("long").alias("translate_elapsed_ms"), F.lit(budget).alias("translate_max_chars_used"), (F.col("refine_status") != "not_requested").alias("refine_requested"),
+        (F.col("refine_status") == "applied").alias("refine_applied"), "refine_status", "refine_error", none.cast("long").alias("refine_elapsed_ms"), "refine_chunk_size_used", F.lit(refine_budget).alias("refine_max_chars_used"),
+        "refine_skipped_noisy", "refine_partial_missing", F.lit("main").alias("plan"), "segments",
+    )

@@ -82,6 +82,13 @@ def test_refinement_degrades_and_translation_fails_fast(spark):
         translate.translate_documents(segs(spark, rows), "doc", translator=lambda t, a, b: "just one").collect()
 
 
+def test_translated_records(spark):
+    rows = translate.translate_documents(segs(spark, [("a", 2, "two"), ("a", 1, "one"), ("b", 1, "x")]), "doc", refiner=translate.offline_refiner)
+    out = {r.doc: r for r in emit.translated_records(rows, "doc", "text").collect()}
+    assert [(s.id, s.translation) for s in out["a"].segments] == [(1, "[zh] one"), (2, "[zh] two")]
+    assert (out["a"].refine_requested, out["a"].refine_applied, out["a"].refine_status, out["a"].has_timestamps, out["a"].plan) == (True, False, "no_change", False, "main")
+
+
 def test_retries():
     calls, pauses = [], []
 
