@@ -6,8 +6,8 @@ verified on the texts.
 
 Points are dealt to trees by prefix filtering, which is exact: in any fixed order of n-grams, two sets that link share one of the first
 n - ceil(0.8 n) + 1 of each. The order puts n-grams seen often last, so trees stay small and a passage that many documents share deals
-hardly anyone. Copies of a set are one node. First, each node is verified against two leaders of its trees only (a number of pairs in
-proportion to the nodes), and linked nodes are contracted; then the trees are searched for pairs of nodes that aren't connected yet. Trees
+hardly anyone. Copies of a set are one node. Trees of the same nodes count once. First, each node is verified against one leader of its
+trees only (no more pairs than nodes), and linked nodes are contracted; then the trees are searched for pairs of nodes that aren't connected yet. Trees
 with more than BLOCK points are searched block by block. Sets and n-grams are told apart by 64-bit fingerprints.
 """
 
@@ -20,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, in_batches, mix, table, utf8, words, written
+from quern.llm.common import TO_LOWER, Fingerprints, chunks, gather, in_batches, mix, table, utf8, words, written
 from quern.llm.components import components
 
-#: Dimensions of a point, points of an R-tree page, points of a block of a large tree.
+#: Least dimensions of a point, which pages have, points of an R-tree page, points of a block of a large tree.
 GROUPS, PAGE, BLOCK = 64, 32, 512
+#: Counts that stand for this many n-grams or more, in whole points and in those folded to GROUPS.
+FULL, FLAT_FULL = 15, 65_535
 #: N-grams that a batch holds in at least this many texts, and in this part of its texts, are counted as frequent; so many are broadcast.
 OFTEN, PART, FREQUENT = 4, 0.01, 200_000
-ROUNDS = 2
+ROUNDS = 3
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +76,12 @@ def _frequent(n: int):
     return run
 
 
+def groups_of(size: np.ndarray) -> np.ndarray:
+    """Groups for sets of these sizes: the power of two up to the size, at least GROUPS, so that few n-grams share a group. As groups are the
+    last bits of the fingerprints, a point of more groups folds into one of fewer."""
+    return np.left_shift(1, np.maximum(np.floor(np.log2(np.maximum(size, 1))), np.log2(GROUPS)).astype(np.int64))
+
+
 def _sets(n: int, percent: int, shared):
     """Of each text: node (fingerprint of its set), size, count vector, and the n-grams of its prefix."""
 
@@ -88,7 +96,14 @@ def _sets(n: int, percent: int, shared):
                 node = np.zeros(rows, np.uint64)
                 np.add.at(node, r, mix(f + np.uint64(0x5BD1E995)))
                 node = mix(node + size.astype(np.uint64))
-                vec = np.bincount(r * GROUPS + (f % np.uint64(GROUPS)).astype(np.int64), minlength=rows * GROUPS).astype(np.int32)
+                groups = groups_of(size)
+                at = np.cumsum(groups) - groups
+                vec = np.bincount(at[r] + (f & (groups[r] - 1).astype(np.uint64)).astype(np.int64), minlength=int(groups.sum()))
+                vec = np.minimum(vec, FULL).astype(np.uint8)
+                vec = vec[::2] | vec[1::2] << 4  # two counts to a byte
+                wide = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((np.append(at, groups.sum()) // 2).astype(np.int32).tobytes()), pa.py_buffer(vec.tobytes())])
+                flat = np.minimum(np.bincount(r * GROUPS + (f & np.uint64(GROUPS - 1)).astype(np.int64), minlength=rows * GROUPS), FLAT_FULL).astype(np.uint16)
+                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * GROUPS), rows, [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
                 cls = np.zeros(len(f), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, f), len(known) - 1)
@@ -97,9 +112,8 @@ def _sets(n: int, percent: int, shared):
                 place = np.arange(len(r)) - np.repeat(np.cumsum(size) - size, size)
                 keep = place < np.repeat(size + -(-percent * size // 100) * -1 + 1, size)
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(r[keep], minlength=rows))]).astype(np.int32)
-                wide = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * GROUPS), rows, [None, pa.py_buffer(vec.tobytes())]).cast(pa.binary())
                 tokens = pa.ListArray.from_arrays(pa.array(cuts), pa.array(f[order][keep].view(np.int64)))
-                yield pa.record_batch([batch.column("doc_id")[i:j], batch.column("kid")[i:j], node.view(np.int64), size, wide, tokens], ["doc_id", "kid", "node", "n", "vec", "tokens"])
+                yield pa.record_batch([batch.column("doc_id")[i:j], batch.column("kid")[i:j], node.view(np.int64), size, wide, flat, tokens], ["doc_id", "kid", "node", "n", "vec", "flat", "tokens"])
 
     return run
 
@@ -127,14 +141,15 @@ def _verify(n: int, percent: int):
 class RTree:
     """Points in pages of PAGE, packed by sorting and tiling, each page with its least and largest counts and sizes."""
 
-    def __init__(self, vec: np.ndarray, size: np.ndarray):
+    def __init__(self, points: Points):
+        vec, size = points.flat, points.size
         order = np.argsort(size, kind="stable")
         tile = max(PAGE, int(np.ceil(np.sqrt(len(order) / PAGE))) * PAGE)
         main = vec.var(0).argmax() if len(vec) else 0
         self.order = np.concatenate([order[i : i + tile][np.argsort(vec[order[i : i + tile], main], kind="stable")] for i in range(0, len(order), tile)]) if len(order) else order
-        self.vec, self.size = vec[self.order], size[self.order]
+        self.points, self.size = points, size[self.order]
         self.first = np.arange(0, len(order), PAGE)
-        self.high = np.maximum.reduceat(self.vec, self.first) if len(order) else self.vec
+        self.high = np.maximum.reduceat(vec[self.order], self.first) if len(order) else vec
         self.small, self.large = (f.reduceat(self.size, self.first) if len(order) else self.size for f in (np.minimum, np.maximum))
 
     def page(self, k: int) -> slice:
@@ -148,53 +163,158 @@ def near_pairs(a: RTree, b: RTree, percent: int) -> Iterator[tuple[np.ndarray, n
     for k in range(len(a.first)):
         bound = np.minimum(a.high[k], b.high).sum(1)
         pages = np.flatnonzero((bound >= need * (a.small[k] + b.small)) & (100 * a.large[k] >= percent * b.small) & (100 * b.large >= percent * a.small[k]))
-        p = a.page(k)
+        own = a.order[a.page(k)]
         for page in pages:
             if a is b and page < k:
                 continue
-            q = b.page(page)
-            shared = np.minimum(a.vec[p][:, None], b.vec[q][None]).sum(2)
-            x, y = a.size[p][:, None], b.size[q][None]
-            i, j = np.nonzero((shared >= need * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)))
-            if len(i):
-                yield a.order[p][i], b.order[q][j]
+            other = b.order[b.page(page)]
+            i, j = np.repeat(own, len(other)), np.tile(other, len(own))
+            near = bounded(a.points, b.points, i, j, percent) >= 0
+            if near.any():
+                yield i[near], j[near]
+
+
+class Points:
+    """Points of sets, whole and folded to GROUPS dimensions, with the sets' sizes. Points of as many groups lie in one matrix."""
+
+    def __init__(self, vec: list[bytes], size: np.ndarray):
+        self.size = size
+        self.groups = np.array([2 * len(v) for v in vec], np.int64)
+        self.place = np.zeros(len(vec), np.int64)
+        self.whole: dict[int, np.ndarray] = {}
+        self.flat = np.zeros((len(vec), GROUPS), np.int64)
+        for g in np.unique(self.groups).tolist():
+            own = np.flatnonzero(self.groups == g)
+            self.place[own] = np.arange(len(own))
+            packed = np.frombuffer(b"".join(vec[k] for k in own), np.uint8)
+            self.whole[g] = np.stack([packed & FULL, packed >> 4], 1).reshape(-1, g)
+            counts = self.whole[g].reshape(-1, g // GROUPS, GROUPS)
+            self.flat[own] = np.where((counts == FULL).any(1), size[own][:, None], counts.sum(1, dtype=np.int64))
+
+    def folded(self, g: int, rows: np.ndarray, to: int) -> np.ndarray:
+        m = self.whole[g][self.place[rows]]
+        return m if g == to else np.where((f := m.reshape(-1, g // to, to)).max(1) == FULL, FULL, np.minimum(f.sum(1, dtype=np.int64), FULL)).astype(np.uint8)
+
+
+def bounded(a: Points, b: Points, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """The most that the sets i of a and j of b can share, or -1 where this, or their sizes, allow no link."""
+    out = np.full(len(i), -1, np.int64)
+    x, y = a.size[i], b.size[j]
+
+    def keep(pairs: np.ndarray, shared: np.ndarray) -> None:
+        near = shared * (100 + percent) >= percent * (x[pairs] + y[pairs])
+        out[pairs] = np.where(near, shared, -1)
+
+    ok = np.flatnonzero(100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    for k in range(0, len(ok), 1 << 13):
+        p = ok[k : k + (1 << 13)]
+        keep(p, np.minimum(a.flat[i[p]], b.flat[j[p]]).sum(1))
+    left = np.flatnonzero((out >= 0) & (np.maximum(a.groups[i], b.groups[j]) > GROUPS))
+    kinds = a.groups[i[left]] << 32 | b.groups[j[left]]
+    for kind in np.unique(kinds).tolist():
+        own, ga, gb = left[kinds == kind], kind >> 32, kind & 0xFFFFFFFF
+        g = min(ga, gb)
+        step = max(1, (1 << 21) // max(ga, gb))
+        for k in range(0, len(own), step):
+            p = own[k : k + step]
+            least = np.minimum(a.folded(ga, i[p], g), b.folded(gb, j[p], g))
+            keep(p, np.where((least == FULL).any(1), np.minimum(x[p], y[p]), least.sum(1, dtype=np.int64)))
+    return out
+
+
+def _bound_filter(percent: int):
+    """Pairs node, other (with their sizes and folded points) that may link, with their bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = len(batch)
+            (x, a), (y, b) = ((batch.column(f"n_{s}").to_numpy(), np.frombuffer(b"".join(batch.column(f"flat_{s}").to_pylist()), np.uint16).reshape(n, GROUPS)) for s in "ab")
+            least = np.minimum(a, b)
+            shared = np.where((least == FLAT_FULL).any(1), np.minimum(x, y), least.sum(1, dtype=np.int64))
+            bound = np.where(shared * (100 + percent) >= percent * (x + y), shared, -1)
+            keep = pa.array(np.flatnonzero(bound >= 0))
+            yield pa.record_batch([batch.column("node").take(keep), batch.column("other").take(keep), pa.array(bound).take(keep)], ["node", "other", "bound"])
+
+    return run
 
 
 def _search(percent: int):
     """Streams trees in order (rows of one tree, or of two blocks of one, are neighbours) and yields pairs of nodes of different components."""
 
-    def pairs(rows: pa.Table):
-        node, root, block = (rows.column(c).to_numpy() for c in ("node", "root", "block"))
-        vec = np.frombuffer(b"".join(rows.column("vec").to_pylist()), np.int32).reshape(-1, GROUPS).astype(np.int64)
-        size = rows.column("n").to_numpy()
+    def pairs_of(a: np.ndarray, b: np.ndarray):
+        if len(a):
+            yield np.stack([np.maximum(a, b), np.minimum(a, b)])
+
+    def small(node, root, points, starts, counts):
+        """All pairs within each of many trees of a page at most."""
+        end = np.repeat(starts + counts, counts)
+        at = gather(starts, counts)
+        for k in range(0, len(at), 1 << 13):
+            i = np.repeat(at[k : k + (1 << 13)], (end - at - 1)[k : k + (1 << 13)])
+            j = gather(at[k : k + (1 << 13)] + 1, (end - at - 1)[k : k + (1 << 13)])
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            near = bounded(points, points, i, j, percent) >= 0
+            yield from pairs_of(node[i[near]], node[j[near]])
+
+    def large(node, root, size, vec, block, lo, hi):
         parts = [np.flatnonzero(block == x) for x in np.unique(block)]
-        trees = [RTree(vec[p], size[p]) for p in parts]
-        lo, hi = int(rows.column("lo")[0].as_py()), int(rows.column("hi")[0].as_py())
         if lo != hi and len(parts) < 2:
             return
+        trees = [RTree(Points([vec[k] for k in p], size[p])) for p in parts]
         x, y = (0, 0) if lo == hi else (0, 1)
         for i, j in near_pairs(trees[x], trees[y], percent):
             i, j = parts[x][i], parts[y][j]
             apart = root[i] != root[j]
-            a, b = node[i[apart]], node[j[apart]]
-            if len(a):
-                yield pa.record_batch([np.maximum(a, b), np.minimum(a, b)], ["u", "v"])
+            yield from pairs_of(node[i[apart]], node[j[apart]])
+
+    def found(t: pa.Table):
+        """Pairs of a table of whole trees, as often as trees hold them."""
+        node, root, size, block, token, lo, hi = (t.column(c).to_numpy() for c in ("node", "root", "n", "block", "token", "lo", "hi"))
+        vec = t.column("vec").to_pylist()
+        new = (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+        starts = np.append(0, np.flatnonzero(new) + 1)
+        counts = np.diff(np.append(starts, len(t)))
+        paged = (counts <= PAGE) & (lo[starts] == hi[starts])
+        yield from small(node, root, Points(vec, size), starts[paged], counts[paged])
+        for a, c in zip(starts[~paged].tolist(), counts[~paged].tolist(), strict=True):
+            p = slice(a, a + c)
+            yield from large(node[p], root[p], size[p], vec[a : a + c], block[p], lo[a], hi[a])
+
+    def whole(t: pa.Table):
+        """Pairs of a table of whole trees, once; of very many, once for each million."""
+        held, n = [], 0
+        for pair in found(t) if len(t) else ():
+            held.append(pair)
+            n += pair.shape[1]
+            if n >= 1 << 20:
+                held = [np.unique(np.concatenate(held, 1), axis=1)]
+                n = held[0].shape[1]
+                if n >= 1 << 19:
+                    yield pa.record_batch(list(held[0]), ["u", "v"])
+                    held, n = [], 0
+        if n:
+            yield pa.record_batch(list(np.unique(np.concatenate(held, 1), axis=1)), ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        current = None
+        held: list[pa.RecordBatch] = []  # rows of the tree that may go on
+        key = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("token", "lo", "hi")])
-            cuts = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1) if len(batch) else []
-            for a, b in zip(cuts, [*cuts[1:], len(batch)], strict=True):
-                key = tuple(keys[:, a])
-                if key != current and held:
-                    yield from pairs(pa.Table.from_batches(held))
-                    held = []
-                current = key
-                held.append(batch.slice(a, b - a))
+            if not len(batch):
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("head", "token", "lo", "hi")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            if key is not None and (keys[:, 0] != key).any():
+                yield from whole(pa.Table.from_batches(held))
+                held = []
+            last = int(cuts[-1]) if len(cuts) else 0
+            if last:
+                yield from whole(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+            key = keys[:, -1]
         if held:
-            yield from pairs(pa.Table.from_batches(held))
+            yield from whole(pa.Table.from_batches(held))
 
     return run
 
@@ -214,16 +334,20 @@ def _rooted(cand: DataFrame, roots: DataFrame | None) -> DataFrame:
     return cand.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _leaders(cand: DataFrame, round_: int) -> DataFrame:
-    """u, v: each node with two leaders of its trees at most, those of least and largest hash, unless it is in their component."""
+def _leaders(cand: DataFrame, points: DataFrame, round_: int, percent: int) -> DataFrame:
+    """u, v: each node with one leader of its trees at most. A tree's leaders are its nodes of least and largest hash; of those in other
+    components than the node, whose bound allows a link, it gets the one of the best bound."""
     hashed = cand.withColumn("h", F.xxhash64("node", F.lit(round_)))
     pick = F.struct("h", "node", "root")
     of_tree = hashed.groupBy("token").agg(F.min(pick).alias("first"), F.max(pick).alias("last"))
-    met = cand.join(of_tree, "token")
-    apart = [F.when(F.col(f"{c}.root") != F.col("root"), F.struct(F.col(f"{c}.h").alias("h"), F.col(f"{c}.node").alias("node"))) for c in ("first", "last")]
-    own = met.select("node", apart[0].alias("first"), apart[1].alias("last")).groupBy("node").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    pairs = own.select("node", F.explode(F.array("first.node", "last.node")).alias("other")).where("other IS NOT NULL")
-    return pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
+    met = cand.join(of_tree, "token").select("node", "root", F.explode(F.array("first", "last")).alias("l"))
+    pairs = met.where("l.root <> root").select("node", F.col("l.node").alias("other")).distinct()
+    a = points.select("node", F.col("n").alias("n_a"), F.col("flat").alias("flat_a"))
+    b = points.select(F.col("node").alias("other"), F.col("n").alias("n_b"), F.col("flat").alias("flat_b"))
+    both = pairs.join(a, "node").join(b, "other").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("node", "other", "n_a", "n_b", "flat_a", "flat_b")
+    near = in_batches(both).mapInArrow(_bound_filter(percent), "node long, other long, bound long")
+    best = near.groupBy("node").agg(F.max_by("other", F.struct("bound", "other")).alias("other"))
+    return best.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
 
 
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -242,22 +366,22 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     known, count = np.array([r.f for r in got], np.int64).view(np.uint64), np.array([r.c for r in got], np.int64)
     order = np.argsort(known)
     shared = spark.sparkContext.broadcast((known[order], np.ceil(np.log2(count[order] + 1)).astype(np.int64)))
-    sets = in_batches(rows).mapInArrow(_sets(n, percent, shared), "doc_id long, kid long, node long, n long, vec binary, tokens array<long>")
+    sets = in_batches(rows).mapInArrow(_sets(n, percent, shared), "doc_id long, kid long, node long, n long, vec binary, flat binary, tokens array<long>")
     sets = written(sets, "sets")
     tokens = sets.where("n > 0").select("node", F.explode("tokens").alias("token"))
     trees = tokens.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
-    cand = written(tokens.join(written(trees, "trees"), "token").select("token", "node").distinct(), "points")
-    of_node = sets.groupBy("node").agg(F.min("kid").alias("kid"))
-    chosen = of_node.join(cand.select("node").distinct(), "node")
-    texts = written(rows.join(chosen, "kid").select("node", "text").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    roots, links = None, None
+    cand = written(tokens.join(written(trees, "trees"), "token").select("token", "node").distinct(), "met")
+    cand = written(_distinct_trees(cand), "trees-once")
+    chosen = cand.select("node").distinct()
+    points = written(sets.select("node", "n", "vec", "flat").join(chosen, "node", "left_semi").dropDuplicates(["node"]), "points")
+    keys = sets.groupBy("node").agg(F.min("kid").alias("kid")).join(chosen, "node")
+    texts = written(rows.join(keys, "kid").select("node", "text").dropDuplicates(["node"]), "texts")
+    roots, links = None, spark.createDataFrame([], "u long, v long")
     for k in range(rounds):
-        new = _linked(_leaders(_rooted(cand, roots), k), texts, n, percent, f"links-{k}")
-        links = new if links is None else links.unionByName(new)
+        links = links.unionByName(_linked(_leaders(_rooted(cand, roots), points, k, percent), texts, n, percent, f"links-{k}"))
         roots = components(links, f"round-{k}")
-        cand = _open(_rooted(cand, roots)).select("token", "node")
-        cand = written(cand, f"open-{k}")
-    links = links.unionByName(_linked(_pairs(_rooted(cand, roots), sets, percent), texts, n, percent, "links")) if links is not None else _linked(_pairs(_rooted(cand, None), sets, percent), texts, n, percent, "links")
+        cand = written(_open(_rooted(cand, roots)).select("token", "node"), f"open-{k}")
+    links = links.unionByName(_linked(_pairs(_rooted(cand, roots), points, percent), texts, n, percent, "links"))
     roots = components(links, "all")
     full = sets.where("n > 0").select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -274,19 +398,34 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _open(cand: DataFrame) -> DataFrame:
-    """Rows of the trees that still hold more than one component."""
-    several = cand.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("token", "m")
-    return cand.join(several, "token")
+    """Rows of the trees that still hold more than one component, with a tree's number of nodes."""
+    trees = cand.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m"))
+    return cand.join(trees.where("a <> b").select("token", "m"), "token")
+
 
+def _distinct_trees(cand: DataFrame) -> DataFrame:
+    """Of trees with the same nodes, as near copies give by the dozen, one stays. Sets of nodes are told apart by their number and two hashes."""
+    sets = cand.groupBy("token").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)))
+    return cand.join(sets.groupBy("m", "x0", "x1").agg(F.min("token").alias("token")).select("token"), "token")
 
-def _pairs(cand: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v: all pairs of nodes of different components that share a tree and whose bound allows a link."""
-    points = sets.select("node", "n", "vec").join(cand.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    rows = _open(cand).join(points, "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long"))
+
+def _pairs(cand: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """u, v: all pairs of nodes of different components that share a tree and whose bound allows a link.
+
+    Near copies share many trees. Trees are dealt by their head, the node of most trees among theirs, so that most trees of near copies meet
+    in one task, which names a pair once. A head has no more trees than its prefix has n-grams; of trees of more than BLOCK nodes, pairs of
+    blocks are dealt apart, the same blocks for all such trees of a head.
+    """
+    rows = _open(cand)
+    degree = rows.groupBy("node").agg(F.count("*").alias("degree"))
+    trees = rows.join(degree, "node").groupBy("token").agg(F.max(F.struct("degree", "node")).getField("node").alias("head"), F.first("m").alias("m"))
+    most = trees.groupBy("head").agg(F.ceil(F.max("m") / BLOCK).cast("long").alias("most"))
+    trees = trees.join(most, "head").select("token", "head", F.when(F.col("m") <= BLOCK, F.lit(1).cast("long")).otherwise(F.col("most")).alias("blocks"))
+    rows = rows.join(trees, "token").join(points.select("node", "n", "vec"), "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("token", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "root", "n", "vec")
-    dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    rows = rows.select("head", "token", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "root", "n", "vec")
+    dealt = rows.repartition("head", "lo", "hi").sortWithinPartitions("head", "lo", "hi", "token")
     return in_batches(dealt).mapInArrow(_search(percent), "u long, v long").distinct()
 
 

@@ -64,13 +64,15 @@ def test_against_brute_force(spark, monkeypatch, block, rounds):
     assert got == {i: (len(s), root[i]) for i, s in sets.items()}
 
 
-def test_bound_never_drops_a_link():
+@pytest.mark.parametrize("n", [120, 700])
+def test_bound_never_drops_a_link(n):
     rng = np.random.default_rng(1)
-    base = rng.integers(0, 1 << 60, (20, 120), dtype=np.uint64)
-    sets = [np.unique(np.where(rng.random(120) < 0.06, rng.integers(0, 1 << 60, 120, dtype=np.uint64), b)[: rng.integers(90, 120)]) for b in base for _ in range(9)]
-    vec = np.array([np.bincount((s % np.uint64(nj.GROUPS)).astype(int), minlength=nj.GROUPS) for s in sets])
+    base = rng.integers(0, 1 << 60, (20, n), dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(n) < 0.06, rng.integers(0, 1 << 60, n, dtype=np.uint64), b)[: rng.integers(n * 3 // 4, n)]) for b in base for _ in range(9)]
     size = np.array([len(s) for s in sets])
-    tree = nj.RTree(vec, size)
+    vec = [np.minimum(np.bincount((s % np.uint64(g)).astype(int), minlength=g), nj.FULL).astype(np.uint8) for s, g in zip(sets, nj.groups_of(size).tolist(), strict=True)]
+    vec = [(v[::2] | v[1::2] << 4).tobytes() for v in vec]
+    tree = nj.RTree(nj.Points(vec, size))
     found = {tuple(sorted(p)) for i, j in nj.near_pairs(tree, tree, 80) for p in zip(i.tolist(), j.tolist(), strict=True)}
     linked = {(a, b) for a, b in combinations(range(len(sets)), 2) if 100 * len(x := np.intersect1d(sets[a], sets[b])) >= 80 * (size[a] + size[b] - len(x))}
     assert linked and linked <= found and len(found) < 180 * 180 / 4
