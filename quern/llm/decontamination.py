@@ -1,6 +1,7 @@
 """Benchmark decontamination.
 
-Runs of words that an item and a document share put an item-sized window on the document. Window and item are embedded by the CGK random
+Seeds that an item and a document share put an item-sized window on the document: eight equal bytes anywhere, or four and four with one byte
+changed, left out or put in between, if the bytes around them are alike, too. Window and item are embedded by the CGK random
 walk, which turns edit distance into Hamming distance: at each step a byte is written, and a random function of step and byte decides
 whether the walk goes on to the next. Repeated bit-sampling LSH then compares a few sampled places of several walks; windows that agree with
 their item in any repetition are verified by the exact edit distance. A document is contaminated by an item when some part of it lies within
@@ -18,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import SPACE, TO_LOWER, Fingerprints, chunks, gather, in_batches, table, utf8, words
+from quern.llm.common import SPACE, TO_LOWER, chunks, gather, in_batches, table, utf8
 
-#: Walks, repetitions for each walk and places sampled for each repetition. Measured recall: 0.98 of items with 10 to 13 % of their bytes
-#: edited at random, 0.89 with 16 to 18 %, all of those with 2 % or none.
+#: Walks, repetitions for each walk and places sampled for each repetition. Measured recall: see README.
 WALKS, REPEATS, PLACES = 4, 12, 2
-#: A seed is a run of at least two words and so many bytes.
-SEED_BYTES = 9
+#: Bytes around texts that may be looked at, bits of the seeds' hash table, seeds looked at together, the first four of eight bytes.
+PAD, BUCKET_BITS, HITS, FOUR = 32, 20, 1 << 15, np.uint64(0xFFFFFFFF)
+#: The 64 bytes of an item around a seed may have so many times the share of edits that the whole item may.
+UNEVEN = 1.7
 #: Items of fewer bytes never count; bytes of items that one pass over the documents looks for.
 LEAST_BYTES, BLOCK_BYTES = 24, 4 << 20
 
@@ -41,20 +43,29 @@ def normalised(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return low[keep], np.searchsorted(at, offs), at
 
 
-def seeds(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, first byte and row of each seed: from each word on, the shortest run of two words or more with SEED_BYTES bytes. Inside
-    words of LEAST_BYTES, as texts without spaces have, all slices of SEED_BYTES bytes are seeds."""
-    s, e, row = words(buf, offs)
-    if not len(s):
-        return np.zeros(0, np.uint64), s, row
-    prints = Fingerprints(buf, 41)
-    last = np.maximum(np.searchsorted(e, s + SEED_BYTES), np.arange(1, len(s) + 1))
-    ok = last < len(s)
-    ok[ok] = row[last[ok]] == row[ok]
-    long = np.flatnonzero(e - s >= LEAST_BYTES)
-    at = gather(s[long], e[long] - s[long] - SEED_BYTES + 1)
-    own = np.repeat(row[long], e[long] - s[long] - SEED_BYTES + 1)
-    return np.concatenate([prints.of(s[ok], e[last[ok]]), prints.of(at, at + SEED_BYTES)]), np.concatenate([s[ok], at]), np.concatenate([row[ok], own])
+def words_at(buf: np.ndarray) -> np.ndarray:
+    """For each place, from PAD before buf to PAD behind it, the eight bytes from there on, as one number; zeros stand around buf."""
+    padded = np.zeros(len(buf) + 2 * PAD + 8, np.uint8)
+    padded[PAD : PAD + len(buf)] = buf
+    return np.ndarray((len(buf) + 2 * PAD,), "<u8", padded, 0, (1,))
+
+
+def skipping(eight: np.ndarray) -> np.ndarray:
+    """Of what words_at() gives: the four bytes from each place on, then, one byte left out, four more."""
+    out = eight & FOUR
+    out[:-5] |= eight[5:] << np.uint64(32)
+    return out
+
+
+def bucket(eight: np.ndarray) -> np.ndarray:
+    return ((eight * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes are equal."""
+    x, low = a ^ b, np.uint64(0x7F7F7F7F7F7F7F7F)
+    zero = ~(((x & low) + low) | x | low)
+    return ((zero >> np.uint64(7)) * np.uint64(0x0101010101010101)) >> np.uint64(56)
 
 
 def edit_distances(item: bytes, text: bytes) -> np.ndarray:
@@ -80,6 +91,23 @@ def edit_distances(item: bytes, text: bytes) -> np.ndarray:
     return out
 
 
+def piece_distances(pieces: np.ndarray, free: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """For each row, the least edit distance between 64 bytes and any part of a text; free bytes equal all. As edit_distances(), by rows."""
+    one, top = np.uint64(1), np.uint64(63)
+    up, down = np.full(len(pieces), 2**64 - 1, np.uint64), np.zeros(len(pieces), np.uint64)
+    score = np.full(len(pieces), 64)
+    least = score.copy()
+    for j in range(texts.shape[1]):
+        eq = np.packbits((pieces == texts[:, j, None]) | free, axis=1, bitorder="little").view("<u8")[:, 0]
+        diagonal = (((eq & up) + up) ^ up) | eq | down
+        right_up, right_down = down | ~(diagonal | up), up & diagonal
+        score += (right_up >> top).astype(np.int64) - (right_down >> top).astype(np.int64)
+        right_up, right_down = right_up << one, right_down << one
+        up, down = right_down | ~(diagonal | down | right_up), right_up & (diagonal | down)
+        np.minimum(least, score, out=least)
+    return least
+
+
 class Items:
     """Normal forms of benchmark items, their seeds and the sampled places of their embeddings."""
 
@@ -93,34 +121,74 @@ class Items:
         self.texts, self.ids = list(by_text), list(by_text.values())
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         self.allowed = np.floor(self.sizes * (1 - similarity) + 1e-9).astype(np.int64)
+        self.share = 1 - similarity
         self.buf = np.frombuffer(b"".join(self.texts), np.uint8)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        offs = np.concatenate([[0], np.cumsum(self.sizes)])
-        f, at, item = seeds(self.buf, offs)
-        order = np.lexsort((at, item, f))
-        order = order[np.append(True, (f[order][1:] != f[order][:-1]) | (item[order][1:] != item[order][:-1]))[: len(order)]]  # the first in each item
-        self.seed, self.seed_at, self.seed_item = f[order], (at - self.starts[item])[order], item[order]
+        self.eight = words_at(self.buf)
+        self.first = PAD + self.starts
+        at = [gather(self.first, self.sizes - width + 1) for width in (8, 9)]
+        keys = np.concatenate([self.eight[at[0]], skipping(self.eight)[at[1]]])
+        h = bucket(keys)
+        order = np.argsort(h, kind="stable")
+        self.keys, self.places, self.widths = keys[order], np.concatenate(at)[order], np.repeat([8, 9], [len(at[0]), len(at[1])])[order]
+        count = np.bincount(h, minlength=1 << BUCKET_BITS)
+        self.used, self.begin = count > 0, np.concatenate([[0], np.cumsum(count)])
         self.embedded = sampled(self.buf, self.starts, self.starts + self.sizes, self.sizes) if self.texts else None
 
     def windows(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
         """Row, item and start of the windows that seeds point to, with the start and the end of the region that a match may take."""
-        f, at, row = seeds(buf, offs)
-        none = (np.zeros(0, np.int64),) * 5
-        if not len(f) or not len(self.seed):
-            return none
-        lo = np.searchsorted(self.seed, f)
-        hit = np.flatnonzero(self.seed[np.minimum(lo, len(self.seed) - 1)] == f)
-        if not len(hit):
-            return none
-        lo = lo[hit]
-        n = np.searchsorted(self.seed, f[hit], "right") - lo
-        k, hit = gather(lo, n), np.repeat(hit, n)
-        item, r = self.seed_item[k], row[hit]
-        start = np.clip(at[hit] - self.seed_at[k], offs[r], offs[r + 1])
-        _, first = np.unique(np.stack([r, item, start]), axis=1, return_index=True)
-        r, item, start = r[first], item[first], start[first]
+        found = [np.zeros((5, 0), np.int64)]
+        if len(buf) and len(self.texts):
+            eight = words_at(buf)
+            heads = np.zeros(len(buf) + 1, bool)
+            heads[offs] = True
+            for keys, width in ((eight, 8), (skipping(eight), 9)):
+                h = bucket(keys[PAD : PAD + len(buf)])
+                at = np.flatnonzero(self.used[h])
+                lo, hi = self.begin[h[at]], self.begin[h[at] + 1]
+                for i, j in chunks(np.concatenate([[0], np.cumsum(hi - lo)]), HITS):
+                    n = hi[i:j] - lo[i:j]
+                    k, place = gather(lo[i:j], n), np.repeat(at[i:j], n)
+                    hit = self.keys[k] == keys[place + PAD]
+                    k, place = k[hit], place[hit]
+                    found.append(self._alike(eight, offs, heads, place, width, self.places[k], self.widths[k]))
+        seeds = np.concatenate(found, 1)
+        near = [self._near(buf, *seeds[1:, i : i + HITS][[0, 2, 3]]) for i in range(0, seeds.shape[1], HITS)]
+        r, item, start = seeds[:3, np.concatenate(near)] if near else seeds[:3]
+        if len(r):
+            r, item, start = np.unique(np.stack([r, item, start]), axis=1)
         return r, item, start, np.maximum(offs[r], start - self.allowed[item]), np.minimum(offs[r + 1], start + self.sizes[item] + self.allowed[item])
 
+    def _alike(self, eight: np.ndarray, offs: np.ndarray, heads: np.ndarray, at: np.ndarray, width: int, place: np.ndarray, item_width: np.ndarray) -> np.ndarray:
+        """Row, item and start of the windows, and place in text and item, of those seeds whose surroundings, too, are alike: of up to 16 bytes on each side half are equal,
+        counted by eights that may be shifted a little. Of a longer run of equal bytes, the first seed is enough."""
+        apart = np.where(item_width == 8, -1, 4)
+        ok = (item_width != width) | ((eight[at + PAD + apart] ^ self.eight[place + apart]) & np.uint64(255) != 0) | ((apart < 0) & heads[at])
+        at, place, item_width = at[ok], place[ok], item_width[ok]
+        score = np.zeros(len(at), np.uint64)
+        for reach, shifts in ((8, 2), (16, 3)):
+            for text_off, item_off in ((width + reach - 8, item_width + reach - 8), (-reach, -reach)):
+                own, best = self.eight[place + item_off], np.zeros(len(at), np.uint64)
+                for shift in range(-shifts, shifts + 1):
+                    np.maximum(best, equal_bytes(own, eight[at + PAD + text_off + shift]), out=best)
+                score += best
+            item = np.searchsorted(self.first, place, "right") - 1
+            left = place - self.first[item]
+            ok = 2 * score.astype(np.int64) >= np.minimum(left, reach) + np.minimum(self.sizes[item] - left - item_width, reach) - 2 * (reach == 8)
+            at, place, item_width, item, left, score = at[ok], place[ok], item_width[ok], item[ok], left[ok], score[ok]
+        r = np.searchsorted(offs, at, "right") - 1
+        ok = at + width <= offs[r + 1]
+        return np.stack([r, item, np.clip(at - left, offs[r], offs[r + 1]), at, left])[:, ok]
+
+    def _near(self, buf: np.ndarray, item: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Whether the 64 bytes of the item around the seed are, by edit distance, near the text there."""
+        skip = np.clip(left - 28, 0, np.maximum(0, self.sizes[item] - 64))
+        place = skip[:, None] + np.arange(64)
+        own = self.buf[np.minimum(self.starts[item][:, None] + place, len(self.buf) - 1)]
+        text = buf[np.clip((at - left + skip - 16)[:, None] + np.arange(96), 0, len(buf) - 1)]
+        limit = np.ceil(UNEVEN * self.share * np.minimum(64, self.sizes[item]))
+        return piece_distances(own, place >= self.sizes[item][:, None], text) <= limit
+
     def found(self, parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> dict[tuple[int, int, int], tuple]:
         """By part, row and item: distance, first and last end of the best match, in normalised bytes from the row's start."""
         best: dict[tuple[int, int, int], tuple] = {}
@@ -148,11 +216,17 @@ class Items:
             p = slice(i, i + (1 << 12))
             near = sampled(buf, begin[p] + shift[p], end[p], self.sizes[item[p]])
             good[p] = (near == self.embedded[item[p]]).all(2).any(1)
+        joined: list[list] = []  # regions that overlap count as one
         for n in np.flatnonzero(good).tolist():
-            key = (int(part[n]), int(row[n]), int(item[n]))
+            key, at, text = (int(part[n]), int(row[n]), int(item[n])), int(place[n]), bytes(buf[begin[n] : end[n]])
+            if joined and joined[-1][0] == key and at <= joined[-1][1] + len(joined[-1][2]):
+                joined[-1][2] += text[max(0, joined[-1][1] + len(joined[-1][2]) - at) :]
+            else:
+                joined.append([key, at, bytearray(text)])
+        for key, first, region in joined:
             if best.get(key, (1,))[0] == 0:
                 continue
-            text, region = self.texts[key[2]], bytes(buf[begin[n] : end[n]])
+            text = self.texts[key[2]]
             at = region.find(text)
             if at >= 0:
                 match = (0, at, at + len(text))
@@ -161,8 +235,8 @@ class Items:
                 stop = int(d.argmin())
                 if d[stop] > self.allowed[key[2]]:
                     continue
-                match = (int(d[stop]), stop - int(edit_distances(text[::-1], region[:stop][::-1]).argmin()), stop)
-            match = (match[0], match[1] + int(place[n]), match[2] + int(place[n]))
+                match = (int(d[stop]), stop - int(edit_distances(text[::-1], region[max(0, stop - 2 * len(text)) : stop][::-1]).argmin()), stop)
+            match = (match[0], match[1] + first, match[2] + first)
             best[key] = min(match, best.get(key, match))
 
 

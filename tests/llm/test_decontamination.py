@@ -91,3 +91,21 @@ def test_normal_form_keeps_places():
     raw = np.frombuffer("  Ab\t\n C|é".encode(), np.uint8)
     buf, offs, at = d.normalised(raw, np.array([0, 4, len(raw)]))
     assert bytes(buf) == " ab c|é".encode() and len(at) == len(buf)
+
+
+def test_edits_spread_over_words():
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghiklmnoprstuv") for _ in range(r.randint(3, 8)))
+    texts = [" ".join(word() for _ in range(r.randint(15, 40))) for _ in range(40)]
+    items = d.Items(list(enumerate(texts)))
+    changed = lambda w: (lambda p: w[:p] + "z" + w[p + 1 :])(r.randrange(len(w)))
+    spread = [
+        *(lambda t, n=n: " ".join(changed(w) if i % n == 0 else w for i, w in enumerate(t.split(" "))) for n in (1, 2, 3)),
+        *(lambda t, n=n: "".join("z" if i % n == n - 1 else c for i, c in enumerate(t)) for n in (5, 6, 8, 20)),
+    ]
+    for edit in spread:
+        docs = [f"{word()} {edit(t)} {word()}" for t in texts]
+        want = {i for i, (t, x) in enumerate(zip(texts, docs, strict=True)) if brute(t.encode(), x.encode()) <= int(len(t) * 0.2 + 1e-9)}
+        buf, offs = np.frombuffer("".join(docs).encode(), np.uint8), np.cumsum([0, *map(len, docs)])
+        got = {row for _, row, item in items.found(iter([(buf, offs)])) if row == item}
+        assert got <= want and len(got) >= 0.9 * len(want)
