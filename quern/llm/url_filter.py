@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import A_TO_Z, LOWER, Fingerprints, chunks, in_batches, table, utf8
+from quern.llm.common import A_TO_Z, LOWER, Fingerprints, chunks, in_batches, table, utf8, written
 
 #: Host, path and verdict of the rules that op6 applies; fixed values.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
-#: Longest context in bytes, URLs of each verdict in the training sample and their bytes at most.
-ORDER, PER_CLASS, LONGEST = 5, 2500, 2048
+#: Longest context in bytes; rows of the model tables up to which they are broadcast (larger ones are joined); scores are calibrated in such steps.
+ORDER, BROADCAST_ROWS, STEP = 5, 1 << 20, 1e-3
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -58,6 +58,13 @@ class Markov:
         self.contexts, self.kinds = np.unique(pairs[0], return_counts=True)
         _, self.context_counts = np.unique(np.concatenate(contexts), return_counts=True)
 
+    @classmethod
+    def of(cls, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Markov:
+        """From sorted fingerprints and their counts."""
+        out = cls([])
+        (out.grams, out.gram_counts), (out.contexts, out.context_counts, out.kinds) = grams, contexts
+        return out
+
     @staticmethod
     def _found(keys, values, wanted):
         if not len(keys):
@@ -90,6 +97,16 @@ def _slices(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return prints.of(start, at + 1) + size, prints.of(start, at) ^ (size << np.uint64(32))
 
 
+def calibrated(scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The threshold that keeps most of the good and catches most of the bad, of which each score has so many."""
+    values, at = np.unique(scores, return_inverse=True)
+    good, bad = (np.bincount(at, x, len(values)) for x in (good, bad))
+    cuts = np.concatenate([values[:1] - 1e-9, (values[1:] + values[:-1]) / 2, values[-1:] + 1e-9])
+    kept = 1 - np.append(0, np.cumsum(good)) / good.sum()
+    caught = np.append(0, np.cumsum(bad)) / bad.sum()
+    return float(np.median(cuts[kept + caught >= (kept + caught).max() - 1e-12]))
+
+
 class Ratio:
     """Models of accepted and rejected URLs and the calibrated threshold; with URLs of one kind only, every score is 0 and allowed."""
 
@@ -100,12 +117,7 @@ class Ratio:
         folds = [[u for i, u in enumerate(x) if (i % 4 == 3) == held] for x in (accepted, rejected) for held in (False, True)]
         self.models = Markov(folds[0] or accepted), Markov(folds[2] or rejected)
         good, bad = self.scores(folds[1] or accepted), self.scores(folds[3] or rejected)
-        cuts = np.unique(np.concatenate([good, bad]))
-        cuts = np.concatenate([cuts[:1] - 1e-9, (cuts[1:] + cuts[:-1]) / 2, cuts[-1:] + 1e-9])
-        kept = 1 - np.searchsorted(np.sort(good), cuts) / len(good)
-        caught = np.searchsorted(np.sort(bad), cuts) / len(bad)
-        best = kept + caught >= (kept + caught).max() - 1e-12
-        self.threshold = float(np.median(cuts[best]))
+        self.threshold = calibrated(np.concatenate([good, bad]), np.repeat([1, 0], [len(good), len(bad)]), np.repeat([0, 1], [len(good), len(bad)]))
 
     def scores(self, urls: list[bytes]) -> np.ndarray:
         if self.models is None or not urls:
@@ -127,21 +139,95 @@ def _score(shared):
     return run
 
 
-def filtered(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", per_class: int = PER_CLASS) -> DataFrame:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """gram, context, a and b: how often accepted and rejected URLs have it, added up by chunks."""
+    for batch in batches:
+        urls, good = ["" if u is None else u for u in batch.column("url").to_pylist()], np.array(batch.column("good").to_pylist(), bool)
+        for i, j in chunks(utf8(batch.column("url"))[1]):
+            buf, offs = _joined([u.encode() for u in urls[i:j]])
+            own = np.repeat(good[i:j], np.diff(offs))
+            gram, context = (np.concatenate(x) for x in zip(*(_slices(buf, offs, n) for n in range(ORDER + 1)), strict=True))
+            grams, first, at = np.unique(gram, return_index=True, return_inverse=True)
+            n = [np.bincount(at, np.tile(x, ORDER + 1), len(grams)).astype(np.int64) for x in (own, ~own)]
+            yield pa.record_batch([pa.array(x) for x in (grams.view(np.int64), context[first].view(np.int64), *n)], ["gram", "context", "a", "b"])
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, at, n, gram and context of each byte of each URL."""
+    for batch in batches:
+        urls, keys = ["" if u is None else u for u in batch.column("url").to_pylist()], batch.column("key")
+        for i, j in chunks(utf8(batch.column("url"))[1], 1 << 14):
+            buf, offs = _joined([u.encode() for u in urls[i:j]])
+            row = pa.array(np.repeat(np.arange(i, j), np.diff(offs)))
+            for n in range(ORDER + 1):
+                gram, context = _slices(buf, offs, n)
+                columns = [keys.take(row), *(pa.array(x) for x in (np.arange(len(buf)), np.full(len(buf), n), gram.view(np.int64), context.view(np.int64)))]
+                yield pa.record_batch(columns, ["key", "at", "n", "gram", "context"])
+
+
+def _by_join(urls: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """urls with their scores, by joins with the model tables."""
+    key = F.md5(F.coalesce("url", F.lit("")))
+    pieces = in_batches(urls.select(key.alias("key"), F.coalesce("url", F.lit("")).alias("url")).distinct()).mapInArrow(_sliced, "key string, at long, n long, gram long, context long")
+    found = pieces.join(grams.drop("context"), "gram", "left").join(contexts, "context", "left").na.fill(0)
+    steps = found.groupBy("key", "at").agg(F.array_sort(F.collect_list(F.struct("n", "a", "b", "ta", "tb", "ka", "kb"))).alias("s"))
+
+    def p(m):
+        step = lambda p, x: F.when(x["t" + m] > 0, (x[m] + x["k" + m] * p) / (x["t" + m] + x["k" + m])).otherwise(p)
+        return F.log(F.aggregate("s", F.lit(1 / 256), step))
+
+    scores = steps.select("key", (p("a") - p("b")).alias("d")).groupBy("key").agg(F.avg("d").alias("score"))
+    return urls.withColumn("key", key).join(scores, "key").drop("key")
+
+
+def _scorer(known: DataFrame):
+    """From url and good of all ruled URLs: a function that adds score, and the threshold."""
+    spark = known.sparkSession
+    known = written(known.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(4)) == 3), "urls")
+    sizes = {(r.good, r.held): r["count"] for r in known.groupBy("good", "held").count().collect()}
+    if len({good for good, _ in sizes}) < 2:
+        return lambda urls: urls.withColumn("score", F.lit(0.0)), 0.0
+    part = lambda held: F.expr(" OR ".join(f"(good = {g} AND {f'held = {held}' if (g, held) in sizes else 'true'})" for g in (True, False)))
+    counted = in_batches(known.where(part(False)).select("url", "good")).mapInArrow(_counted, "gram long, context long, a long, b long")
+    grams = written(counted.groupBy("gram", "context").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "grams")
+    kinds = [F.count_if(F.col(m) > 0).alias("k" + m) for m in "ab"]
+    contexts = written(grams.groupBy("context").agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"), *kinds), "contexts")
+    if grams.count() <= BROADCAST_ROWS:  # contexts are never more
+        g, c = ({n: np.asarray(x.column(n)) for n in x.column_names} for x in (grams.toArrow(), contexts.toArrow()))
+        ratio = Ratio([], [])
+        ratio.models = tuple(_model(g, c, m) for m in "ab")
+        shared = spark.sparkContext.broadcast(ratio)
+        add = lambda urls: in_batches(urls).mapInArrow(_score(shared), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema) + ", score double")
+    else:
+        add = lambda urls: _by_join(urls, grams, contexts)
+    steps = add(known.where(part(True)).select("url", "good")).groupBy(F.round(F.col("score") / STEP).alias("s")).agg(F.count_if("good").alias("a"), F.count_if(~F.col("good")).alias("b")).collect()
+    return add, calibrated(np.array([r.s * STEP for r in steps]), np.array([r.a for r in steps]), np.array([r.b for r in steps]))
+
+
+def _model(g: dict, c: dict, m: str) -> Markov:
+    def ordered(keys, *values):
+        keys = keys.view(np.uint64)
+        keep = values[0] > 0
+        order = np.argsort(keys[keep])
+        return tuple(x[keep][order] for x in (keys, *values))
+
+    return Markov.of(ordered(g["gram"], g[m]), ordered(c["context"], c["t" + m], c["k" + m]))
+
+
+def filtered(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, url, host, path, rule, verdict ("allow" or "block") and score of each row.
 
     rules: host, path, verdict. A rule fits its host and all subdomains if the path starts with its path; the longest wins; where none fits,
-    the models decide: "allow" at the threshold or above. They learn from at most per_class URLs of each ruling, those of the least hash.
+    the models decide: "allow" at the threshold or above. They learn from all different URLs with a ruling, of any length; a quarter of these, by
+    hash, is left for the threshold.
     Null URLs, and URLs without "://", have an empty host and path; the models judge them as they are, null as empty. Repeated rows, null ids
     and further columns change nothing; an empty table gives an empty result.
     """
     urls = ruled(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")), rules)
-    known = urls.where(F.col("ruling").isNotNull() & (F.octet_length("url") <= LONGEST))
-    take = lambda verdict: [r.url.encode() for r in known.where(F.col("ruling") == verdict).select("url").distinct().orderBy(F.xxhash64("url"), "url").limit(per_class).collect()]
-    shared = pages.sparkSession.sparkContext.broadcast(Ratio(take("allow"), take("block")))
-    fields = "page_id long, url string, host string, path string, rule string, ruling string"
-    scored = in_batches(urls.select("page_id", "url", "host", "path", "rule", "ruling")).mapInArrow(_score(shared), fields + ", score double")
-    by_model = F.when(F.col("score") >= shared.value.threshold, "allow").otherwise("block")
+    known = urls.where(F.col("ruling").isNotNull()).select("url", (F.col("ruling") == "allow").alias("good")).distinct()
+    add, threshold = _scorer(known)
+    scored = add(urls.select("page_id", "url", "host", "path", "rule", "ruling"))
+    by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return scored.select("page_id", "url", "host", "path", "rule", F.coalesce("ruling", by_model).alias("verdict"), "score")
 
 

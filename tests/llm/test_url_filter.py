@@ -51,3 +51,24 @@ def test_markov_model_is_a_distribution():
 def test_rules_of_one_kind(spark):
     df = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [r.verdict for r in uf.filtered(df).collect()] == ["allow"]
+
+
+def test_models_learn_from_all_ruled_urls(spark, monkeypatch):
+    urls = [f"http://a{i}.com/p/{i}" for i in range(3000)] + [f"http://b{i}.net/{'es' if i % 2 else 'fr'}/{i}" for i in range(3000)] + ["http://long.net/es/" + "z" * 3000] + ["http://c.org/q", None, ""]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    known = uf.ruled(df, uf.RULES).where("ruling is not null").selectExpr("url", "ruling = 'allow' AS good")
+    seen, real = [], uf.Markov.of.__func__
+    monkeypatch.setattr(uf.Markov, "of", classmethod(lambda cls, g, c: seen.append(real(cls, g, c)) or seen[-1]))
+    held = {r.url for r in known.where("pmod(xxhash64(url), 4) = 3").collect()}
+    got = {r.page_id: (r.verdict, r.score) for r in uf.filtered(df).collect()}
+    for model, good in zip(seen, (True, False), strict=True):
+        want = uf.Markov([r.url.encode() for r in known.where(f"good = {good}").collect() if r.url not in held])
+        for name in ("grams", "gram_counts", "contexts", "context_counts", "kinds"):
+            assert np.array_equal(getattr(model, name), getattr(want, name)), name
+    monkeypatch.setattr(uf, "BROADCAST_ROWS", 0)
+    few = df.where("page_id % 50 = 0 or page_id > 6000")
+    joined = {r.page_id: (r.verdict, r.score) for r in uf.filtered(few).collect()}
+    monkeypatch.setattr(uf, "BROADCAST_ROWS", 1 << 20)
+    for r in uf.filtered(few).collect():
+        assert joined[r.page_id][0] == r.verdict and abs(joined[r.page_id][1] - r.score) < 1e-9
+    assert len(got) == len(urls)
