@@ -214,7 +214,7 @@ def noisy_segments(spark, d):
 
 @query("SELECT doc_id, CAST(coalesce(list_max(list_transform(range(1, 41), lambda k: CASE WHEN list_bool_or(list_transform(list_distinct(string_split(text, '')), lambda c: contains(text, repeat(c, CAST(k AS INT))))) THEN k ELSE 0 END)), 0) AS INT) AS run FROM documents")
 def longest_runs(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.least(translate.longest_run(F.col("text")), F.lit(40)).alias("run"))
+    return t(spark, d, "documents").select("doc_id", translate.longest_run(F.col("text")).alias("run"))
 
 
 def _checkpoint(spark, d):

@@ -218,3 +218,10 @@ def test_memory(spark):
     assert memory.merged(df, "key").first().summary == "confirmed 4x, 2024-01-01 to 2024-01-20"
     both = [spark.createDataFrame(x, "k string, v int") for x in ([("a", 1), ("b", 2), ("c", None)], [("b", 3), ("c", None), ("d", 4)])]
     assert {r.k: r.status for r in memory.compared(*both, "k", "v").collect()} == {"a": "removed", "b": "changed", "c": "same", "d": "added"}
+
+
+def test_longest_runs_have_no_limit(spark, tmp_path):
+    from quern.plans import catalogue
+
+    spark.createDataFrame([(1, "a" + "-" * 80), (2, "aab"), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.run for r in catalogue.longest_runs(spark, str(tmp_path)).collect()} == {1: 80, 2: 2, 3: 0}
