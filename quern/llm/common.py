@@ -99,6 +99,14 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0] : offs[-1]], offs - offs[0]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, longer by underscores as long as df has a column of that name, upper and lower case aside."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def chunks(offs: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about size bytes each; a longer row comes alone."""
     i, n = 0, len(offs) - 1
@@ -108,6 +116,19 @@ def chunks(offs: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def stretches(buf: np.ndarray, lo: int, hi: int, ends: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """buf[lo:hi] in stretches of about size bytes that end behind a byte of the class ends, where there is one; one stretch if it's short."""
+    while hi - lo > 2 * size:
+        at = lo + size
+        while at < hi and not len(hit := np.flatnonzero(ends[buf[at : min(hi, at + size)]])):
+            at += size
+        stop = at + int(hit[0]) + 1 if at < hi else hi
+        yield lo, stop
+        lo = stop
+    if lo < hi:
+        yield lo, hi
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values."""
     x = x ^ (x >> np.uint64(31))

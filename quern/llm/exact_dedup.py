@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import ascii_lower, table
+from quern.llm.common import ascii_lower, table, unused
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", content_hash=None) -> DataFrame:
@@ -36,10 +36,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """docs without the rows that classes() doesn't keep; all columns stay. Rows with one id and one text both stay or both go."""
-    keys = classes(docs, id_col, text_col, keep).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_sha_of", F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
-    return marked.join(keys, F.col(id_col).eqNullSafe(F.col("_gone")) & (F.col("_sha_of") == F.col("_sha")), "left_anti").drop("_sha_of")
+    """docs without the rows that classes() doesn't keep; all columns stay, whatever their names. Rows with one id and one text both stay or
+    both go; rows that share an id but not a text are judged apart. Null texts count as empty, null ids lose against others. An empty table
+    gives an empty result."""
+    keys = classes(docs, id_col, text_col, keep).where("not kept").select("doc_id", "text_sha256").distinct()
+    gone, sha, own = (unused(docs, n) for n in ("gone", "gone_sha", "own_sha"))
+    keys = keys.toDF(gone, sha)
+    marked = docs.withColumn(own, F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
+    return marked.join(keys, F.col(id_col).eqNullSafe(F.col(gone)) & (F.col(own) == F.col(sha)), "left_anti").select(*(marked[c] for c in docs.columns))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, gather, in_batches, mix, table, utf8, words, written
+from quern.llm.common import SPACE, TO_LOWER, Fingerprints, chunks, gather, in_batches, mix, stretches, table, unused, utf8, words, written
 from quern.llm.components import components
 
 #: Least dimensions of a point, which pages have, points of an R-tree page, points of a block of a large tree.
@@ -30,28 +30,53 @@ FULL, FLAT_FULL = 15, 65_535
 #: N-grams that a batch holds in at least this many texts, and in this part of its texts, are counted as frequent; so many are broadcast.
 OFTEN, PART, FREQUENT = 4, 0.01, 200_000
 ROUNDS = 3
+#: Rows of one head's trees that a task gets; the trees of a head with more are dealt to several.
+HEAD_ROWS = 1024
+
+
+def _word_prints(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprint and row of each word. A long text goes by stretches that end behind a blank, so what is held at once is little more than
+    the result, eight bytes for a word."""
+    if len(offs) > 2:
+        low = TO_LOWER[buf]
+        s, e, row = words(low, offs)
+        return (Fingerprints(low, 61).of(s, e) if len(s) else np.zeros(0, np.uint64)), row
+    parts = [np.zeros(0, np.uint64)]
+    for lo, hi in stretches(buf, 0, len(buf), SPACE):
+        low = TO_LOWER[buf[lo:hi]]
+        s, e, _ = words(low, np.array([0, len(low)]))
+        if len(s):
+            parts.append(Fingerprints(low, 61).of(s, e))
+    word = np.concatenate(parts)
+    return word, np.zeros(len(word), np.int64)
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and fingerprint of the distinct n-grams of each text, by row and fingerprint; of a text of fewer words, the whole sequence is one."""
-    low = TO_LOWER[buf]
-    s, e, row = words(low, offs)
-    if not len(s):
-        return row, np.zeros(0, np.uint64)
-    word = Fingerprints(low, 61).of(s, e)
+    word, row = _word_prints(buf, offs)
+    if not len(word):
+        return row, word
     rows = len(offs) - 1
-    count = np.bincount(row, minlength=rows)
     rng = np.random.default_rng(62)
     factor = rng.integers(1, 1 << 62, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    if rows == 1 and len(word) >= n:
+        f = np.zeros(len(word) - n + 1, np.uint64)
+        for k in range(n):
+            f += word[k : len(word) - n + 1 + k] * factor[k]
+        f = mix(f)
+        f.sort()
+        f = f[np.append(True, f[1:] != f[:-1])]
+        return np.zeros(len(f), np.int64), f
+    count = np.bincount(row, minlength=rows)
     first = np.cumsum(count) - count
-    at = np.flatnonzero(np.arange(len(s)) - first[row] <= count[row] - n)
+    at = np.flatnonzero(np.arange(len(word)) - first[row] <= count[row] - n)
     f = np.zeros(len(at), np.uint64)
     for k in range(n):
         f += word[at + k] * factor[k]
     f, r = mix(f), row[at]
     few = np.flatnonzero((count > 0) & (count < n))
     if len(few):
-        place = np.arange(len(s)) - first[row]
+        place = np.arange(len(word)) - first[row]
         part = np.isin(row, few)
         sums = np.zeros(rows, np.uint64)
         np.add.at(sums, row[part], word[part] * factor[place[part]])
@@ -350,6 +375,11 @@ def _leaders(cand: DataFrame, points: DataFrame, round_: int, percent: int) -> D
     return best.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
 
 
+def _kid(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart: a fingerprint of id and text."""
+    return F.xxhash64(doc_id, text)
+
+
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row: the size of its set, and the least doc_id that links reach.
 
@@ -358,9 +388,14 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     one set. A component takes no id from null ids; rows with null ids get the component's id, null if it has none. Texts of any length count
     whole; an empty table gives an empty result; further columns are ignored.
     """
+    return _components(docs, n, percent, id_col, text_col, rounds).drop("kid")
+
+
+def _components(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """linked_components(), with kid."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("kid", F.xxhash64("doc_id", "text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("kid", _kid(F.col("doc_id"), F.col("text")))
     often = in_batches(rows.select("text")).mapInArrow(_frequent(n), "f long, c long").groupBy("f").agg(F.sum("c").alias("c"))
     got = often.orderBy(F.desc("c"), "f").limit(FREQUENT).collect()  # bounded by FREQUENT
     known, count = np.array([r.f for r in got], np.int64).view(np.uint64), np.array([r.c for r in got], np.int64)
@@ -383,18 +418,24 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
         cand = written(_open(_rooted(cand, roots)).select("token", "node"), f"open-{k}")
     links = links.unionByName(_linked(_pairs(_rooted(cand, roots), points, percent), texts, n, percent, "links"))
     roots = components(links, "all")
-    full = sets.where("n > 0").select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    full = sets.where("n > 0").select("doc_id", "kid", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = full.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    out = full.join(least, "root").select("doc_id", "kid", F.col("n").alias("n_shingles"), "component_id")
+    return out.unionByName(sets.where("n = 0").select("doc_id", "kid", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs (doc_id, text and others) whose doc_id is the least of their component; all columns stay. Rows without words and rows
-    with null ids all stay; of rows that share the least id, all stay."""
-    found = linked_components(docs, n, percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of docs (doc_id, text and others) whose doc_id is the least of their component; all columns stay, whatever their names.
+
+    A row is told by its id and its text, so of rows that share an id only those go whose text is linked with one of a lesser id. Rows without
+    words, rows with null ids, and rows that share the least id of their component all stay. Null texts count as empty. An empty table gives
+    an empty result.
+    """
+    found = _components(docs, n, percent).where("doc_id <> component_id").select("doc_id", "kid").distinct()
+    gone, key, own = (unused(docs, c) for c in ("gone", "gone_kid", "own_kid"))
+    marked = docs.withColumn(own, _kid(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    left = marked.join(found.toDF(gone, key), (F.col("doc_id").cast("long") == F.col(gone)) & (F.col(own) == F.col(key)), "left_anti")
+    return left.select(*(marked[c] for c in docs.columns))
 
 
 def _open(cand: DataFrame) -> DataFrame:
@@ -413,20 +454,22 @@ def _pairs(cand: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """u, v: all pairs of nodes of different components that share a tree and whose bound allows a link.
 
     Near copies share many trees. Trees are dealt by their head, the node of most trees among theirs, so that most trees of near copies meet
-    in one task, which names a pair once. A head has no more trees than its prefix has n-grams; of trees of more than BLOCK nodes, pairs of
-    blocks are dealt apart, the same blocks for all such trees of a head.
+    in one task, which names a pair once. The trees of a head that hold more than HEAD_ROWS rows together are dealt to several tasks, whole
+    trees each; what two of them name is told apart at the end. Of trees of more than BLOCK nodes, pairs of blocks are dealt apart, the same
+    blocks for all such trees of a head.
     """
     rows = _open(cand)
     degree = rows.groupBy("node").agg(F.count("*").alias("degree"))
     trees = rows.join(degree, "node").groupBy("token").agg(F.max(F.struct("degree", "node")).getField("node").alias("head"), F.first("m").alias("m"))
-    most = trees.groupBy("head").agg(F.ceil(F.max("m") / BLOCK).cast("long").alias("most"))
-    trees = trees.join(most, "head").select("token", "head", F.when(F.col("m") <= BLOCK, F.lit(1).cast("long")).otherwise(F.col("most")).alias("blocks"))
+    most = trees.groupBy("head").agg(F.ceil(F.max("m") / BLOCK).cast("long").alias("most"), F.ceil(F.sum("m") / HEAD_ROWS).alias("shares"))
+    share = F.pmod(F.xxhash64("token"), F.col("shares"))
+    trees = trees.join(most, "head").select("token", "head", share.alias("share"), F.when(F.col("m") <= BLOCK, F.lit(1).cast("long")).otherwise(F.col("most")).alias("blocks"))
     rows = rows.join(trees, "token").join(points.select("node", "n", "vec"), "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("head", "token", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "root", "n", "vec")
-    dealt = rows.repartition("head", "lo", "hi").sortWithinPartitions("head", "lo", "hi", "token")
-    return in_batches(dealt).mapInArrow(_search(percent), "u long, v long").distinct()
+    rows = rows.select("head", "share", "token", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "root", "n", "vec")
+    dealt = rows.repartition("head", "share", "lo", "hi").sortWithinPartitions("head", "share", "lo", "hi", "token")
+    return in_batches(dealt.drop("share")).mapInArrow(_search(percent), "u long, v long").distinct()
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

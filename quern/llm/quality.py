@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, in_batches, table, utf8, words
+from quern.llm.common import CHUNK, SPACE, TO_LOWER, Fingerprints, chunks, in_batches, stretches, table, utf8, words
 from quern.llm.labelled import remainder, sample
 
 #: Buckets of hashed words, length of the vectors, documents of each class in the training sample.
@@ -31,42 +31,93 @@ def _class(members: bytes) -> np.ndarray:
 UPPER, LOWER, DIGIT = _class(bytes(range(65, 91))), _class(bytes(range(97, 123))), _class(bytes(range(48, 58)))
 SPACES, MARKS, ODD = _class(b" \t\r\n\x0b\x0c"), _class(b".,;:!?'\"()-"), _class(b"#$%&*|<>{}[]\\^_~=+@/`")
 HIGH, SHOUT, LINE = _class(bytes(range(128, 256))), _class(b"!?"), _class(b"\n")
+KINDS = (UPPER, LOWER, DIGIT, SPACES, MARKS, ODD, HIGH, SHOUT, LINE)
+
+
+class _Words:
+    """What a stretch of whole words says of its rows: counts, and its distinct words with how often they occur."""
+
+    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+        n = len(offs) - 1
+        low = TO_LOWER[buf]
+        s, e, row = words(low, offs)
+        self.count = np.bincount(row, minlength=n)
+        self.sums = np.zeros((n, 5))  # of the words' lengths, of repeats of the word before, of three odd kinds of words
+        self.prints = np.zeros(0, np.uint64)
+        self.row, self.word, self.times = row, self.prints, np.zeros(0, np.int64)
+        if not len(s):
+            return
+        self.prints = prints = Fingerprints(low, 21).of(s, e)
+        again = (prints[1:] == prints[:-1]) & (row[1:] == row[:-1])
+        shouted = (e - s > 2) & UPPER[buf[s]] & UPPER[buf[np.minimum(s + 1, len(buf) - 1)]]
+        kinds = np.minimum(e - s, 40), np.append(False, again), ODD[buf[e - 1]], shouted, (e - s == 1) & ODD[buf[s]]
+        for k, x in enumerate(kinds):
+            self.sums[:, k] = np.bincount(row, x, n)
+        order = np.lexsort((prints, row))
+        row, prints = row[order], prints[order]
+        at = np.flatnonzero(np.append(True, (prints[1:] != prints[:-1]) | (row[1:] != row[:-1])))
+        self.row, self.word, self.times = row[at], prints[at], np.diff(np.append(at, len(order)))
+
+
+def _tally(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each row the number of bytes of each kind and of words, their sums; and rows, words and numbers of the distinct words, by row. A long
+    text goes by stretches that end behind a blank; what is held of all is a word's fingerprint and number."""
+    n = len(offs) - 1
+    kinds = np.zeros((n, 9))
+    if n > 1 or len(buf) <= 2 * CHUNK:
+        row_of = np.repeat(np.arange(n), np.diff(offs))
+        for k, kind in enumerate(KINDS):
+            kinds[:, k] = np.bincount(row_of[kind[buf]], minlength=n)
+        w = _Words(buf, offs)
+        return kinds, w.count, w.sums, w.row, w.word, w.times
+    count, sums, last = np.zeros(1, np.int64), np.zeros((1, 5)), None
+    word, times, held, more = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+    def merged():
+        every = np.concatenate([word, *(h.word for h in held)])
+        order = np.argsort(every)
+        first = np.flatnonzero(np.append(True, every[order][1:] != every[order][:-1])) if len(every) else np.zeros(0, np.int64)
+        total = np.concatenate([times, *(h.times for h in held)])[order]
+        return every[order][first], np.add.reduceat(total, first) if len(first) else total
+
+    for lo, hi in stretches(buf, 0, len(buf), SPACE):
+        kinds += [[np.count_nonzero(kind[buf[lo:hi]]) for kind in KINDS]]
+        w = _Words(buf[lo:hi], np.array([0, hi - lo]))
+        count, sums = count + w.count, sums + w.sums
+        if len(w.prints):
+            sums[0, 1] += last is not None and w.prints[0] == last
+            last = w.prints[-1]
+        held.append(w)
+        more += len(w.word)
+        if more > max(len(word), CHUNK):
+            word, times = merged()
+            held, more = [], 0
+    word, times = merged()
+    return kinds, count, sums, np.zeros(len(word), np.int64), word, times
 
 
 def features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, buckets and values of hashed words, by row; and a row of statistics for each text."""
+    """Rows, buckets and values of hashed words, by row; and a row of statistics for each text. Words that share a bucket add up, so a text has
+    no more values than there are buckets, however long it is."""
     n = len(offs) - 1
     size = np.maximum(np.diff(offs), 1).astype(float)
-    row_of = np.repeat(np.arange(n), np.diff(offs))
-    stats = np.zeros((n, STATS))
-    stats[:, 0] = np.log1p(np.diff(offs)) / 10
-    for k, kind in enumerate((UPPER, LOWER, DIGIT, SPACES, MARKS, ODD, HIGH, SHOUT, LINE)):
-        stats[:, 1 + k] = np.bincount(row_of[kind[buf]], minlength=n) / size
-    low = TO_LOWER[buf]
-    s, e, row = words(low, offs)
-    if not len(s):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), stats
-    prints = Fingerprints(low, 21).of(s, e)
-    count = np.bincount(row, minlength=n)
+    kinds, count, sums, r, f, times = _tally(buf, offs)
     many = np.maximum(count, 1)
-    stats[:, 10] = np.log1p(count) / 10
-    stats[:, 11] = np.bincount(row, np.minimum(e - s, 40), n) / many / 10
-    again = (prints[1:] == prints[:-1]) & (row[1:] == row[:-1])
-    stats[:, 12] = np.bincount(row[1:][again], minlength=n) / many
-    stats[:, 13] = np.bincount(row[ODD[buf[e - 1]]], minlength=n) / many
-    shouted = (e - s > 2) & UPPER[buf[s]] & UPPER[buf[np.minimum(s + 1, len(buf) - 1)]]
-    stats[:, 14] = np.bincount(row[shouted], minlength=n) / many
-    stats[:, 15] = np.bincount(row[(e - s == 1) & ODD[buf[s]]], minlength=n) / many
-    order = np.lexsort((prints, row))
-    first = np.append(True, (prints[order][1:] != prints[order][:-1]) | (row[order][1:] != row[order][:-1]))
-    at = np.flatnonzero(first)
-    times = np.diff(np.append(at, len(order)))
-    r, f = row[order][at], prints[order][at]
+    stats = np.zeros((n, STATS))
+    stats[:, 0], stats[:, 1:10], stats[:, 10] = np.log1p(np.diff(offs)) / 10, kinds / size[:, None], np.log1p(count) / 10
+    stats[:, 11:16] = sums / many[:, None]
+    stats[:, 11] /= 10
+    if not len(r):
+        return r, np.zeros(0, np.int64), np.zeros(0), stats
     stats[:, 16] = np.bincount(r, minlength=n) / many
     stats[:, 17] = np.bincount(r, times.astype(float) ** 2, n) / many**2
     value = np.log1p(times)
-    norm = np.sqrt(np.bincount(r, value**2, n))
-    return r, (f >> np.uint64(40)).astype(np.int64) % BUCKETS, value / norm[r], stats
+    value /= np.sqrt(np.bincount(r, value**2, n))[r]
+    key = r * BUCKETS + (f >> np.uint64(40)).astype(np.int64) % BUCKETS
+    order = np.argsort(key, kind="stable")
+    at = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    key = key[order][at]
+    return key // BUCKETS, key % BUCKETS, np.add.reduceat(value[order], at), stats
 
 
 class Machine:

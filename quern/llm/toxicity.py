@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import TO_LOWER, Fingerprints, chunks, in_batches, table, utf8, words
+from quern.llm.common import CHUNK, TO_LOWER, Fingerprints, chunks, in_batches, stretches, table, utf8, words
 from quern.llm.labelled import remainder, sample
 
 #: Documents of each class in the training sample, features kept, and least documents and lift of a feature.
@@ -51,16 +51,28 @@ class Model:
         self.known, self.weights, self.bias = known, np.zeros(len(known)) if weights is None else weights, bias
 
     def instances(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (sentence, feature) pairs by sentence: sentence, its row, index of the feature, a byte of the sentence."""
-        f, row, sentence, at = features(buf, offs)
+        """Distinct (sentence, feature) pairs by sentence: sentence, its row, index of the feature, a byte of the sentence. A long text goes
+        by stretches that end between words; a sentence may go on in the next one."""
+        if len(offs) > 2 or len(buf) <= 2 * CHUNK:
+            return self._once(*self._known(*features(buf, offs)))
+        found, stops = [(np.zeros(0, np.int64),) * 4], 0
+        for lo, hi in stretches(buf, 0, len(buf), LETTERS):
+            sentence, row, i, at = self._once(*self._known(*features(buf[lo:hi], np.array([0, hi - lo]))))
+            found.append((sentence + stops, row, i, at + lo))
+            stops += int(np.count_nonzero(STOPS[buf[lo:hi]]))
+        return self._once(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def _known(self, f, row, sentence, at):
         if not len(self.known) or not len(f):
             return (np.zeros(0, np.int64),) * 4
         i = np.minimum(np.searchsorted(self.known, f), len(self.known) - 1)
         hit = np.flatnonzero(self.known[i] == f)
-        _, first = np.unique(sentence[hit] * np.int64(len(self.known)) + i[hit], return_index=True)
-        hit = hit[first]
         return sentence[hit], row[hit], i[hit], at[hit]
 
+    def _once(self, sentence, row, i, at):
+        _, first = np.unique(sentence * np.int64(max(1, len(self.known))) + i, return_index=True)
+        return sentence[first], row[first], i[first], at[first]
+
     def sentences(self, buf, offs):
         """Row, a byte and probability of each sentence with known features."""
         sentence, row, i, at = self.instances(buf, offs)
@@ -98,17 +110,29 @@ class Model:
         self.weights, self.bias = theta[:-1], float(theta[-1])
 
 
+def _present(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and rows, each pair once, by feature."""
+    found = []
+    for lo, hi in stretches(buf, 0, len(buf), LETTERS) if len(offs) == 2 else [(0, len(buf))]:
+        f, row, _, _ = features(buf[lo:hi], offs if len(offs) > 2 else np.array([0, hi - lo]))
+        order = np.lexsort((row, f))
+        f, row = f[order], row[order]
+        once = np.append(True, (f[1:] != f[:-1]) | (row[1:] != row[:-1])) if len(f) else np.zeros(0, bool)
+        found.append((f[once], row[once]))
+    if len(found) == 1:
+        return found[0]
+    f = np.unique(np.concatenate([f for f, _ in found])) if found else np.zeros(0, np.uint64)
+    return f, np.zeros(len(f), np.int64)
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of either class with each feature, counted within the batch."""
     for batch in batches:
         buf, offs = utf8(batch.column("text"))
         y = batch.column("y").to_numpy()
         for i, j in chunks(offs):
-            f, row, _, _ = features(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            order = np.lexsort((row, f))
-            f, row = f[order], row[order]
-            once = np.append(True, (f[1:] != f[:-1]) | (row[1:] != row[:-1])) if len(f) else np.zeros(0, bool)
-            f, own = f[once], y[i:j][row[once]]
+            f, row = _present(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            own = y[i:j][row]
             first = np.flatnonzero(np.append(True, f[1:] != f[:-1])) if len(f) else np.zeros(0, np.int64)
             ones = np.add.reduceat(own, first) if len(f) else first
             both = np.diff(np.append(first, len(f)))
@@ -161,7 +185,9 @@ def _keep(shared, threshold: float):
 
 
 def kept(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
-    """The rows of docs (with a column text) whose texts score less than threshold, with all their columns; null texts score 0 and stay."""
+    """The rows of docs (with a column text) whose texts score less than threshold, with all their columns, whatever their names; null and empty
+    texts, and texts without known features, score 0 and stay. Rows are judged one by one, so repeated rows, repeated ids and null ids stay or
+    go by their texts alone. An empty table gives an empty result; long texts count whole and are read by stretches."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return in_batches(docs).mapInArrow(_keep(shared, threshold), docs.schema)
 
@@ -177,12 +203,14 @@ def _score(shared, offending: float):
                 row, at, p = model.sentences(b, o)
                 score = -np.expm1(np.bincount(row, np.log1p(-np.minimum(p, 1 - 1e-12)), j - i))
                 found = [[] for _ in range(j - i)]
-                for k in np.flatnonzero(p >= offending):
-                    r = int(row[k])
-                    own = STOPS[b[o[r] : o[r + 1]]]
-                    here = int(at[k] - o[r])
-                    before, after = np.flatnonzero(own[:here]), np.flatnonzero(own[here:])
-                    found[r].append({"start": int(before[-1]) + 1 if len(before) else 0, "end": here + int(after[0]) if len(after) else len(own), "score": float(p[k])})
+                bad = np.flatnonzero(p >= offending)
+                stops = np.flatnonzero(STOPS[b]) if len(bad) else bad
+                for k in bad.tolist():
+                    r, here = int(row[k]), int(at[k])
+                    next_ = int(np.searchsorted(stops, here))
+                    start = max(int(o[r]), int(stops[next_ - 1]) + 1 if next_ else 0)
+                    end = min(int(o[r + 1]), int(stops[next_]) if next_ < len(stops) else len(b))
+                    found[r].append({"start": start - int(o[r]), "end": end - int(o[r]), "score": float(p[k])})
                 yield pa.record_batch([batch.column("doc_id")[i:j], pa.array(np.clip(score, 0, 1) + 0.0), pa.array(found, span)], ["doc_id", "score", "offending"])
 
     return run
