@@ -44,3 +44,9 @@ def test_deduplicated(spark):
 def test_main_path_is_native(spark):
     plan = ed.classes(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_columns_that_clash(spark):
+    df = spark.createDataFrame([(1, "a", 1, "x", 2), (2, "A", 1, "y", 2), (2, "b", 1, "z", 2)], "doc_id long, text string, gone int, Gone_Sha string, own_sha int")
+    left = ed.deduplicated(df, keep="largest")
+    assert left.columns == df.columns and sorted(r.Gone_Sha for r in left.collect()) == ["y", "z"]

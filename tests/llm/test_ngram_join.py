@@ -52,9 +52,10 @@ def made(seed=1):
     return [*texts, *few, texts[0], texts[0]]
 
 
-@pytest.mark.parametrize(("block", "rounds"), [(512, 2), (16, 0), (8, 1)])
-def test_against_brute_force(spark, monkeypatch, block, rounds):
+@pytest.mark.parametrize(("block", "rounds", "rows"), [(512, 2, 1024), (16, 0, 40), (8, 1, 8)])
+def test_against_brute_force(spark, monkeypatch, block, rounds, rows):
     monkeypatch.setattr(nj, "BLOCK", block)
+    monkeypatch.setattr(nj, "HEAD_ROWS", rows)
     texts = made(block)
     df = spark.createDataFrame([(i * 3, t, "k", 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, node string, n int, kid int").repartition(6)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.linked_components(df, rounds=rounds).collect()}
@@ -92,3 +93,25 @@ def test_components(spark):
     want = closure({x for e in edges for x in e}, edges)
     assert {k: got.get(k, k) for k in want} == want
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_one_of_each(spark):
+    a, z = "one two three four five six", "another text which is linked with nothing"
+    rows = [(1, a, 0, "p"), (2, a, 1, "q"), (3, z, 2, "r"), (3, a, 3, "s"), (None, a, 4, "t"), (4, None, 5, "u"), (5, "", 6, "v"), (1, a.upper(), 7, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone int, own_kid string")
+    left = nj.one_of_each(df)
+    assert left.columns == df.columns and sorted(r.gone for r in left.collect()) == [0, 2, 4, 5, 6, 7]
+    assert nj.one_of_each(df.limit(0)).collect() == []
+
+
+def test_long_texts_by_stretches(monkeypatch):
+    from quern.llm import common
+
+    r = random.Random(9)
+    text = "".join(r.choice("abcdeé \n\t") for _ in range(9000)).encode()
+    buf, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    whole = nj.shingles(np.concatenate([buf, buf]), np.array([0, len(buf), 2 * len(buf)]), 5)
+    for f in (common.stretches, common.chunks):
+        monkeypatch.setattr(f, "__defaults__", (700,))
+    row, got = nj.shingles(buf, offs, 5)
+    assert not row.any() and got.tolist() == whole[1][whole[0] == 0].tolist()
