@@ -28,6 +28,20 @@ PIECE = 1 << 20
 BORDER = regex.compile(r"\S(?=\s)")
 
 
+def lists(find, part: str) -> Iterator[list[str]]:
+    """Pre-tokens of a text, a list for each piece. Only a long text is cut, where a space or line end follows something else: a pre-token ends
+    there."""
+    at = 0
+    while len(part) - at > PIECE:
+        m = BORDER.search(part, at + PIECE)
+        if not m:
+            break
+        yield find(part, at, m.end())
+        at = m.end()
+    if at < len(part):
+        yield find(part, at)
+
+
 def byte_letters() -> dict[str, int]:
     """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -54,6 +68,8 @@ class Bpe:
         self.pairs: dict[tuple[int, int], int] = {}
         for a, b in merges:
             pair, new = (by_text[a], by_text[b]), by_text.setdefault(a + b, len(self.bytes))
+            if new < len(self.bytes) and self.pairs.get(pair) != new:
+                raise ValueError(f"two merges give {a + b!r}; a token's number stands for its merge's priority here, so such files aren't handled")
             if new == len(self.bytes):
                 self.bytes.append(raw(a + b))
                 self.left.append(pair[0])
@@ -258,18 +274,8 @@ class Bpe:
             if k % 2:
                 yield self.special[part]
             else:
-                yield from self._lists(part)
+                yield from lists(self.find, part)
 
-    def _lists(self, part: str) -> Iterator[list[str]]:
-        at = 0
-        while len(part) - at > PIECE:  # only a long text is cut, where a space or line end follows something else: a pre-token ends there
-            m = BORDER.search(part, at + PIECE)
-            if not m:
-                break
-            yield self.find(part, at, m.end())
-            at = m.end()
-        if at < len(part):
-            yield self.find(part, at)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of each text's."""
@@ -363,6 +369,9 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row of docs (doc_id, text). Null texts count as empty: no tokens, and the digests
+    of nothing. Repeated rows and null ids give rows of their own; further columns are ignored; an empty table gives an empty result; texts of
+    any length are encoded whole."""
     both = encoded(docs, path, decode=True)
     said = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

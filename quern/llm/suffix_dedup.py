@@ -27,6 +27,8 @@ from quern.llm.common import CHUNK, Fingerprints, chunks, gather, in_batches, mi
 ANCHOR = 256
 #: Kinds of a suffix: no token repeats, the leading one does, both do; the last stands for equal ones where the leading token is contested.
 EMPTY, GRAM, FULL, CHOSEN = 0, 1, 2, 3
+#: Places of a text whose ranges are joined at once.
+STARTS = 1 << 14
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -106,10 +108,10 @@ def _window_batches(size: int):
                 s1, s2 = own.field("s1").to_numpy().astype(np.int64), own.field("s2").to_numpy().astype(np.int64)
                 order = np.argsort(s1)
                 s1, s2 = s1[order], s2[order]
-                b = buf[offs[i] : offs[i + 1]]
+                b, ends = buf[offs[i] : offs[i + 1]], np.maximum.accumulate(s2)
                 lo = 0
                 while lo < len(s1):  # ranges that lie within one chunk
-                    hi = max(lo + 1, int(np.searchsorted(s2, s1[lo] + CHUNK, "right")))
+                    hi = max(lo + 1, int(np.searchsorted(ends, s1[lo] + CHUNK, "right")))
                     at = int(s1[lo])
                     part = b[at : int(s2[lo:hi].max()) + size]
                     one, two = Fingerprints(part, 3), Fingerprints(part, 4)
@@ -217,6 +219,36 @@ def _cut(size: int):
     return run
 
 
+def _merged(gap: int):
+    """Ranges of a row's starts, sorted; those that lie no more than gap apart become one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("s1", pa.int32()), ("s2", pa.int32())])
+        for batch in batches:
+            spans, cuts, firsts, lasts = batch.column("spans"), [0], [], []
+            for i in range(len(batch)):
+                own = spans[i].values
+                s1, s2 = own.field("s1").to_numpy(), own.field("s2").to_numpy()
+                order = np.argsort(s1)
+                s1, end = s1[order], np.maximum.accumulate(s2[order])
+                first = np.flatnonzero(np.append(True, s1[1:] > end[:-1] + gap))
+                firsts.append(s1[first])
+                lasts.append(end[np.append(first[1:], len(s1)) - 1])
+                cuts.append(cuts[-1] + len(first))
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()) for x in (firsts, lasts)], fields=list(kind))
+            yield pa.record_batch([batch.column("did"), batch.column("kid"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], ["did", "kid", "spans"])
+
+    return run
+
+
+def _of_rows(spans: DataFrame, gap: int) -> DataFrame:
+    """did, kid and the ranges of starts of each row. A long text that repeats as a whole has a range for each byte; they are joined within
+    STARTS places first, so that no group holds more than these, and a row little more than its separate ranges."""
+    blocks = spans.groupBy("did", "kid", F.expr(f"s1 div {STARTS}").alias("block")).agg(F.collect_set(F.struct("s1", "s2")).alias("spans"))
+    joined = in_batches(blocks.select("did", "kid", "spans")).mapInArrow(_merged(gap), "did long, kid long, spans array<struct<s1:int,s2:int>>")
+    return joined.groupBy("did", "kid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 400, anchor: int | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, spans (removed runs, byte offsets), kept (the remaining bytes).
 
@@ -231,10 +263,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("did", F.coalesce("doc_id", F.lit(-sys.maxsize - 1))).withColumn("kid", F.xxhash64("doc_id", "text"))
     keys = "lead long, tail long, did long, kid long, s1 int, s2 int"
     kinds = compared(in_batches(rows.select("did", "kid", "text")).mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors")
-    span = F.struct("s1", "s2")
-    contested = kinds.where(f"kind IN ({GRAM}, {CHOSEN})").groupBy("did", "kid").agg(F.collect_set(span).alias("spans"))
+    contested = _of_rows(kinds.where(f"kind IN ({GRAM}, {CHOSEN})"), 1)
     windows = in_batches(rows.select("did", "kid", "text").join(contested, ["did", "kid"]).select("did", "kid", "text", "spans")).mapInArrow(_window_batches(min_bytes), keys)
-    repeated = kinds.unionByName(compared(windows, "windows")).where(f"kind >= {FULL}").groupBy("did", "kid").agg(F.collect_set(span).alias("spans"))
+    repeated = _of_rows(kinds.unionByName(compared(windows, "windows")).where(f"kind >= {FULL}"), min_bytes)
     cut = rows.join(repeated, ["did", "kid"], "left").select("doc_id", "text", "spans")
     return in_batches(cut).mapInArrow(_cut(min_bytes), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
 

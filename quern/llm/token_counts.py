@@ -1,25 +1,33 @@
 """Token counts by a map-side two-tier lookup.
 
 A compact table of frequent pre-tokens and their numbers of tokens is broadcast; what it misses is encoded once for each worker and kept
-in a cache of bounded size. No pre-token is ever shuffled. The frequent table comes from a bounded sample of texts; it only warms the
-caches and changes no result.
+in a cache of bounded size. No pre-token is ever shuffled. The frequent table comes from all texts: each task counts its words in a table of
+bounded size and passes on those that make up at least a SHARE of its words, so what meets is a short list from each task. The table changes
+no result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.bpe import PATTERN, vocabulary
-from quern.llm.common import chunks, in_batches, table, utf8
+from quern.llm.bpe import PATTERN, lists, vocabulary
+from quern.llm.common import Fingerprints, chunks, in_batches, stretches, table, utf8
 
-#: Rows of the broadcast table, texts and characters of each in the sample that it comes from, pre-tokens in a worker's cache.
-FREQUENT, SAMPLE, SAMPLE_LENGTH, CACHE, CACHED_LENGTH = 32_768, 1_000, 4_096, 400_000, 64
+#: Rows of the broadcast table, part of a task's words that makes one frequent there, words that a task counts at once, pre-tokens in a
+#: worker's cache and the longest of them, pre-tokens looked up at once.
+FREQUENT, SHARE, COUNTED, CACHE, CACHED_LENGTH, LOOKED_UP = 32_768, 1 / 65_536, 1 << 18, 400_000, 64, 1 << 18
+#: Kinds of bytes: blanks, letters (and whatever isn't ASCII), digits, others.
+KIND = np.full(256, 3, np.int8)
+KIND[[*range(9, 14), 32]] = 0
+KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+KIND[48:58] = 2
+BLANK = KIND == 0
 
 
 class Counts:
@@ -48,40 +56,102 @@ class Counts:
             self.pieces = regex.compile(PATTERN).findall
             self.cut = regex.compile("|".join(regex.escape(t["content"]) for t in sorted(added, key=lambda t: -len(t["content"])))) if added else None
 
-    def words(self, text: str) -> tuple[list[str], int]:
-        """Pre-tokens of a text, and its number of special strings."""
-        if not self.cut or not self.cut.search(text):
-            return self.pieces(text), 0
-        parts = self.cut.split(text)
-        return [w for p in parts for w in self.pieces(p)], len(parts) - 1
+    def words(self, text: str) -> Iterator[list[str] | int]:
+        """Lists of pre-tokens of a text, and 1 for each special string."""
+        parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
+        for k, part in enumerate(parts):
+            if k:
+                yield 1
+            yield from lists(self.pieces, part)
 
     def of(self, texts: list[str]) -> list[int]:
         if self.sp:
             return [len(x) for x in self.sp.encode(texts, num_threads=1)]
         if not self.pieces:
             return [len(x.ids) for x in self.tok.encode_batch(texts, add_special_tokens=False)]
-        return [sum(map(self.cached.__getitem__, words)) + special for words, special in self._looked_up(texts)]
-
-    def _looked_up(self, texts: list[str]) -> list[tuple[list[str], int]]:
-        split = [self.words(t) for t in texts]
-        needed = set().union(*(w for w, _ in split))
+        total, held, size = [0] * len(texts), [], 0
+        for i, text in enumerate(texts):
+            for words in self.words(text):
+                if isinstance(words, int):
+                    total[i] += words
+                    continue
+                held.append((i, words))
+                size += len(words)
+                if size > LOOKED_UP:
+                    self._add(held, total)
+                    held, size = [], 0
+        self._add(held, total)
+        return total
+
+    def _add(self, held: list[tuple[int, list[str]]], total: list[int]) -> None:
+        needed = set().union(*(w for _, w in held))
         if len(self.cached) + len(needed) > CACHE + len(self.frequent):
             self.cached = dict(self.frequent)
         missed = list(needed.difference(self.cached))
         for i in range(0, len(missed), 20_000):
             part = missed[i : i + 20_000]
             self.cached.update(zip(part, (len(x.ids) for x in self.tok.encode_batch(part, add_special_tokens=False)), strict=True))
-        return split
+        for i, words in held:
+            total[i] += sum(map(self.cached.__getitem__, words))
+        for w in missed:  # long ones hardly recur, so the cache is bounded in bytes, too
+            if len(w) > CACHED_LENGTH:
+                del self.cached[w]
+
+
+class _Table:
+    """Words and their numbers, the rarer half of which goes whenever there are more than COUNTED of them."""
+
+    def __init__(self):
+        self.counts: dict[bytes, int] = {}
+        self.all = 0
+
+    def add(self, buf: np.ndarray, offs: np.ndarray) -> None:
+        """Runs of bytes of a kind count as words, each with the blank before it."""
+        kind, heads = KIND[buf], np.zeros(len(buf) + 1, bool)
+        heads[offs] = True
+        s = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]) | heads[:-1]) if len(buf) else np.zeros(0, np.int64)
+        e = np.append(s[1:], len(buf))
+        word = kind[s] > 0
+        s, e = s[word], e[word]
+        s = s - ((s > 0) & (buf[s - 1] == 32) & ~heads[s])
+        short = e - s <= CACHED_LENGTH
+        s, e = s[short], e[short]
+        if not len(s):
+            return
+        self.all += len(s)
+        _, first, n = np.unique(Fingerprints(buf, 71).of(s, e), return_index=True, return_counts=True)
+        raw, counts = buf.tobytes(), self.counts
+        for a, b, c in zip(s[first].tolist(), e[first].tolist(), n.tolist(), strict=True):
+            w = raw[a:b]
+            counts[w] = counts.get(w, 0) + c
+        if len(counts) > COUNTED:
+            self.counts = dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: COUNTED // 2])
+
+
+def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frequent words of a task and their numbers."""
+    found = _Table()
+    for batch in batches:
+        buf, offs = utf8(batch.column("text"))
+        for i, j in chunks(offs):
+            if j - i > 1:
+                found.add(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            else:
+                for lo, hi in stretches(buf, int(offs[i]), int(offs[j]), BLANK):
+                    found.add(buf[lo:hi], np.array([0, hi - lo]))
+    often = {w: n for w, n in found.counts.items() if n >= max(2, SHARE * found.all)}
+    yield pa.record_batch([pa.array(list(often), pa.binary()), pa.array(list(often.values()), pa.int64())], ["word", "n"])
 
 
 def frequent_words(docs: DataFrame, path: str, text_col: str = "text") -> dict[str, int]:
-    """The FREQUENT most common pre-tokens of at most SAMPLE texts (the first SAMPLE_LENGTH characters of each), with their tokens' numbers."""
+    """The FREQUENT most common words of all texts that are pre-tokens, with their numbers of tokens. At most FREQUENT rows come to the driver."""
     counts = Counts(path)
     if not counts.pieces:
         return {}
-    texts = [r[0] for r in docs.select(F.substring(F.col(text_col).cast("string"), 1, SAMPLE_LENGTH)).head(SAMPLE) if r[0]]
-    common = [w for w, _ in Counter(w for t in texts for w in counts.words(t)[0] if len(w) <= CACHED_LENGTH).most_common(FREQUENT)]
-    return dict(zip(common, (len(x.ids) for x in counts.tok.encode_batch(common, add_special_tokens=False)), strict=True))
+    rows = in_batches(docs.select(F.col(text_col).cast("string").alias("text"))).mapInArrow(_heavy, "word binary, n long")
+    best = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()
+    words = [w for r in best if counts.pieces(w := bytes(r.word).decode("utf-8", "replace")) == [w]]
+    return dict(zip(words, (len(x.ids) for x in counts.tok.encode_batch(words, add_special_tokens=False)), strict=True))
 
 
 _loaded: dict[str, Counts] = {}
@@ -109,7 +179,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
 
     path: a file of the tokenizers (.json) or sentencepiece (.model) library that every executor can read; no begin, end or added special
     tokens, padding or truncation. Null text counts as empty: 0 bytes and tokens. Null and repeated ids stay; further columns are ignored; an
-    empty table gives an empty result; whole texts count. Files other than byte-level BPE are counted text by text.
+    empty table gives an empty result; whole texts count, long ones in pieces that end where pre-tokens do. Files other than byte-level BPE are counted text by text.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_words(rows, path))

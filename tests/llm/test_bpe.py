@@ -81,3 +81,44 @@ def test_counts_equal_the_libraries(spark, name):
     want = [(r.doc_id, len((r.text or "").encode()), n := count(r.text or ""), n > 20) for r in frame(spark).collect()]
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in token_counts(frame(spark), path, limit=20).collect())
     assert token_counts(frame(spark).limit(0), path).collect() == []
+
+
+def test_merges_that_give_one_token_are_refused(tmp_path):
+    import json
+
+    letters = sorted(bpe.byte_letters(), key=bpe.byte_letters().get)
+    vocab = {c: i for i, c in enumerate(letters)} | {"ab": 256, "bc": 257, "abc": 258}
+    spec = {"model": {"type": "BPE", "vocab": vocab, "merges": ["a b", "b c", "ab c", "a bc"]}, "pre_tokenizer": {"type": "ByteLevel"}, "added_tokens": []}
+    (tmp_path / "two.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="two merges"):
+        bpe.Bpe(str(tmp_path / "two.json"))
+
+
+def test_frequent_words_come_from_all_texts(spark, monkeypatch):
+    from quern.llm import token_counts as tc
+
+    rows = [(i, "first words only " * 3) for i in range(50)] + [(i, "it's  later: often 12 often\n\noften" + " x" * i) for i in range(50, 2500)]
+    words = tc.frequent_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), PATH)
+    lib = tokenizers.Tokenizer.from_file(PATH)
+    assert {" often", " later", ":", " 12", " x", "often"} <= set(words)
+    assert all(n == len(lib.encode(w, add_special_tokens=False).ids) for w, n in words.items())
+    monkeypatch.setattr(tc, "LOOKED_UP", 10)
+    monkeypatch.setattr(tc, "CACHE", 20)
+    monkeypatch.setattr(bpe, "PIECE", 30)
+    counts = tc.Counts(PATH, words)
+    t = texts()
+    assert counts.of(t) == [len(e.ids) for e in lib.encode_batch(t, add_special_tokens=False)]
+    assert not any(len(w) > tc.CACHED_LENGTH for w in counts.cached) and len(counts.cached) <= 20 + len(words) + 1000
+
+
+def test_table_stays_bounded(monkeypatch):
+    import numpy as np
+    from quern.llm import token_counts as tc
+
+    monkeypatch.setattr(tc, "COUNTED", 100)
+    table = tc._Table()
+    for i in range(60):
+        text = (" often seen " + " ".join(f"w{i}x{k}" for k in range(40))).encode()
+        table.add(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert len(table.counts) <= 100 and table.counts[b" often"] == 60 == table.counts[b" seen"]
+    table.add(np.zeros(0, np.uint8), np.array([0]))

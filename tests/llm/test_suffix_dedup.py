@@ -43,6 +43,15 @@ def test_against_brute_force(spark):
         check(spark, made(seed), size)
 
 
+def test_ranges_of_long_texts_by_blocks(spark, monkeypatch):
+    from quern.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "STARTS", 64)
+    r = random.Random(6)
+    long = "".join(r.choice("abcd ") for _ in range(3000))
+    check(spark, [long, long, long[:1500] + "X" + long[1500:], "q" + long[700:800], *made(4, 20)], 40)
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     from quern.llm import suffix_dedup
 
