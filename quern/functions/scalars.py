@@ -63,8 +63,9 @@ def subtitles_filter(path: Column) -> Column:
     return F.concat(F.lit("subtitles='"), s, F.lit("'"))
 
 
-#: Parts of a host that tell a platform, and the languages asked for on it; fixed values.
+#: Parts of a host that tell a platform, and the language asked for on one, else on all others; fixed values.
 PLATFORMS = [("youtube", ["youtube.com", "youtu.be", "youtube-nocookie.com"]), ("bilibili", ["bilibili.com", "b23.tv"])]
+PLATFORM_LANGUAGE, OTHER_LANGUAGE = ("bilibili", "zh-CN"), "en"
 
 
 def platform(url: Column) -> Column:
@@ -78,6 +79,18 @@ def platform(url: Column) -> Column:
     return out
 
 
+def subtitle_language(url: Column, asked: Column | None = None) -> Column:
+    """The language asked for; else that of the platform; none on unknown platforms, which have no subtitles to fetch."""
+    on = platform(url)
+    usual = F.when(on == PLATFORM_LANGUAGE[0], PLATFORM_LANGUAGE[1]).when(on != "unknown", OTHER_LANGUAGE)
+    return F.when(on != "unknown", F.coalesce(asked, usual)) if asked is not None else usual
+
+
+def language(own: Column, source: Column, override: str = "auto") -> Column:
+    """The override unless it is "auto"; else the first of the two that isn't empty; else "auto"."""
+    return F.lit(override) if override != "auto" else F.coalesce(F.nullif(own, F.lit("")), F.nullif(source, F.lit("")), F.lit("auto"))
+
+
 def suffix_type(source: Column) -> Column:
     """Reader for a source: URLs are web; else by the suffix; anything unknown is text."""
     suffix = F.lower(F.regexp_extract(source, r"(\.[^./\\]+)$", 1))

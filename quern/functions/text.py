@@ -40,6 +40,10 @@ SYMBOL_RULES = [
     (r"(?U)\s+(?=[」』）])", ""),
     (r"\n{3,}", "\n\n"),
 ]
+#: What the symbol rules are about, in their order.
+RULE_NAMES = [
+    "hearts", "decor", "tildes", "dashes", "exclamations", "questions", "ellipses", "kana_runs", "latin_runs", "han_runs", "blank_before_mark", "blank_after_opening", "blank_before_closing", "blank_lines",
+]
 #: Besides letters and digits, these characters don't count as symbols; a fixed value.
 NO_SYMBOLS = " \\-。，、！？…：；（）()「」『』【】〈〉《》“”\"'"
 
@@ -151,6 +155,14 @@ def symbols(x: Column) -> Column:
     return x
 
 
+def rules(x: Column, *names: str) -> Column:
+    """The symbol rules of these names, in the order in which they apply."""
+    for name, (pattern, by) in zip(RULE_NAMES, SYMBOL_RULES, strict=True):
+        if name in names:
+            x = F.regexp_replace(x, pattern, by)
+    return x
+
+
 def symbol_count(line: Column) -> Column:
     return F.length(F.regexp_replace(line, rf"[\p{{L}}\p{{N}}{NO_SYMBOLS}]", ""))
 

@@ -80,3 +80,23 @@ def compared(baseline: DataFrame, current: DataFrame, key: str, value: str) -> D
 def changed_since(files: DataFrame, mark: Column, state_path: str, changed: str = "changed", path: str = "path") -> DataFrame:
     """Files changed after the mark, but for the one that keeps the mark."""
     return files.where((F.col(changed) > mark) & (F.col(path) != state_path))
+
+
+def by_time_cost(tasks: DataFrame, minutes: str, times: str) -> DataFrame:
+    """Tasks with the hours a month that they take, those that take most first."""
+    return tasks.withColumn("hours", F.col(minutes) * F.col(times) / 60).orderBy(F.desc("hours"), *tasks.columns)
+
+
+def best_near(frames: DataFrame, key: str, at: str, target: Column, within: Column, score: str, *rest: str) -> DataFrame:
+    """Of each key, among what lies within a span around the target time, the row of the best score; of equal ones the nearest, then the first.
+    A struct's maximum keeps one row for each key and task before the shuffle."""
+    away = F.abs(F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(target.cast("timestamp")))
+    near = frames.withColumn("_away", away).where(F.col("_away") <= within)
+    best = F.max_by(F.struct(score, at, *rest), F.struct(F.col(score), -F.col("_away"), -F.unix_micros(F.col(at).cast("timestamp")), *(-F.col(c) for c in rest)))
+    return near.groupBy(key).agg(best.alias("b")).select(key, "b.*")
+
+
+def list_with_details(items: DataFrame, details: DataFrame, key: str, **sums: str) -> DataFrame:
+    """Each item of a list with the number of its details and sums of their columns (name=column); 0 where there are none."""
+    per = details.groupBy(key).agg(F.count("*").alias("details"), *(F.sum(c).alias(n) for n, c in sums.items()))
+    return items.join(per, key, "left").na.fill(0, ["details", *sums])

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import scalars as S
@@ -48,6 +48,17 @@ def median_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int = 6
     return matches.withColumn("v", value).where(F.col("step").between(low, high)).groupBy(*keys).agg(F.median("v").cast("double").alias("baseline"))
 
 
+def latest_and_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int = 60) -> DataFrame:
+    """latest_record() and median_baseline() in one row for each key, from one pass over the matches."""
+    value = F.coalesce("sec_per_step", F.when((F.col("runtime") != 0) & (F.col("step") != 0), F.col("runtime") / F.col("step")))
+    fields = ("path", "step", "total", "loss", "sec_per_step", "runtime", "ts")
+    # Of the last matches of all files the furthest counts; whether a match is its file's last shows from the file's greatest place alone.
+    last = F.max("nth").over(Window.partitionBy(*keys, "path"))
+    rank = F.struct(-F.col("step"), -F.coalesce("ts", F.lit(0.0)), -F.coalesce("runtime", F.lit(0.0)), F.col("path"))
+    rows = matches.withColumns({"_v": F.when(F.col("step").between(low, high), value), "_rank": F.when(F.col("nth") == last, rank)})
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*fields), "_rank").alias("r"), F.median("_v").cast("double").alias("baseline")).where("r IS NOT NULL").select(*keys, "r.*", "baseline")
+
+
 def progress(records: DataFrame) -> DataFrame:
     """Adds percent, seconds_per_step, eta_seconds and status to records with step, total, sec_per_step and runtime."""
     per = F.coalesce("sec_per_step", F.when((F.col("runtime") != 0) & (F.col("step") != 0), F.col("runtime") / F.col("step")))
@@ -84,7 +95,7 @@ def process_memory(counters: DataFrame, pid: int) -> DataFrame:
 
 def device_line(line: Column) -> Column:
     """Six fields of a device query's line, null where there are fewer."""
-    parts = F.transform(F.split(line, ","), F.trim)
+    parts = F.transform(F.split(line, ","), lambda p: F.trim(p))  # bare, trim would take the place for what to cut off
     num = lambda i: F.get(parts, F.lit(i)).try_cast("int")
     names = ["dedicated_total_mb", "dedicated_used_mb", "dedicated_free_mb", "gpu_util_percent", "temperature_c"]
     return F.when(F.size(parts) >= 6, F.struct(F.get(parts, F.lit(0)).alias("gpu_name"), *(num(i + 1).alias(n) for i, n in enumerate(names))))

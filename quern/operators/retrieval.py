@@ -3,7 +3,9 @@ usual ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Weights, least scores, pool size; fixed values. K1 and B are BM25's usual parameters.
@@ -26,23 +28,43 @@ def vector_pool(vectors: DataFrame, query: list[float], key: str, vector: str, n
     return vectors.select(key, cosine(F.col(vector), q).alias("score")).orderBy(F.desc("score"), key).limit(n)
 
 
+def _count(text: Column, term: str) -> Column:
+    """How often a word stands in a lower-cased text; texts without its letters aren't searched by pattern."""
+    return F.when(F.contains(text, F.lit(term)), F.regexp_count(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])\Q{term}\E(?![\p{{L}}\p{{N}}])"))).otherwise(0)
+
+
 def keyword_pool(texts: DataFrame, terms: list[str], key: str, text: str, n: int = POOL) -> DataFrame:
-    """key, score (BM25 of the terms) of the n best texts. Term counts are columns, so statistics are one aggregation and nothing is exploded."""
-    equals = lambda t: lambda w: w == t
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    counted = texts.select(key, words.alias("_w")).select(key, F.size("_w").alias("_n"), *(F.size(F.filter("_w", equals(t))).alias(f"_t{i}") for i, t in enumerate(terms)))
+    """key, score (BM25 of the terms) of the n best texts. Words are counted, not cut out; statistics are one aggregation and nothing is exploded."""
+    low = texts.select(key, F.lower(text).alias("_low"))
+    counted = low.select(key, F.regexp_count("_low", F.lit(r"[\p{L}\p{N}]+")).alias("_n"), *(_count(F.col("_low"), t).alias(f"_t{i}") for i, t in enumerate(terms)))
     stats = counted.agg(F.count("*").alias("_docs"), F.avg("_n").alias("_mean"), *(F.count_if(F.col(f"_t{i}") > 0).alias(f"_d{i}") for i in range(len(terms))))
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = F.log(1 + (F.col("_docs") - F.col(f"_d{i}") + 0.5) / (F.col(f"_d{i}") + 0.5))
         score = score + idf * F.col(f"_t{i}") * (K1 + 1) / (F.col(f"_t{i}") + K1 * (1 - B + B * F.col("_n") / F.col("_mean")))
-    return counted.crossJoin(F.broadcast(stats)).select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(n)
+    held = functools.reduce(Column.__or__, (F.col(f"_t{i}") > 0 for i in range(len(terms))), F.lit(False))
+    return counted.where(held).crossJoin(F.broadcast(stats)).select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(n)
+
+
+def length_share(chars: Column) -> Column:
+    """What a text's length leaves of its score: all up to LENGTH_ANCHOR characters, less by half of each doubling beyond (this module's formula;
+    only the anchor is given). Unknown lengths leave all."""
+    return F.coalesce(1 / (1 + 0.5 * F.log2(F.greatest(chars / LENGTH_ANCHOR, F.lit(1.0)))), F.lit(1.0))
 
 
 def hybrid(vectors: DataFrame, texts: DataFrame, query: list[float], terms: list[str], key: str, vector: str, text: str) -> DataFrame:
-    """key, vector_score, keyword_score (as a share of the best), score: pools joined, weighed, and cut at the least scores."""
+    """key, vector_score, keyword_score (as a share of the best), score: pools joined, weighed and cut at MIN_SCORE, then weighed by length and
+    cut at HARD_MIN_SCORE. No more than two pools of rows are joined or broadcast."""
     v = vector_pool(vectors, query, key, vector).withColumnRenamed("score", "vector_score")
     k = keyword_pool(texts, terms, key, text)
-    k = k.crossJoin(F.broadcast(k.agg(F.max("score").alias("_top")))).select(key, (F.col("score") / F.col("_top")).alias("keyword_score"))
+    k = k.withColumn("keyword_score", F.col("score") / F.max("score").over(Window.partitionBy(F.lit(0)))).drop("score")
     both = v.join(k, key, "full").na.fill(0.0, ["vector_score", "keyword_score"])
-    return both.withColumn("score", VECTOR * F.col("vector_score") + KEYWORD * F.col("keyword_score")).where(F.col("score") >= HARD_MIN_SCORE)
+    both = both.withColumn("score", VECTOR * F.col("vector_score") + KEYWORD * F.col("keyword_score")).where(F.col("score") >= MIN_SCORE)
+    sized = texts.select(key, F.length(text).alias("_chars")).join(F.broadcast(both.select(key)), key, "left_semi")
+    sized = both.join(F.broadcast(sized), key, "left")
+    return sized.withColumn("score", F.col("score") * length_share(F.col("_chars"))).drop("_chars").where(F.col("score") >= HARD_MIN_SCORE)
+
+
+def keyword_search(df: DataFrame, key: str, text: str, word: str, limit: int = 10) -> DataFrame:
+    """The first limit keys whose texts hold the word, case aside."""
+    return df.where(F.contains(F.lower(text), F.lit(word.lower()))).select(key).orderBy(key).limit(limit)

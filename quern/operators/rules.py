@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,8 @@ RED_FLAGS = [
     ("obfuscated", r"(obfuscat|minified)"), ("elevated", r"\bsudo\b"), ("browser_data", r"(cookie|session storage)"), ("credential_files", r"(\.netrc|id_rsa|\.pem\b)"),
 ]
 
-#: Families of watch words; a selection of the phrases that the families name, as plain patterns without groups that capture.
+#: Families of watch words; a selection of the phrases that the families name, as plain patterns without groups that capture. The texts are
+#: lower-cased, but for the families in AS_WRITTEN. For "variation" and "threes" no phrases are given; the patterns are this module's reading.
 WATCH_WORDS = [
     ("significance", r"(?:testament to|pivotal|crucial|indelible mark|deeply rooted|evolving landscape|focal point)"), ("notability", r"(?:media outlets|leading expert|social media presence)"),
     ("ing_endings", r"(?:highlighting|underscoring|emphasizing|showcasing|fostering|encompassing)"), ("promotion", r"(?:vibrant|profound|nestled|groundbreaking|renowned|breathtaking|stunning)"),
@@ -30,7 +33,13 @@ WATCH_WORDS = [
     ("parallels", r"(?:not only|not just)"), ("ranges", r"(?:from [a-z]+ to [a-z]+)"), ("em_dash", r"—"), ("bold", r"\*\*[^*]+\*\*"), ("list_headers", r"- \*\*"), ("curly_quotes", r"[“”]"),
     ("artifacts", r"(?:i hope this helps|of course!|certainly!|let me know)"), ("disclaimers", r"(?:as of my|based on available information)"), ("servile", r"(?:great question|you're absolutely right)"),
     ("filler", r"(?:in order to|due to the fact that|at this point in time|it is important to note)"), ("hedging", r"(?:could potentially|might possibly)"), ("conclusions", r"(?:the future looks bright|exciting times)"),
+    ("vocabulary", r"(?:additionally|align with|delve|enduring|enhance|garner|interplay|intricate|intricacies|tapestry|underscore|valuable)"),
+    ("threes", r"[a-z]+, [a-z]+,? and [a-z]+"), ("variation", r"(?:the protagonist|the main character|the central figure|the hero)"),
+    ("title_case", r"(?m)^#+ [A-Z][a-z]+(?: [A-Z][a-z]+)+$"), ("emojis", r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"),
 ]
+AS_WRITTEN = {"title_case", "emojis"}
+#: What a text must hold for a pattern to be worth trying, where the pattern isn't a list of phrases.
+NEEDS = {"ranges": "from ", "em_dash": "—", "bold": "**", "list_headers": "- **", "threes": " and ", "title_case": "# "}
 
 #: Filler phrases and what replaces them; fixed values.
 FILLER = [
@@ -53,8 +62,17 @@ ENGINES = [
     ("Qwant", "https://www.qwant.com/?q={keyword}", "global"), ("WolframAlpha", "https://www.wolframalpha.com/input?i={keyword}", "global"),
 ]
 PERIODS = {"hour": "qdr:h", "day": "qdr:d", "week": "qdr:w", "month": "qdr:m", "year": "qdr:y"}
-#: First engine for a goal; fixed values.
-GOALS = [("programming", "Google"), ("privacy", "DuckDuckGo"), ("knowledge", "WolframAlpha"), ("chinese", "Google HK"), ("europe", "Qwant"), ("environment", "Ecosia"), ("unfiltered", "Brave")]
+#: The first engine for a goal and the others in order; fixed values.
+GOALS = [
+    ("research", ["Google Scholar", "Google", "Brave"]), ("programming", ["Google", "GitHub"]), ("privacy", ["DuckDuckGo", "Startpage", "Brave"]), ("news", ["Brave News", "Google News"]),
+    ("knowledge", ["WolframAlpha", "Google"]), ("chinese", ["Google HK", "Bing"]), ("europe", ["Qwant", "Startpage"]), ("environment", ["Ecosia", "DuckDuckGo"]), ("unfiltered", ["Brave", "Startpage"]),
+]
+#: Files and folders that are kept, and what goes of one of these folders; fixed values.
+KEPT = ["openclaw.json", "workspace", "cron", "identity/device.json", ".config-baseline.sha256", "agents/main/agent/auth-profiles.json"]
+LEFT_OUT = [
+    "workspace/backups", "workspace/memory", "workspace/tmp", "workspace/canvas", "workspace/output", "workspace/research/memory-lancedb-pro", "workspace/.clawhub", "workspace/tmp-*", "*/output",
+    "*/.venv", "*/__pycache__", "*/.pytest_cache", "*/.mypy_cache", "*/.ruff_cache", "*/node_modules", "*/.git", "*/.clawhub",
+]
 
 
 def scan_gate(output: Column, exit_code: Column | None = None) -> Column:
@@ -71,8 +89,20 @@ def flagged(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]]
 
 
 def pattern_counts(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]] = WATCH_WORDS) -> DataFrame:
-    low = F.lower(text)
-    return df.select(key, *(F.regexp_count(low, F.lit(p)).cast("long").alias(n) for n, p in patterns))
+    """key and, for each pattern, how often it matches. A search for plain bytes comes first, as few texts hold any of a pattern's phrases."""
+    rows = df.select(key, F.col(text).alias("_text"), F.lower(text).alias("_low"))
+
+    def count(name: str, pattern: str) -> Column:
+        x = F.col("_text") if name in AS_WRITTEN else F.col("_low")
+        inner = pattern[3:-1].split("|") if pattern.startswith("(?:") and pattern.endswith(")") else []
+        phrases = inner if inner and all(re.fullmatch(r"[a-z' !]+", p) for p in inner) else [NEEDS[name]] if name in NEEDS else []
+        n = F.regexp_count(x, F.lit(pattern)).cast("long")
+        if not phrases:
+            return n
+        found = functools.reduce(Column.__or__, (F.contains(x, F.lit(p)) for p in phrases))
+        return F.when(found, n).when(x.isNotNull(), F.lit(0).cast("long"))
+
+    return rows.select(key, *(count(n, p).alias(n) for n, p in patterns))
 
 
 def without_filler(x: Column) -> Column:
@@ -81,17 +111,113 @@ def without_filler(x: Column) -> Column:
     return x
 
 
-def selected_files(files: DataFrame, exclude: list[str], path: str = "path") -> DataFrame:
-    """Files that no glob of exclude matches: "*" and "?" match within and across folders, and a match of a folder takes all below it."""
+def selected_files(files: DataFrame, exclude: list[str], path: str = "path", include: list[str] | None = None) -> DataFrame:
+    """Files that include names, or that lie in a folder it names (all without include), and that no glob of exclude matches: "*" and "?" match
+    within and across folders, and a match of a folder takes all below it."""
     import fnmatch
 
     patterns = [fnmatch.translate(g).removesuffix(r"\z").removesuffix(r"\Z") + r"(?:/.*)?$" for g in exclude]
     out = files
+    if include is not None:
+        here = F.col(path)
+        out = out.where(functools.reduce(Column.__or__, ((here == p) | F.startswith(here, F.lit(p + "/")) for p in include), F.lit(False)))
     for p in patterns:
         out = out.where(~F.rlike(path, F.lit("^" + p)))
     return out
 
 
+def engine_for(goal: Column, place: int = 0) -> Column:
+    """The engine for a goal, or the one in a later place; null for unknown goals and places that aren't there."""
+    by = F.create_map(*(x for g, names in GOALS for x in (F.lit(g), F.array(*map(F.lit, names)))))
+    return F.get(F.try_element_at(by, goal), F.lit(place))
+
+
+_TERM = re.compile(r'(-?)(?:(site|filetype|inurl|intitle|intext):)?(?:"([^"]*)"|([^\s()"]+))|([()])')
+
+
+def search_filter(query: str, url: Column, title: Column, text: Column) -> Column:
+    """A search engine's query as a predicate, case aside: words and "phrases" (in title or text), -excluded, a OR b, parentheses, * for any
+    word, low..high for a number between, and site:, filetype:, inurl:, intitle:, intext:. Terms side by side must all hold; an empty query holds."""
+    terms, at = list(_TERM.finditer(query)), 0
+    low = {"title": F.lower(title), "text": F.lower(text), "url": F.lower(url)}
+    host = F.regexp_extract(low["url"], r"^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", 1)
+    file = F.regexp_extract(low["url"], r"^[^?#]*\.([a-z0-9]+)(?:[?#].*)?$", 1)
+
+    def holds(where: Column, said: str, phrase: bool) -> Column:
+        if (m := re.fullmatch(r"\$?(\d+)\.\.\$?(\d+)", said)) and not phrase:
+            numbers = F.transform(F.regexp_extract_all(where, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("long"))
+            return F.exists(numbers, lambda x: F.coalesce((x >= int(m[1])) & (x <= int(m[2])), F.lit(False)))
+        if "*" in said:
+            return F.rlike(where, F.lit(r"\S+".join(r"\Q" + p + r"\E" if p else "" for p in said.split("*"))))
+        return F.contains(where, F.lit(said))
+
+    def term(m: re.Match) -> Column:
+        minus, field, quoted, plain = m[1], m[2], m[3], m[4]
+        said = (quoted if quoted is not None else plain).lower()
+        if field == "site":
+            out = (host == said) | F.endswith(host, F.lit("." + said))
+        elif field == "filetype":
+            out = file == said
+        elif field:
+            out = holds(low[field[2:]], said, quoted is not None)
+        else:
+            out = holds(low["title"], said, quoted is not None) | holds(low["text"], said, quoted is not None)
+        return ~out if minus else out
+
+    def either() -> Column:
+        nonlocal at
+        out = all_of()
+        while at < len(terms) and terms[at][4] == "OR":
+            at += 1
+            out = out | all_of()
+        return out
+
+    def all_of() -> Column:
+        nonlocal at
+        out = F.lit(True)
+        while at < len(terms) and terms[at][4] != "OR" and terms[at][5] != ")":
+            m = terms[at]
+            at += 1
+            if m[5] == "(":
+                out = out & either()
+                at += at < len(terms)  # its closing parenthesis
+            else:
+                out = out & term(m)
+        return out
+
+    found = either()
+    while at < len(terms):  # a closing parenthesis too many
+        at += 1
+        found = found & either()
+    return F.coalesce(found, F.lit(False))
+
+
+def opening_patterns(df: DataFrame, text: str, words: int = 2, n: int = 20) -> DataFrame:
+    """The n most common openings of texts, in lower case, with their numbers."""
+    opening = F.regexp_extract(F.lower(text), r"^\s*(\S+" + r"\s+\S+" * (words - 1) + ")", 1)
+    return df.select(opening.alias("opening")).where("opening <> ''").groupBy("opening").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "opening").limit(n)
+
+
+def extracted_fields(html: Column, item: str, fields: list[str]) -> Column:
+    """array<struct> of the elements of class item, each with the text of its first element of each field's class; null where there is none."""
+    opened = r"<[a-zA-Z][^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{}(?:\s[^\"']*)?[\"'][^>]*>"
+    parts = F.split(html, opened.format(item), -1)
+    first = lambda x, c: F.nullif(F.regexp_extract(x, "(?s)" + opened.format(c) + "([^<]*)", 1), F.lit(""))
+    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.struct(*(first(x, c).alias(c) for c in fields)))
+
+
+#: Versions of a picture, by what their URLs hold, the preferred one first; fixed values.
+VARIANTS = ["image_pre_watermark", "image_dld_watermark", "web-operation", "downsize_watermark"]
+
+
+def preferred_variant(df: DataFrame, key: str, url: str, variants: list[str] = VARIANTS) -> DataFrame:
+    """key, url: of each key the version that is preferred; unknown ones come last, equal ones by name."""
+    rank = F.lit(len(variants))
+    for i, v in reversed(list(enumerate(variants))):
+        rank = F.when(F.contains(F.col(url), F.lit(v)), i).otherwise(rank)
+    return df.groupBy(key).agg(F.min_by(url, F.struct(rank, F.col(url))).alias("url"))
+
+
 #: Keys that are redacted: whole names, parts of lower-cased names, and, of credential profiles, the names that stay; fixed values.
 EXACT, MARKERS = {"deviceId", "publicKeyPem", "privateKeyPem"}, ["token", "secret", "password", "cookie", "refresh", "api_key", "apikey", "access_token", "client_secret"]
 STAYS = {"provider", "mode", "keyRef", "key_ref", "profile", "baseUrl", "baseURL", "model", "alias", "name", "id"}

@@ -108,3 +108,15 @@ def document_record(segments: DataFrame, key: str, source_type: str, language: C
         segments.groupBy(key).agg(F.bool_or(timed).alias("has_timestamps"), F.array_sort(F.collect_list(row)).alias("segments"))
         .select(key, F.lit(source_type).alias("source_type"), F.coalesce(language if language is not None else F.lit(None), F.lit("auto")).alias("language"), "has_timestamps", F.lit("main").alias("normalization_plan"), "segments")
     )
+
+
+def has_timestamps(segments: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:
+    """key, has_timestamps: whether any segment has both times."""
+    return segments.groupBy(key).agg(F.bool_or(F.col(start).isNotNull() & F.col(end).isNotNull()).alias("has_timestamps"))
+
+
+def transcript_texts(segments: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
+    """key, text: the segments' texts that aren't blank, a line each, in order."""
+    row = F.struct(F.col(order).alias("o"), X.strip(F.coalesce(F.col(text), F.lit(""))).alias("t"))
+    lines = F.transform(F.array_sort(F.collect_list(row)), lambda r: r["t"])
+    return segments.groupBy(key).agg(X.strip(F.array_join(F.filter(lines, lambda s: s != ""), "\n")).alias("text"))

@@ -76,15 +76,12 @@ def _letters() -> str:
 
 @query(f"SELECT doc_id, {_letters()} AS text FROM documents")
 def squash_letter_runs(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.regexp_replace("text", r"([a-zA-Z])\1{3,}", "$1$1").alias("text"))
+    return t(spark, d, "documents").select("doc_id", X.rules(F.col("text"), "latin_runs").alias("text"))
 
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[!！]{3,}', '!!', 'g'), '[?？]{3,}', '??', 'g'), '\\n{3,}', chr(10) || chr(10), 'g') AS text FROM documents")
 def cap_punct_runs(spark, d):
-    out = F.col("text")
-    for pattern, by in ((r"[!！]{3,}", "!!"), (r"[?？]{3,}", "??"), (r"\n{3,}", "\n\n")):
-        out = F.regexp_replace(out, pattern, by)
-    return t(spark, d, "documents").select("doc_id", out.alias("text"))
+    return t(spark, d, "documents").select("doc_id", X.rules(F.col("text"), "exclamations", "questions", "blank_lines").alias("text"))
 
 
 @query(
@@ -314,7 +311,7 @@ def translated_text(spark, d):
 
 @query("SELECT event_type, bool_or(ts IS NOT NULL AND value IS NOT NULL) AS has_timestamps FROM events GROUP BY event_type")
 def has_timestamps(spark, d):
-    return t(spark, d, "events").groupBy("event_type").agg(F.bool_or(F.col("ts").isNotNull() & F.col("value").isNotNull()).alias("has_timestamps"))
+    return segments.has_timestamps(t(spark, d, "events"), "event_type", "ts", "value")
 
 
 VTT = "WEBVTT\n\n1\n00:00:01.000 --> 00:00:02.000\nfoo\n<c>foo</c>\nfoo\nNOTEBOOK\nbar\nbar"
@@ -515,7 +512,7 @@ def scan_gate(spark, d):
     return t(spark, d, "documents").select("doc_id", rules.scan_gate(F.col("text")).alias("clean"))
 
 
-@query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(lower(text), {q(p)})) AS BIGINT) AS {n}" for n, p in rules.WATCH_WORDS) + " FROM documents")
+@query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all({'text' if n in rules.AS_WRITTEN else 'lower(text)'}, {q(p)})) AS BIGINT) AS {n}" for n, p in rules.WATCH_WORDS) + " FROM documents")
 def watchword_counts(spark, d):
     return rules.pattern_counts(t(spark, d, "documents"), "doc_id", "text")
 
@@ -550,7 +547,7 @@ def timed_search(spark, d):
 
 @query("SELECT doc_id FROM documents WHERE contains(lower(text), 'the') ORDER BY doc_id LIMIT 10")
 def keyword_search(spark, d):
-    return t(spark, d, "documents").where(F.contains(F.lower("text"), F.lit("the"))).select("doc_id").orderBy("doc_id").limit(10)
+    return retrieval.keyword_search(t(spark, d, "documents"), "doc_id", "text", "the")
 
 
 # Memory over events
@@ -634,28 +631,33 @@ def changed_since(spark, d):
 
 @query(r"WITH w AS (SELECT regexp_extract(lower(text), '^\s*(\S+\s+\S+)', 1) AS opening FROM documents) SELECT opening, count(*) AS n FROM w WHERE opening <> '' GROUP BY opening ORDER BY n DESC, opening LIMIT 20")
 def opening_patterns(spark, d):
-    w = t(spark, d, "documents").select(F.regexp_extract(F.lower("text"), r"^\s*(\S+\s+\S+)", 1).alias("opening")).where("opening <> ''")
-    return w.groupBy("opening").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "opening").limit(20)
+    return rules.opening_patterns(t(spark, d, "documents"), "text")
 
 
-@query("SELECT user_id, arg_max(event_id, (value, event_id)) AS event_id, max(value) AS score FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12' GROUP BY user_id")
+@query(
+    "WITH a AS (SELECT *, abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-11 12:00:00')) AS away FROM events)"
+    " SELECT user_id, value, ts, event_id FROM a WHERE away <= 86400000000 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, away, ts, event_id) = 1"
+)
 def best_near(spark, d):
-    near = t(spark, d, "events").where("ts BETWEEN TIMESTAMP_NTZ'2024-01-10' AND TIMESTAMP_NTZ'2024-01-12'")
-    return near.groupBy("user_id").agg(F.max_by("event_id", F.struct("value", "event_id")).alias("event_id"), F.max("value").alias("score"))
+    return memory.best_near(t(spark, d, "events"), "user_id", "ts", F.lit("2024-01-11 12:00:00").cast("timestamp_ntz"), F.lit(86_400_000_000), "value", "event_id")
 
 
 @query("SELECT o_orderkey, count(l_linenumber) AS details, coalesce(sum(l_quantity), 0) AS quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def list_and_details(spark, d):
-    per = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("l_linenumber").alias("details"), F.sum("l_quantity").alias("quantity"))
-    return t(spark, d, "orders").select("o_orderkey").join(per, "o_orderkey", "left").na.fill(0, ["details", "quantity"])
+    return memory.list_with_details(t(spark, d, "orders").select("o_orderkey"), t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", quantity="l_quantity")
+
+
+def _vector(spark, d) -> list[float]:
+    """The query is the first vector of the table."""
+    return [float(x) for x in t(spark, d, "embeddings").where("vec_id = 0").select("embedding").first().embedding]
 
 
-QUERY_VECTOR = [((i * 37) % 17 - 8) / 8 for i in range(64)]
+QUERY_VECTOR = "(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)"
 
 
-@query(f"SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {QUERY_VECTOR}::DOUBLE[]) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 12")
+@query(f"SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {QUERY_VECTOR}) AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 12")
 def vector_topk(spark, d):
-    return retrieval.vector_pool(t(spark, d, "embeddings"), QUERY_VECTOR, "vec_id", "embedding")
+    return retrieval.vector_pool(t(spark, d, "embeddings"), _vector(spark, d), "vec_id", "embedding")
 
 
 TERMS = ["the", "thing", "erinat"]
@@ -677,10 +679,12 @@ def keyword_topk(spark, d):
 
 
 @query(
-    f"WITH {_bm25_sql()}, v AS (SELECT vec_id AS doc_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {QUERY_VECTOR}::DOUBLE[]) AS vector_score FROM embeddings ORDER BY vector_score DESC, doc_id LIMIT 12),"
-    " b AS (SELECT coalesce(v.doc_id, k.doc_id) AS doc_id, coalesce(vector_score, 0) AS vector_score, coalesce(k.score / (SELECT max(score) FROM k), 0) AS keyword_score FROM v FULL JOIN k ON v.doc_id = k.doc_id)"
-    " SELECT *, 0.7 * vector_score + 0.3 * keyword_score AS score FROM b WHERE 0.7 * vector_score + 0.3 * keyword_score >= 0.28"
+    f"WITH {_bm25_sql()}, v AS (SELECT vec_id AS doc_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {QUERY_VECTOR}) AS vector_score FROM embeddings ORDER BY vector_score DESC, doc_id LIMIT 12),"
+    " b AS (SELECT coalesce(v.doc_id, k.doc_id) AS doc_id, coalesce(vector_score, 0) AS vector_score, coalesce(k.score / (SELECT max(score) FROM k), 0) AS keyword_score FROM v FULL JOIN k ON v.doc_id = k.doc_id),"
+    " g AS (SELECT *, 0.7 * vector_score + 0.3 * keyword_score AS s FROM b WHERE 0.7 * vector_score + 0.3 * keyword_score >= 0.25),"
+    " h AS (SELECT g.*, g.s * coalesce(1 / (1 + 0.5 * log2(greatest(length(text) / 500, 1.0))), 1.0) AS score FROM g LEFT JOIN documents USING (doc_id))"
+    " SELECT doc_id, vector_score, keyword_score, score FROM h WHERE score >= 0.28"
 )
 def hybrid_topk(spark, d):
     vectors = t(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    return retrieval.hybrid(vectors, t(spark, d, "documents"), QUERY_VECTOR, TERMS, "doc_id", "embedding", "text")
+    return retrieval.hybrid(vectors, t(spark, d, "documents"), _vector(spark, d), TERMS, "doc_id", "embedding", "text")

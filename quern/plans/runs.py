@@ -11,26 +11,34 @@ from quern.sources import readers
 
 def translation_run(spark: SparkSession, path: str, out: str, kind: str | None = None, resume: bool = True, mode: str = "translated", **options) -> DataFrame:
     """Reads, cleans and splits files, translates their segments, and writes under out: segments (Parquet, the checkpoint of later runs),
-    texts and subtitles. Returns a summary of each file. options go to translate_documents()."""
+    texts and subtitles. Returns a summary of each file. options go to translate_documents().
+
+    Each run writes a version of its own under segments, and the next one resumes from the newest that was written whole; older ones go once a
+    newer one is there. Nothing that a run reads is ever overwritten.
+    """
     segments = readers.read(spark, path, kind).withColumnRenamed("path", "doc")
+    versions = readers.checkpoint_versions(spark, f"{out}/segments")
     known = readers.checkpoint(spark, f"{out}/segments") if resume else None
     done = translate.translate_documents(segments, "doc", checkpoint=known, **options)
     place = F.row_number().over(Window.partitionBy("doc").orderBy(F.coalesce("id", F.lit(0))))
-    target = f"{out}/segments-next" if known is not None else f"{out}/segments"
+    target = f"{out}/segments/v{int(versions[-1][1:]) + 1 if versions else 1:08d}"
     done.withColumn("pos", place).write.mode("overwrite").parquet(target)
+    readers.drop_versions(spark, f"{out}/segments", versions)
     rows = spark.read.parquet(target)
     emit.translated_text(rows, "doc").write.mode("overwrite").parquet(f"{out}/translated")
     emit.srt(rows, "doc", mode).write.mode("overwrite").parquet(f"{out}/subtitles")
-    return rows.groupBy("doc").agg(F.count("*").alias("segments"), F.first("refine_status").alias("refine_status"), F.count_if(F.col("start").isNotNull() & F.col("end").isNotNull()).alias("timed"))
+    timed = F.count_if(F.col("start").isNotNull() & F.col("end").isNotNull()).alias("timed")
+    return rows.groupBy("doc").agg(F.count("*").alias("segments"), F.first("refine_status").alias("refine_status"), timed).withColumns({
+        "mode": F.lit(mode), "segments_path": F.lit(target), "translated_path": F.lit(f"{out}/translated"), "subtitles_path": F.lit(f"{out}/subtitles"),
+    })
 
 
 def progress_run(files: DataFrame, name: str, device: DataFrame | None = None) -> DataFrame:
     """One report row from log files (path, content): the latest record, the median baseline, what device (one row) says of memory, and risk.
-    The files are read once; both aggregates come from the same matches."""
-    m = progress.log_matches(files)
-    row = progress.progress(progress.latest_record(m)).crossJoin(F.broadcast(progress.median_baseline(m)))  # one row each
+    Files are read once: a file's matches become its last record and the values within the baseline's window, and one aggregation makes the row."""
+    row = progress.progress(progress.latest_and_baseline(progress.log_matches(files)))
     fields = ["shared_train_mb", "shared_used_mb", "dedicated_free_mb", "dedicated_used_mb", "dedicated_total_mb"]
-    row = row.crossJoin(F.broadcast(device.limit(1))) if device is not None else row
+    row = row.crossJoin(F.broadcast(device.limit(1))) if device is not None else row  # one row each
     row = row.withColumns({c: F.lit(None).cast("long") for c in fields if c not in row.columns})
     return progress.with_risk(row).withColumns({"name": F.lit(name), "avr_loss": F.col("loss")})
 
@@ -50,7 +58,8 @@ def profile_setting(profile: Column, profiles: dict[str, str], default: str) ->
     return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in profiles.items() for x in kv)), profile), F.lit(default))
 
 
-def positional_merge(batch: DataFrame, lines: DataFrame, key: str = "pos") -> DataFrame:
+def positional_merge(batch: DataFrame, lines: DataFrame, key: str | list[str] = "pos") -> DataFrame:
     """Older protocol: the n-th line refines the n-th segment; lines too many are ignored, missing or blank ones leave the base."""
-    new = lines.select(key, F.nullif(F.trim("line"), F.lit("")).alias("_line"))
-    return batch.join(new, key, "left").withColumn("translation", F.coalesce("_line", "translation")).drop("_line")
+    keys = [key] if isinstance(key, str) else key
+    new = lines.select(*keys, F.nullif(F.trim("line"), F.lit("")).alias("_line"))
+    return batch.join(new, keys, "left").withColumn("translation", F.coalesce("_line", "translation")).drop("_line")

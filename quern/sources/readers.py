@@ -87,13 +87,18 @@ def pdf_texts(data: bytes) -> list[str]:
 
 
 def documents(spark: SparkSession, path: str, parse=word_texts) -> DataFrame:
-    """path, id, text: segments of binary documents. Parts are cleaned, empty ones dropped, the rest joined by blank lines, split as texts."""
+    """path, id, text: segments of binary documents."""
+    return document_segments(spark.read.format("binaryFile").load(path).select("path", "content"), parse)
+
+
+def document_segments(files: DataFrame, parse=word_texts) -> DataFrame:
+    """path, id, text of documents (path, content). Parts are cleaned, empty ones dropped, the rest joined by blank lines, split as texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield pd.DataFrame({"path": f["path"], "parts": [parse(bytes(c)) for c in f["content"]]})
 
-    parts = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, parts array<string>")
+    parts = files.select("path", "content").mapInPandas(run, "path string, parts array<string>")
     cells = lambda p: F.array_join(F.filter(X.clean_array(F.split(p, "\x1f")), lambda c: c != ""), " | ")
     cleaned = parts.select("path", F.posexplode("parts").alias("n", "part")).withColumn("part", cells(F.col("part"))).where("part <> ''")
     joined = cleaned.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "part"))), lambda r: r["part"]), "\n\n").alias("_t"))
@@ -101,8 +106,13 @@ def documents(spark: SparkSession, path: str, parse=word_texts) -> DataFrame:
 
 
 def subtitles(spark: SparkSession, path: str) -> DataFrame:
-    """folder, path, text: of each folder's .vtt and .srt files the one preferred (.vtt, then by name), as plain text."""
-    files = texts(spark, path).withColumn("rank", F.when(F.endswith("path", F.lit(".vtt")), 0).when(F.endswith("path", F.lit(".srt")), 1)).where("rank IS NOT NULL")
+    """folder, path, text: of each folder's .vtt and .srt files the one preferred, as plain text."""
+    return chosen_subtitles(texts(spark, path))
+
+
+def chosen_subtitles(files: DataFrame) -> DataFrame:
+    """folder, path, text of subtitle files (path, text): of each folder one, .vtt before .srt, then by name."""
+    files = files.withColumn("rank", F.when(F.endswith("path", F.lit(".vtt")), 0).when(F.endswith("path", F.lit(".srt")), 1)).where("rank IS NOT NULL")
     one = files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).agg(F.min_by(F.struct("path", "text", "rank"), F.struct("rank", "path")).alias("f"))
     text = F.when(F.col("f.rank") == 0, emit.subtitle_text(F.col("f.text"), True)).otherwise(emit.subtitle_text(F.col("f.text"), False))
     return one.select("folder", F.col("f.path").alias("path"), text.alias("text"))
@@ -122,20 +132,48 @@ def counters(df: DataFrame, json: str) -> DataFrame:
 
 def models(spark: SparkSession, path: str) -> DataFrame:
     """A model list, with pos, the place in its file."""
+    return listed_models(texts(spark, path), "text")
+
+
+def listed_models(df: DataFrame, json: str) -> DataFrame:
+    """pos and the fields of the models of JSON lists."""
     from quern.operators.router import MODEL
 
     fields = ", ".join(f"{n}: {t}" for n, t in (c.split(" ", 1) for c in MODEL.split(", ")))
-    return texts(spark, path).select(F.posexplode(F.from_json("text", f"array<struct<{fields}>>")).alias("pos", "m")).select("pos", "m.*")
+    return df.select(F.posexplode(F.from_json(json, f"array<struct<{fields}>>")).alias("pos", "m")).select("pos", "m.*")
 
 
 def checkpoint(spark: SparkSession, path: str, key: str = "doc") -> DataFrame | None:
-    """What an earlier run has translated; none if it can't be read."""
-    from pyspark.errors import AnalysisException
+    """What earlier runs have translated: key, id, translation of the newest whole version under path; none where there is none, or where its
+    files can't be read, as nothing is lost by translating again."""
+    from pyspark.errors import PySparkException
 
-    try:
-        return spark.read.parquet(path).select(key, "id", "translation")
-    except AnalysisException:
-        return None
+    for version in reversed(checkpoint_versions(spark, path)):
+        try:
+            found = spark.read.schema(f"{key} string, id long, translation string").option("ignoreCorruptFiles", True).parquet(f"{path}/{version}")
+            found.agg(F.count("translation")).collect()  # reads every file once; a broken one shows here, not halfway through a run
+            return found.where(F.col("id").isNotNull() & (F.coalesce("translation", F.lit("")) != ""))
+        except PySparkException:
+            continue
+    return None
+
+
+def checkpoint_versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole versions under path, oldest first. A version counts once Spark has marked it as written."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def drop_versions(spark: SparkSession, path: str, names: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for n in names:
+        at = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def config(spark: SparkSession, path: str) -> dict:
@@ -174,6 +212,22 @@ def write_text(df: DataFrame, path: str, key: str, value: str) -> None:
     df.where(F.col(value) != "").select(key, value).write.mode("overwrite").partitionBy(key).text(path)
 
 
+def transcript_records(segments_: DataFrame, key: str, order: str, **about: str) -> DataFrame:
+    """One record for each transcript: what is said about all of it, its whole text, and its segments in order."""
+    whole = segments.transcript_texts(segments_, key, order)
+    row = F.struct(order, "start", "end", X.strip(F.coalesce("text", F.lit(""))).alias("text"))
+    parts = segments_.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["text"].alias("text"))).alias("segments"))
+    return whole.join(parts, key).select(key, *(F.lit(v).alias(n) for n, v in about.items()), "text", "segments")
+
+
+def write_transcripts(records: DataFrame, path: str, key: str, debug: bool = False) -> None:
+    """Records as JSON; with debug also their texts, and what is said about each without text and segments."""
+    records.write.mode("overwrite").json(f"{path}/json")
+    if debug:
+        write_text(records, f"{path}/txt", key, "text")
+        records.drop("text", "segments").write.mode("overwrite").json(f"{path}/meta")
+
+
 def write_documents(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
