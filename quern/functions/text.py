@@ -105,23 +105,31 @@ def without_scripts(x: Column) -> Column:
 
 
 _GONE = {**dict.fromkeys([*range(9), 11, 12, *range(14, 32), 127]), 0xA0: " "}
-_TABS, _BLANKS, _GAPS = re.compile("\t+"), re.compile(r"\s+"), re.compile(r"\n\s*\n+")
+_TABS, _GAPS = re.compile("\t+"), re.compile(r"\n\s*\n+")
 _RULES = [(re.compile(p.removeprefix("(?U)")), by.replace("$1", r"\1")) for p, by in SYMBOL_RULES]
 _SENTENCE = re.compile(rf"[^{ENDINGS}]*[{ENDINGS}]|[^{ENDINGS}]+")
 _SYMBOL = re.compile(rf"[^\w{NO_SYMBOLS}]|_")
+#: Of each symbol rule, characters of which a text must hold one for the rule to change it; None where the rule isn't about certain ones.
+_TRIGGERS = [frozenset(re.sub(r"[\[\]+{}\d,]", "", p)) for p, _ in SYMBOL_RULES[:7]] + [None] * 3 + [frozenset("、。！？…」』）"), frozenset("（「『"), frozenset("」』）"), frozenset("\n")]
 
 
 def _decoded(t: str) -> str:
-    """Normal form, line ends, controls, tabs, braces, tags and entities, in this order."""
-    if not t.isascii():
+    """Normal form, line ends, controls, tabs, braces, tags and entities, in this order. Each is looked for first, as few texts hold any."""
+    if not t.isascii() and not unicodedata.is_normalized("NFKC", t):
         t = unicodedata.normalize("NFKC", t)
-    t = t.replace("\r\n", "\n").replace("\r", "\n").translate(_GONE)
-    return html.unescape(_TAG.sub(" ", _without_braces(_TABS.sub(" ", t))))
+    t = t.replace("\r\n", "\n").replace("\r", "\n")
+    if not t.isprintable():
+        t = _TABS.sub(" ", t.translate(_GONE))
+    if "{" in t:
+        t = _without_braces(t)
+    if "<" in t:
+        t = _TAG.sub(" ", t)
+    return html.unescape(t) if "&" in t else t
 
 
 def _lines(t: str) -> list[str]:
     """Lines with single blanks, without those of symbols; blank lines, and lines that repeat, once."""
-    lines = (_BLANKS.sub(" ", s).strip() for s in t.splitlines())
+    lines = (" ".join(s.split()) for s in t.splitlines())
     kept = (s for s in lines if not s or len(s) > 8 or len(_SYMBOL.findall(s)) < max(3, len(s) - 1))
     once = [s for s, _ in itertools.groupby(kept)]
     return once[once[:1] == [""] : len(once) - (once[-1:] == [""])]
@@ -137,16 +145,23 @@ def _progression(lines: list[str]) -> str:
 
 def _sentences(t: str) -> str:
     parts = _SENTENCE.findall(t)
-    return "".join(next(same) for norm, run in itertools.groupby(parts, lambda p: _BLANKS.sub("", p)) for same in ([run] if norm else map(iter, ([p] for p in run))))
+    return "".join(next(same) for norm, run in itertools.groupby(parts, lambda p: "".join(p.split())) for same in ([run] if norm else map(iter, ([p] for p in run))))
 
 
 def cleaned(t: str | None) -> str:
+    """Whole cleaning of a text, once."""
     if not t:
         return ""
     t = _decoded(t)
-    for pattern, by in _RULES:
-        t = pattern.sub(by, t)
-    return _GAPS.sub("\n\n", _sentences(_progression(_lines(t.strip()))))
+    held = set(t)
+    for (pattern, by), triggers in zip(_RULES, _TRIGGERS, strict=True):
+        if triggers is None or not held.isdisjoint(triggers):
+            t = pattern.sub(by, t)
+            held |= set(by)
+    t = _progression(_lines(t.strip()))
+    if not held.isdisjoint(ENDINGS):
+        t = _sentences(t)
+    return _GAPS.sub("\n\n", t)
 
 
 def symbols(x: Column) -> Column:
@@ -216,7 +231,9 @@ def single_gaps(x: Column) -> Column:
 def _repeated(passes: int):
     def run(t: str | None) -> str:
         for _ in range(passes):
-            t = cleaned(t)
+            before, t = t, cleaned(t)
+            if t == before:  # a further pass gives the same
+                break
         return t or ""
 
     return run

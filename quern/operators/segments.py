@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,23 +29,49 @@ def sentences(block: Column) -> Column:
     return F.filter(F.transform(parts, X.strip), lambda s: s != "")
 
 
+_AFTER_MARK = re.compile(rf"(?<=[{X.ENDINGS}{X.CLOSINGS}])\s*")
+_BETWEEN_BLOCKS = re.compile(r"\n\s*\n+")
+
+
+def _packed(parts: list[str], size: int) -> list[str]:
+    out, held, n = [], [], 0
+    for p in parts:
+        if held and n + len(p) > size:
+            out.append("".join(held))
+            held, n = [], 0
+        held.append(p)
+        n += len(p)
+    return [s for s in (x.strip() for x in [*out, "".join(held)]) if s]
+
+
+def _pieces(block: str, size: int) -> list[str]:
+    b = block.strip()
+    if len(b) <= size:
+        return [b] if b else []
+    parts = [s for s in (p.strip() for p in _AFTER_MARK.split(b)) if s]
+    if len(parts) > 1:
+        return _packed(parts, size)
+    return [s for s in (b[i : i + size].strip() for i in range(0, len(b), size)) if s]
+
+
 def packed(parts: Column, size: int = PIECE) -> Column:
-    """Neighbours joined without separator while they fit; a part that is too long stays whole."""
+    """Neighbours joined without separator while they fit; a part that is too long stays whole. A native fold would copy what it has at each step."""
 
-    def add(acc: Column, s: Column) -> Column:
-        fits = (acc["open"] == "") | (F.length(acc["open"]) + F.length(s) <= size)
-        done = F.when(fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
-        return F.struct(done.alias("done"), F.when(fits, F.concat(acc["open"], s)).otherwise(s).alias("open"))
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda ps: [] if ps is None else _packed(list(ps), size))
 
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-    return F.aggregate(parts, start, add, lambda acc: F.filter(F.concat(acc["done"], F.array(X.strip(acc["open"]))), lambda s: s != ""))
+    return run(parts)
 
 
 def pieces(block: Column, size: int = PIECE) -> Column:
     """A block as pieces: as it is if short, else sentences packed, else, of a single sentence, slices."""
-    b = X.strip(block)
-    parts = sentences(b)
-    return F.when(b == "", F.array().cast("array<string>")).when(F.length(b) <= size, F.array(b)).when(F.size(parts) <= 1, slices(b, size)).otherwise(packed(parts, size))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda b: [] if b is None else _pieces(b, size))
+
+    return run(block)
 
 
 def blocks(x: Column) -> Column:
@@ -54,40 +83,46 @@ def numbered(df: DataFrame, segments: Column, *keys: str) -> DataFrame:
     return df.select(*keys, F.posexplode(segments).alias("pos", "text")).select(*keys, (F.col("pos") + 1).cast("long").alias("id"), "text")
 
 
-def _cleaned_and_numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's pieces follow each other from pos 0 on, so ids need no shuffle and no window."""
-    number = 0
-    for batch in batches:
-        texts, ids = [], []
-        for pos, piece in zip(batch.column("pos").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            text = X.cleaned(piece)
-            number = (number if pos else 0) + bool(text)
-            texts.append(text or None)
-            ids.append(number)
-        texts = pa.array(texts, pa.string())
-        yield pa.record_batch([batch.column(0), pa.array(ids, pa.int64()), texts], [batch.schema.names[0], "id", "text"]).filter(texts.is_valid())
+def _cut(size: int, decode: bool, passes: int):
+    """key, id, text of the pieces of texts: all steps in one hop, without a shuffle or window, as a text's pieces follow each other."""
 
+    def of(text: str) -> Iterator[str]:
+        text = html.unescape(text) if decode and "&" in text else text
+        for _ in range(passes):
+            text = X.cleaned(text)
+        for block in _BETWEEN_BLOCKS.split(text.strip()):
+            for piece in _pieces(X.cleaned(block), size):
+                if said := X.cleaned(piece):
+                    yield said
 
-def split_blocks(df: DataFrame, key: str, text: str, size: int = PIECE) -> DataFrame:
-    """key, id, text: pieces of a text's blocks, cleaned before and after they are cut; empty ones are dropped."""
-    out = df.select(key, X.clean_array(blocks(F.col(text))).alias("_b"))
-    cut = F.flatten(F.transform(F.filter("_b", lambda s: s != ""), lambda b: pieces(b, size)))
-    rows = out.select(key, F.posexplode(cut).alias("pos", "text"))
-    return rows.mapInArrow(_cleaned_and_numbered, T.StructType([rows.schema[key], T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, ids, texts = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                got = list(of(text or ""))
+                rows += [i] * len(got)
+                ids += range(1, len(got) + 1)
+                texts += got
+            yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], [batch.schema.names[0], "id", "text"])
 
+    return run
 
-def text_segments(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Plain texts: one cleaning, then those of split_blocks()."""
-    return split_blocks(df.select(key, X.clean(F.col(text)).alias("_a")), key, "_a")
 
+def split_blocks(df: DataFrame, key: str, text: str, size: int = PIECE, decode: bool = False, passes: int = 0) -> DataFrame:
+    """key, id, text: pieces of a text's blocks, cleaned before and after they are cut; empty ones are dropped. decode: entities are decoded
+    first; passes: cleanings of the whole text before that."""
+    rows = df.select(key, F.col(text).cast("string").alias("_a"))
+    return rows.mapInArrow(_cut(size, decode, passes), T.StructType([rows.schema[key], T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
 
-def web_text(html: Column) -> Column:
-    return X.unescaped(X.without_tags(X.without_scripts(html), "\n"))
+
+def text_segments(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Plain texts: one cleaning, then those of split_blocks()."""
+    return split_blocks(df, key, text, passes=1)
 
 
 def web_segments(df: DataFrame, key: str, html: str) -> DataFrame:
     """Pages: scripts and styles go, tags part lines, entities are decoded; then as plain texts."""
-    return text_segments(df.select(key, web_text(F.col(html)).alias("_text")), key, "_text")
+    return split_blocks(df.select(key, X.without_tags(X.without_scripts(F.col(html)), "\n").alias("_text")), key, "_text", decode=True, passes=1)
 
 
 def transcript_segments(df: DataFrame, key: str, segments: str) -> DataFrame:

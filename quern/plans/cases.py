@@ -18,7 +18,7 @@ from quern.functions import scalars as S
 from quern.functions import text as X
 from quern.operators import emit, memory, progress, rules, segments, translate
 from quern.plans import runs
-from quern.plans.catalogue import LINES, OFFLINE, PAIRED, STRIPPED, _paired, q, query, t
+from quern.plans.catalogue import LINES, NOISY, OFFLINE, STRIPPED, q, query, t
 from quern.sources import readers
 
 # Cleaning rules, on texts in which letters stand for what the rules are about
@@ -150,15 +150,10 @@ def transcript_records(spark, d):
     return out.select("conv_id", "model", "language", F.size("segments").cast("long").alias("segments"), chars.alias("chars"))
 
 
-NOISY = (
-    f"{PAIRED}, s AS (SELECT conv_id, turn, text, translation, {STRIPPED.format('text')} AS a, {STRIPPED.format('translation')} AS b FROM p), m AS (SELECT *, a || b AS m FROM s),"
-    " z AS (SELECT *, m <> '' AND (length(regexp_replace(m, '[^~～…!！?？♡❤♥🖤「」『』【】（）()]', '', 'g')) / greatest(1, length(m)) > 0.18"
-    " OR coalesce(list_bool_or(list_transform(list_distinct(string_split(m, '')), lambda c: contains(m, repeat(c, 8)))), false)"
-    " OR (length(a) <= 60 AND length(b) >= 220) OR (length(b) >= 180 AND (CASE WHEN length(a) > 0 THEN length(b) / length(a) ELSE 1 END) >= 5)) AS noisy FROM m)"
+@query(
+    f"WITH p AS (SELECT conv_id, turn, text, {OFFLINE} AS translation FROM conversations), s AS (SELECT *, {STRIPPED.format('text')} AS a, {STRIPPED.format('translation')} AS b FROM p), {NOISY},"
+    r" v AS (SELECT *, regexp_replace(b, '\s+', ' ', 'g') AS new FROM z) SELECT conv_id, count(*) AS segments, count(*) FILTER (noisy) AS skipped, bool_or(NOT noisy AND new <> '' AND new <> translation) AS changed FROM v GROUP BY conv_id"
 )
-
-
-@query("WITH " + NOISY.replace("coalesce(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), '')", OFFLINE) + " SELECT conv_id, count(*) AS segments, count(*) FILTER (noisy) AS skipped, bool_or(NOT noisy AND regexp_replace(b, '\\s+', ' ', 'g') <> '' AND regexp_replace(b, '\\s+', ' ', 'g') <> translation) AS changed FROM z GROUP BY conv_id")
 def refine_counters(spark, d):
     rows = t(spark, d, "conversations").select("conv_id", F.col("turn").alias("id"), "text")
     done = translate.translate_documents(rows, "conv_id", refiner=translate.offline_refiner)

@@ -35,6 +35,12 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out if its files split into fewer tasks than there are cores, for what takes longer than a shuffle; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -44,6 +50,45 @@ LINES = "string_split({0}, chr(10))"
 TAGLESS = r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?>.*?</script>', ' ', 'g'), '(?is)<style.*?>.*?</style>', ' ', 'g'), '<[^>]+>', chr(10), 'g')"
 
 
+def _squashed(sql: str) -> str:
+    for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ":
+        sql = f"regexp_replace({sql}, '{c}{{4,}}', '{c}{c}', 'g')"
+    return sql
+
+
+def cleaning_sql(source: str, out: str, keys: str) -> str:
+    """Common table expressions that clean the column x of source once, as out. Left out are compatibility forms, braces, controls and runs and
+    blanks of East Asian scripts, which the tables don't hold (other queries have them) and DuckDB can't express."""
+    plain = "replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+    marks = f"regexp_replace(regexp_replace(regexp_replace({_squashed(plain)}, '[!！]{{3,}}', '!!', 'g'), '[?？]{{3,}}', '??', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    tidy = STRIPPED.format(r"regexp_replace(s, '\s+', ' ', 'g')")
+    symbols = r"s <> '' AND length(s) <= 8 AND length(regexp_replace(s, '[\p{L}\p{N} \-。，、！？…：；（）()「」『』【】〈〉《》“”""\'\']', '', 'g')) >= greatest(3, length(s) - 1)"
+    return (
+        f"{out}_a AS (SELECT {keys}, list_filter(list_transform(string_split({STRIPPED.format(marks)}, chr(10)), lambda s: {tidy}), lambda s: NOT ({symbols})) AS l FROM {source}),"
+        f" {out}_b AS (SELECT {keys}, list_filter(l, lambda s, i: i = 1 OR s <> l[i - 1]) AS l FROM {out}_a),"
+        f" {out}_c AS (SELECT {keys}, list_filter(l, lambda s, i: NOT (s = '' AND (i = 1 OR i = len(l)))) AS l, list_filter(l, lambda s: s <> '') AS f FROM {out}_b),"
+        f" {out}_d AS (SELECT {keys}, CASE WHEN len(f) > 2 AND list_bool_and(list_transform(range(1, len(f)), lambda i: contains(f[i + 1], f[i]))) THEN f[-1]"
+        f" WHEN len(f) > 2 AND list_bool_and(list_transform(range(1, len(f)), lambda i: contains(f[i], f[i + 1]))) THEN f[1] ELSE array_to_string(l, chr(10)) END AS x FROM {out}_c),"
+        f" {out}_e AS (SELECT {keys}, x, regexp_extract_all(x, '[^。！？!?…]*[。！？!?…]|[^。！？!?…]+$') AS p FROM {out}_d),"
+        rf" {out}_f AS (SELECT *, list_transform(p, lambda s: regexp_replace(s, '\s+', '', 'g')) AS norms FROM {out}_e),"
+        f" {out} AS (SELECT {keys}, regexp_replace(CASE WHEN len(p) < 2 THEN x ELSE array_to_string(list_filter(p, lambda s, i: i = 1 OR norms[i] = '' OR norms[i] <> norms[i - 1]), '') END, '\\n\\s*\\n+', chr(10) || chr(10), 'g') AS x FROM {out}_f)"
+    )
+
+
+UNESCAPED = f"replace(replace(replace(replace({TAGLESS}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+WEB_SEGMENTS = (
+    f"WITH RECURSIVE w0 AS (SELECT page_id, {UNESCAPED} AS x FROM pages), {cleaning_sql('w0', 'w1', 'page_id')},"
+    f" b AS (SELECT page_id, unnest(regexp_split_to_array({STRIPPED.format('x')}, '\\n\\s*\\n+')) AS x, generate_subscripts(regexp_split_to_array({STRIPPED.format('x')}, '\\n\\s*\\n+'), 1) AS blk FROM w1),"
+    f" {cleaning_sql('b', 'w2', 'page_id, blk')}, s AS (SELECT page_id, blk, x, list_filter(list_transform(regexp_extract_all(x, '[^。！？!?…」』）)]*[。！？!?…」』）)]|[^。！？!?…」』）)]+$'), lambda s: {STRIPPED.format('s')}), lambda s: s <> '') AS s FROM w2),"
+    " f AS (SELECT page_id, blk, 1 AS i, 0 AS k, length(s[1]) AS m FROM s WHERE length(x) > 220 AND len(s) > 1 UNION ALL"
+    " SELECT s.page_id, s.blk, i + 1, CASE WHEN m + length(s[i + 1]) > 220 THEN k + 1 ELSE k END, CASE WHEN m + length(s[i + 1]) > 220 THEN length(s[i + 1]) ELSE m + length(s[i + 1]) END FROM f JOIN s ON s.page_id = f.page_id AND s.blk = f.blk WHERE i < len(s)),"
+    " c AS (SELECT page_id, blk, 0 AS k, x FROM s WHERE length(x) <= 220 UNION ALL"
+    f" SELECT page_id, blk, k, {STRIPPED.format('substr(x, CAST(k AS INT) * 220 + 1, 220)')} FROM s, unnest(range(0, (length(x) + 219) // 220)) AS u(k) WHERE length(x) > 220 AND len(s) <= 1 UNION ALL"
+    " SELECT page_id, blk, k, string_agg(s[i], '' ORDER BY i) FROM f JOIN s USING (page_id, blk) GROUP BY page_id, blk, k),"
+    f" {cleaning_sql('c', 'w3', 'page_id, blk, k')}, r AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY blk, k) AS id, x AS text FROM w3 WHERE x <> '')"
+)
+
+
 # Cleaning
 
 
@@ -57,24 +102,17 @@ def web_unescape(spark, d):
     return t(spark, d, "pages").select("page_id", X.unescaped("html").alias("text"))
 
 
-@query()
+@query(f"{WEB_SEGMENTS} SELECT * FROM r")
 def web_segments(spark, d):
-    return segments.web_segments(t(spark, d, "pages"), "page_id", "html")
+    return segments.web_segments(spread(t(spark, d, "pages").select("page_id", "html")), "page_id", "html")
 
 
-@query()
+@query(f"{WEB_SEGMENTS} SELECT page_id, count(*) AS segments, CAST(sum(length(text)) AS BIGINT) AS chars FROM r GROUP BY page_id")
 def web_segment_stats(spark, d):
     return web_segments(spark, d).groupBy("page_id").agg(F.count("*").alias("segments"), F.sum(F.length("text")).alias("chars"))
 
 
-def _letters() -> str:
-    sql = "text"
-    for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ":
-        sql = f"regexp_replace({sql}, '{c}{{4,}}', '{c}{c}', 'g')"
-    return sql
-
-
-@query(f"SELECT doc_id, {_letters()} AS text FROM documents")
+@query(f"SELECT doc_id, {_squashed('text')} AS text FROM documents")
 def squash_letter_runs(spark, d):
     return t(spark, d, "documents").select("doc_id", X.rules(F.col("text"), "latin_runs").alias("text"))
 
@@ -119,9 +157,9 @@ def symbol_line_filter(spark, d):
     return t(spark, d, "pages").select("page_id", X.clean_lines(X.without_tags(X.without_scripts(F.col("html")), "\n")).alias("text"))
 
 
-@query()
+@query(f"WITH c0 AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), {', '.join(cleaning_sql(f'c{i}', f'c{i + 1}', 'doc_id') for i in range(3))} SELECT doc_id, x AS text FROM c3")
 def clean_documents(spark, d):
-    return t(spark, d, "documents").select("doc_id", X.clean(F.col("text"), 3).alias("text"))
+    return spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", X.clean(F.col("text"), 3).alias("text"))
 
 
 # Splitting and batches
@@ -142,7 +180,7 @@ def split_fixed_220(spark, d):
     " SELECT doc_id, CAST(b + 1 AS BIGINT) AS id, string_agg(s[i], '' ORDER BY i) AS text FROM f JOIN s USING (doc_id) GROUP BY doc_id, b"
 )
 def split_sentence_pack(spark, d):
-    return segments.numbered(t(spark, d, "documents").withColumn("_s", segments.packed(segments.sentences(F.col("text")))), F.col("_s"), "doc_id")
+    return segments.numbered(spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", segments.packed(segments.sentences(F.col("text"))).alias("_s")), F.col("_s"), "doc_id")
 
 
 @query(
@@ -199,12 +237,15 @@ def batch_stats(spark, d):
 # Translation
 
 
-@query(
-    f"WITH {PAIRED}, s AS (SELECT conv_id, turn, {STRIPPED.format('text')} AS a, {STRIPPED.format('translation')} AS b FROM p), m AS (SELECT *, a || b AS m FROM s)"
-    " SELECT conv_id, turn, m <> '' AND (length(regexp_replace(m, '[^~～…!！?？♡❤♥🖤「」『』【】（）()]', '', 'g')) / greatest(1, length(m)) > 0.18"
+#: From s (a, b: stripped text and translation): z, with noisy.
+NOISY = (
+    "m AS (SELECT *, a || b AS m FROM s), z AS (SELECT *, m <> '' AND (length(regexp_replace(m, '[^~～…!！?？♡❤♥🖤「」『』【】（）()]', '', 'g')) / greatest(1, length(m)) > 0.18"
     " OR coalesce(list_bool_or(list_transform(list_distinct(string_split(m, '')), lambda c: contains(m, repeat(c, 8)))), false)"
-    " OR (length(a) <= 60 AND length(b) >= 220) OR (length(b) >= 180 AND (CASE WHEN length(a) > 0 THEN length(b) / length(a) ELSE 1 END) >= 5)) AS noisy FROM m"
+    " OR (length(a) <= 60 AND length(b) >= 220) OR (length(b) >= 180 AND (CASE WHEN length(a) > 0 THEN length(b) / length(a) ELSE 1 END) >= 5)) AS noisy FROM m)"
 )
+
+
+@query(f"WITH {PAIRED}, s AS (SELECT conv_id, turn, {STRIPPED.format('text')} AS a, {STRIPPED.format('translation')} AS b FROM p), {NOISY} SELECT conv_id, turn, noisy FROM z")
 def noisy_segments(spark, d):
     return _paired(spark, d).select("conv_id", "turn", translate.noisy(F.col("text"), F.col("translation")).alias("noisy"))
 
@@ -255,7 +296,17 @@ def translate_offline(spark, d):
     return translate.translate_documents(rows, "conv_id").select("conv_id", "id", "text", "translation")
 
 
-@query()
+@query(
+    f"WITH RECURSIVE p AS (SELECT conv_id, turn, text, {OFFLINE} AS translation FROM conversations), s AS (SELECT *, {STRIPPED.format('text')} AS a, {STRIPPED.format('translation')} AS b FROM p), {NOISY},"
+    r" v AS (SELECT *, regexp_replace(b, '\s+', ' ', 'g') AS new FROM z), g AS (SELECT *, length(a) + length(b) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM v WHERE NOT noisy),"
+    " f AS (SELECT conv_id, i, n, 0 AS k, n AS used FROM g WHERE i = 1 UNION ALL"
+    " SELECT g.conv_id, g.i, g.n, CASE WHEN used + g.n > 900 THEN k + 1 ELSE k END, CASE WHEN used + g.n > 900 THEN g.n ELSE used + g.n END FROM f JOIN g ON g.conv_id = f.conv_id AND g.i = f.i + 1),"
+    " c AS (SELECT conv_id, max(n) AS chunk FROM (SELECT conv_id, k, count(*) AS n FROM f GROUP BY ALL) GROUP BY conv_id),"
+    " o AS (SELECT conv_id, bool_or(NOT noisy AND new <> '' AND new <> translation) AS changed, count(*) FILTER (noisy) AS noise, count(*) FILTER (NOT noisy AND new = '') AS missing FROM v GROUP BY conv_id)"
+    " SELECT conv_id, turn AS id, CAST(NULL AS DOUBLE) AS \"start\", CAST(NULL AS DOUBLE) AS \"end\", text, CASE WHEN noisy OR new = '' THEN translation ELSE new END AS translation,"
+    " CASE WHEN changed THEN 'applied' ELSE 'no_change' END AS refine_status, CAST(NULL AS VARCHAR) AS refine_error, CAST(noise AS INT) AS refine_skipped_noisy, CAST(missing AS INT) AS refine_partial_missing, CAST(coalesce(chunk, 0) AS INT) AS refine_chunk_size_used"
+    " FROM v JOIN o USING (conv_id) LEFT JOIN c USING (conv_id)"
+)
 def translate_and_refine(spark, d):
     rows = t(spark, d, "conversations").select("conv_id", F.col("turn").alias("id"), "text")
     return translate.translate_documents(rows, "conv_id", refiner=translate.offline_refiner)
@@ -349,7 +400,10 @@ def first_truthy(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", S.first_truthy(F.when(F.col("role") == "assistant", "").otherwise(F.col("text")), F.lit(None).cast("string"), F.col("role")).alias("chosen"))
 
 
-@query()
+@query(
+    f"WITH t0 AS (SELECT conv_id, turn, role, {STRIPPED.format("coalesce(text, '')")} AS x FROM conversations), {cleaning_sql('t0', 't1', 'conv_id, turn, role')}"
+    " SELECT conv_id, CASE WHEN role = 'user' THEN turn ELSE row_number() OVER (PARTITION BY conv_id ORDER BY turn) END AS id, CAST(turn AS DOUBLE) AS \"start\", CAST(turn + 1 AS DOUBLE) AS \"end\", x AS text FROM t1 WHERE x <> ''"
+)
 def transcript_segments(spark, d):
     s = F.struct(F.when(F.col("role") == "user", F.col("turn")).alias("id"), F.col("turn").cast("double").alias("start"), (F.col("turn") + 1).cast("double").alias("end"), "text")
     docs = t(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", s.alias("s")))), lambda r: r["s"]).alias("segments"))
@@ -514,7 +568,7 @@ def scan_gate(spark, d):
 
 @query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all({'text' if n in rules.AS_WRITTEN else 'lower(text)'}, {q(p)})) AS BIGINT) AS {n}" for n, p in rules.WATCH_WORDS) + " FROM documents")
 def watchword_counts(spark, d):
-    return rules.pattern_counts(t(spark, d, "documents"), "doc_id", "text")
+    return rules.pattern_counts(spread(t(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def _filler_sql() -> str:
@@ -687,4 +741,4 @@ def keyword_topk(spark, d):
 )
 def hybrid_topk(spark, d):
     vectors = t(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    return retrieval.hybrid(vectors, t(spark, d, "documents"), _vector(spark, d), TERMS, "doc_id", "embedding", "text")
+    return retrieval.hybrid(vectors, spread(t(spark, d, "documents").select("doc_id", "text")), _vector(spark, d), TERMS, "doc_id", "embedding", "text")
