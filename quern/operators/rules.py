@@ -199,7 +199,8 @@ def opening_patterns(df: DataFrame, text: str, words: int = 2, n: int = 20) -> D
 
 
 def extracted_fields(html: Column, item: str, fields: list[str]) -> Column:
-    """array<struct> of the elements of class item, each with the text of its first element of each field's class; null where there is none."""
+    """array<struct> of the elements of class item, each with the text of its first element of each field's class; null where there is none.
+    An element reaches as far as the next one of the class, as its end can't be told by patterns."""
     opened = r"<[a-zA-Z][^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{}(?:\s[^\"']*)?[\"'][^>]*>"
     parts = F.split(html, opened.format(item), -1)
     first = lambda x, c: F.nullif(F.regexp_extract(x, "(?s)" + opened.format(c) + "([^<]*)", 1), F.lit(""))

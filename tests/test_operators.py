@@ -225,3 +225,47 @@ def test_longest_runs_have_no_limit(spark, tmp_path):
 
     spark.createDataFrame([(1, "a" + "-" * 80), (2, "aab"), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.run for r in catalogue.longest_runs(spark, str(tmp_path)).collect()} == {1: 80, 2: 2, 3: 0}
+
+
+def test_search_operators(spark):
+    from quern.operators import rules
+
+    rows = [(1, "https://a.example.com/x.pdf?y", "Machine Learning", "costs $700 now"), (2, "http://b.org/login", "apple phones", "old machine for algorithms"), (3, "http://example.com/", "Python", "a snake, the machine learning snake")]
+    pages = spark.createDataFrame(rows, "id int, url string, title string, text string")
+    found = lambda query: [r.id for r in pages.where(rules.search_filter(query, F.col("url"), F.col("title"), F.col("text"))).orderBy("id").collect()]
+    want = {
+        "": [1, 2, 3], '"machine learning"': [1, 3], "machine learning -snake": [1], "apple OR python": [2, 3], '"machine * algorithms"': [2], "(apple OR snake) machine": [2, 3], "$500..$1000": [1], "site:example.com": [1, 3],
+        "filetype:pdf": [1], "inurl:login": [2], "intitle:machine": [1], "intext:machine": [2, 3], "-site:example.com": [2], "(python": [3], "python)": [3], "machine.*": [],
+    }
+    assert {k: found(k) for k in want} == want
+
+
+def test_fields_and_variants(spark):
+    from quern.operators import rules
+
+    html = '<div class="products"><p class="name">no</p></div><div class="product"><p class="name">A &amp; B</p></div><div class=\'x product y\'><p class="price">3</p></div>'
+    (row,) = spark.createDataFrame([(html,)], "h string").select(rules.extracted_fields(F.col("h"), "product", ["name", "price"]).alias("x")).collect()
+    assert [tuple(r) for r in row.x] == [("A &amp; B", None), (None, "3")]
+    urls = spark.createDataFrame([("a", "z/web-operation.webp"), ("a", "z/image_dld_watermark_1"), ("b", "z/other2"), ("b", "z/other1")], "k string, url string")
+    assert sorted(map(tuple, rules.preferred_variant(urls, "k", "url").collect())) == [("a", "z/image_dld_watermark_1"), ("b", "z/other1")]
+
+
+def test_rarely_held_phrases_count_as_before(spark):
+    from quern.operators import rules
+
+    texts = ["A pivotal, crucial and pivotal — **bold** moment", "# Title Case Here\nfrom a to b", "old, new and odd 🎉☀", "", None, "nothing"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = [tuple(r)[1:] for r in rules.pattern_counts(rows, "id", "text").orderBy("id").collect()]
+    plain = rows.select("id", *(F.regexp_count(F.col("text") if n in rules.AS_WRITTEN else F.lower("text"), F.lit(p)).cast("long").alias(n) for n, p in rules.WATCH_WORDS))
+    assert got == [tuple(r)[1:] for r in plain.orderBy("id").collect()] and len(rules.WATCH_WORDS) == 24
+    assert sum(map(lambda r: sum(x or 0 for x in r), got)) >= 9
+
+
+def test_transcript_files(spark, tmp_path):
+    from quern.sources import readers
+
+    rows = spark.createDataFrame([("a", 1, 0.0, 1.0, " x "), ("a", 2, 1.0, 2.0, ""), ("a", 3, 2.0, 3.0, "y"), ("b", 1, 0.0, 1.0, None)], "doc string, n int, start double, end double, text string")
+    out = readers.transcript_records(rows, "doc", "n", model="m")
+    assert {r.doc: (r.model, r.text, len(r.segments)) for r in out.collect()} == {"a": ("m", "x\ny", 3), "b": ("m", "", 1)}
+    readers.write_transcripts(out, str(tmp_path / "t"), "doc", debug=True)
+    assert spark.read.json(str(tmp_path / "t/meta")).columns == ["doc", "model"] and spark.read.json(str(tmp_path / "t/json")).count() == 2

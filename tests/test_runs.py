@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import adapters, translate
 from quern.plans import runs
+from quern.sources import readers
 
 
 def test_translation_run_and_resume(spark, tmp_path):
@@ -19,6 +20,53 @@ def test_translation_run_and_resume(spark, tmp_path):
     assert again.first().segments == 2
 
 
+def test_third_run_sends_only_what_is_new(spark, tmp_path):
+    folder, out, sent = tmp_path / "in", str(tmp_path / "out"), tmp_path / "sent"
+    folder.mkdir()
+    sent.mkdir()
+
+    def translator(text, source, target):
+        (sent / str(abs(hash(text)))).write_text(text)
+        return f"[zh] {text}"
+
+    for name in "abc":
+        (folder / f"{name}.txt").write_text(f"Text {name}.")
+        for f in sent.iterdir():
+            f.unlink()
+        rows = runs.translation_run(spark, str(folder), out, "text", translator=translator).collect()
+        assert [f.read_text() for f in sent.iterdir()] == [f"Text {name}."]
+    assert len(rows) == 3 and rows[0].mode == "translated" and rows[0].segments_path.endswith("/segments/v00000003")
+    assert [p.name for p in (tmp_path / "out/segments").iterdir()] == ["v00000003"]
+
+
+def test_broken_checkpoints_are_no_obstacle(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("One.")
+    out = str(tmp_path / "out")
+    runs.translation_run(spark, str(tmp_path / "in"), out, "text")
+    assert readers.checkpoint(spark, f"{out}/segments").count() == 1
+    half = tmp_path / "out/segments/v00000009"  # a run that stopped: there is no mark of success
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(b"PAR1")
+    assert readers.checkpoint(spark, f"{out}/segments").count() == 1
+    for f in (tmp_path / "out/segments/v00000001").glob("*.parquet"):
+        f.write_bytes(f.read_bytes()[:40])
+    for f in (tmp_path / "out/segments/v00000001").glob(".*.crc"):
+        f.unlink()
+    (row,) = runs.translation_run(spark, str(tmp_path / "in"), out, "text").collect()
+    assert row.segments == 1 and readers.checkpoint(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_latest_and_baseline_in_one_pass(spark):
+    from quern.operators import progress
+
+    rows = [("u", p, n, s, 100, 1.0, v, r, float(s)) for u, (p, n, s, v, r) in enumerate([("a", 0, 10, 2.0, None), ("a", 1, 30, None, 90.0), ("b", 0, 60, 4.0, 1.0), ("b", 1, 30, 9.0, 5.0), ("c", 0, 30, 9.0, 5.0), ("c", 1, 5, 9.0, 5.0)])]
+    m = spark.createDataFrame(rows, "run string, path string, nth int, step long, total long, loss double, sec_per_step double, runtime double, ts double")
+    want = progress.latest_record(m, "run").join(progress.median_baseline(m, "run"), "run").collect()
+    assert progress.latest_and_baseline(m, "run").collect() == want
+    assert progress.latest_and_baseline(m.drop("run").limit(0)).collect() == []
+
+
 def test_timed_run_writes_subtitles(spark, tmp_path):
     (tmp_path / "t.json").write_text(json.dumps({"segments": [{"start": 0, "end": 1.5, "text": "a"}, {"start": 2, "end": 3, "text": "b"}]}))
     runs.translation_run(spark, str(tmp_path / "t.json"), str(tmp_path / "out"), "transcript", mode="bilingual", refiner=translate.offline_refiner)
