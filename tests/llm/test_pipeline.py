@@ -47,3 +47,25 @@ def test_stages_keep_columns_and_survive_empty_tables(spark):
         assert out.collect() == []
         if name != "bpe":
             assert out.dtypes == empty.dtypes
+
+
+@pytest.mark.skipif(not pathlib.Path(SF).exists(), reason="no test data")
+def test_stages_with_nulls_repeats_and_clashing_columns(spark):
+    import corpus_pipeline
+
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(5, a), (6, a.upper()), (6, "quite another text"), (6, "quite another text"), (None, a), (None, None), (7, None), (8, ""), (9, f"so {leak} it is"), (3, a + " more"), (4, "w " * 150_000), (4, leak)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, place int, gone string, own_sha int, hits int, kid int, score double, y int"
+    docs = spark.createDataFrame([(i, t, None, "s", None, n, "g", 1, 2, 3, 0.5, 4) for n, (i, t) in enumerate(rows)], schema).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    left = {}
+    for name in ("toxicity", "exact_dedup", "ngram_jaccard", "decontamination"):
+        out = stages[name](spark, docs, SF)
+        assert out.dtypes == docs.dtypes
+        left[name] = sorted(r.place for r in out.collect())
+    assert set(left["toxicity"]) >= {5, 6, 7}
+    assert left["exact_dedup"] == [1, 2, 3, 7, 8, 9, 10, 11]
+    assert left["ngram_jaccard"] == [2, 3, 4, 5, 6, 7, 9, 10, 11]  # the passage with words around it is a near copy of the passage
+    assert left["decontamination"] == [0, 1, 2, 3, 4, 5, 6, 7, 9, 10]
+    assert stages["bpe"](spark, docs, SF).count() == len(rows)
