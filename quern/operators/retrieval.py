@@ -30,7 +30,7 @@ def vector_pool(vectors: DataFrame, query: list[float], key: str, vector: str, n
 
 def _count(text: Column, term: str) -> Column:
     """How often a word stands in a lower-cased text; texts without its letters aren't searched by pattern."""
-    return F.when(F.contains(text, F.lit(term)), F.regexp_count(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])\Q{term}\E(?![\p{{L}}\p{{N}}])"))).otherwise(0)
+    return F.when(F.contains(text, F.lit(term)), F.regexp_count(text, F.lit(rf"\Q{term}\E(?![\p{{L}}\p{{N}}])(?<![\p{{L}}\p{{N}}]\Q{term}\E)"))).otherwise(0)
 
 
 def keyword_pool(texts: DataFrame, terms: list[str], key: str, text: str, n: int = POOL) -> DataFrame:

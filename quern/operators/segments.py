@@ -24,12 +24,7 @@ def slices(block: Column, size: int = PIECE) -> Column:
     return F.filter(F.transform(starts, lambda i: X.strip(F.substr(block, i + 1, F.lit(size)))), lambda s: s != "")
 
 
-def sentences(block: Column) -> Column:
-    parts = F.split(block, rf"(?U)(?<=[{X.ENDINGS}{X.CLOSINGS}])\s*", -1)
-    return F.filter(F.transform(parts, X.strip), lambda s: s != "")
-
-
-_AFTER_MARK = re.compile(rf"(?<=[{X.ENDINGS}{X.CLOSINGS}])\s*")
+_TO_MARK = re.compile(rf"[^{X.ENDINGS}{X.CLOSINGS}]*[{X.ENDINGS}{X.CLOSINGS}]|[^{X.ENDINGS}{X.CLOSINGS}]+")
 _BETWEEN_BLOCKS = re.compile(r"\n\s*\n+")
 
 
@@ -44,24 +39,30 @@ def _packed(parts: list[str], size: int) -> list[str]:
     return [s for s in (x.strip() for x in [*out, "".join(held)]) if s]
 
 
+def _sentences(block: str) -> list[str]:
+    """Parts that end with a mark, the last one maybe without, stripped; blank ones are none."""
+    return [s for s in (p.strip() for p in _TO_MARK.findall(block)) if s]
+
+
 def _pieces(block: str, size: int) -> list[str]:
     b = block.strip()
     if len(b) <= size:
         return [b] if b else []
-    parts = [s for s in (p.strip() for p in _AFTER_MARK.split(b)) if s]
+    parts = _sentences(b)
     if len(parts) > 1:
         return _packed(parts, size)
     return [s for s in (b[i : i + size].strip() for i in range(0, len(b), size)) if s]
 
 
-def packed(parts: Column, size: int = PIECE) -> Column:
-    """Neighbours joined without separator while they fit; a part that is too long stays whole. A native fold would copy what it has at each step."""
+def packed_sentences(block: Column, size: int = PIECE) -> Column:
+    """Neighbouring sentences joined without separator while they fit; one that is too long stays whole. A native fold would copy what it has at
+    each step."""
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def run(x: pd.Series) -> pd.Series:
-        return x.map(lambda ps: [] if ps is None else _packed(list(ps), size))
+        return x.map(lambda b: [] if b is None else _packed(_sentences(b), size))
 
-    return run(parts)
+    return run(block)
 
 
 def pieces(block: Column, size: int = PIECE) -> Column:
@@ -74,10 +75,6 @@ def pieces(block: Column, size: int = PIECE) -> Column:
     return run(block)
 
 
-def blocks(x: Column) -> Column:
-    return F.split(X.strip(x), r"(?U)\n\s*\n+", -1)
-
-
 def numbered(df: DataFrame, segments: Column, *keys: str) -> DataFrame:
     """A row for each segment, with ids from 1 on."""
     return df.select(*keys, F.posexplode(segments).alias("pos", "text")).select(*keys, (F.col("pos") + 1).cast("long").alias("id"), "text")

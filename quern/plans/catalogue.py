@@ -180,7 +180,7 @@ def split_fixed_220(spark, d):
     " SELECT doc_id, CAST(b + 1 AS BIGINT) AS id, string_agg(s[i], '' ORDER BY i) AS text FROM f JOIN s USING (doc_id) GROUP BY doc_id, b"
 )
 def split_sentence_pack(spark, d):
-    return segments.numbered(spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", segments.packed(segments.sentences(F.col("text"))).alias("_s")), F.col("_s"), "doc_id")
+    return segments.numbered(spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", segments.packed_sentences(F.col("text")).alias("_s")), F.col("_s"), "doc_id")
 
 
 @query(

@@ -43,7 +43,7 @@ def test_pieces(one):
     assert lengths(one, "a" * 149 + "!" + "b" * 59 + "!" + "c" * 29 + "!") == [210, 30]
     assert lengths(one, "a" * 299 + "!" + "b" * 9 + "!") == [300, 10]
     assert lengths(one, "  ") == [] and lengths(one, "short") == [5]
-    assert one(G.packed, ["ab", "cd", "e"], kind="array<string>") == ["abcde"]
+    assert G._packed(["ab", "cd", "e"], 220) == ["abcde"] and one(G.packed_sentences, "ab! cd! " + "e" * 220) == ["ab!cd!", "e" * 220]
 
 
 @settings(max_examples=25, deadline=None)
