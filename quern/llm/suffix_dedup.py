@@ -29,6 +29,8 @@ ANCHOR = 256
 EMPTY, GRAM, FULL, CHOSEN = 0, 1, 2, 3
 #: Places of a text whose ranges are joined at once.
 STARTS = 1 << 14
+#: Bytes of documents for each bucket of anchors, and windows for each bucket of these: one worker sorts a bucket whole.
+BUCKET_BYTES, BUCKET_WINDOWS = 256 << 20, 1 << 21
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -177,9 +179,17 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out.combine_chunks().to_batches(max_chunksize=1 << 16)
 
 
-def compared(suffixes: DataFrame, name: str) -> DataFrame:
-    """did, kid, s1, s2, kind of the suffixes whose tokens repeat: FULL or CHOSEN if both tokens do, GRAM if only the leading one."""
-    buckets = in_batches(suffixes.repartitionByRange("lead", "tail", "kid", "s1")).mapInArrow(
+def _ranged(suffixes: DataFrame, least: int) -> DataFrame:
+    """Buckets by sampled splitters: as many as the session's shuffles have partitions, or least if that is more."""
+    by = ("lead", "tail", "kid", "s1")
+    enough = least <= int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return suffixes.repartitionByRange(*by) if enough else suffixes.repartitionByRange(least, *by)
+
+
+def compared(suffixes: DataFrame, name: str, least: int = 1) -> DataFrame:
+    """did, kid, s1, s2, kind of the suffixes whose tokens repeat: FULL or CHOSEN if both tokens do, GRAM if only the leading one. They are
+    sorted in least buckets or more."""
+    buckets = in_batches(_ranged(suffixes, least)).mapInArrow(
         _bucket, "did long, kid long, s1 int, s2 int, kind tinyint, edge tinyint, bucket int, lead long, tail long"
     )
     buckets = written(buckets, name)
@@ -255,17 +265,21 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Removes each byte covered by a string of min_bytes bytes that also starts anywhere else, in the same document or another; overlaps
     count; strings are judged on the input. Texts are UTF-8 bytes; null counts as empty, and texts shorter than min_bytes lose nothing.
     Rows repeated with their id, and null ids, count as documents of their own. An empty table gives an empty result; further columns are
-    ignored. Texts of any length are handled in pieces.
+    ignored. Texts of any length are handled in pieces. The number of buckets grows with the bytes of the texts and with the contested
+    windows, so that the part one worker sorts does not.
     """
     anchor = anchor or max(1, min(ANCHOR, min_bytes * 16 // 25))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("did", F.coalesce("doc_id", F.lit(-sys.maxsize - 1))).withColumn("kid", F.xxhash64("doc_id", "text"))
     keys = "lead long, tail long, did long, kid long, s1 int, s2 int"
-    kinds = compared(in_batches(rows.select("did", "kid", "text")).mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors")
-    contested = _of_rows(kinds.where(f"kind IN ({GRAM}, {CHOSEN})"), 1)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    kinds = compared(in_batches(rows.select("did", "kid", "text")).mapInArrow(_anchor_batches(min_bytes, anchor), keys), "anchors", -(-size // BUCKET_BYTES))
+    open_kinds = kinds.where(f"kind IN ({GRAM}, {CHOSEN})")
+    several = open_kinds.agg(F.sum(F.expr("cast(s2 AS long) - s1 + 1"))).first()[0] or 0
+    contested = _of_rows(open_kinds, 1)
     windows = in_batches(rows.select("did", "kid", "text").join(contested, ["did", "kid"]).select("did", "kid", "text", "spans")).mapInArrow(_window_batches(min_bytes), keys)
-    repeated = _of_rows(kinds.unionByName(compared(windows, "windows")).where(f"kind >= {FULL}"), min_bytes)
+    repeated = _of_rows(kinds.unionByName(compared(windows, "windows", -(-several // BUCKET_WINDOWS))).where(f"kind >= {FULL}"), min_bytes)
     cut = rows.join(repeated, ["did", "kid"], "left").select("doc_id", "text", "spans")
     return in_batches(cut).mapInArrow(_cut(min_bytes), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
 

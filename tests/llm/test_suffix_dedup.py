@@ -52,6 +52,20 @@ def test_ranges_of_long_texts_by_blocks(spark, monkeypatch):
     check(spark, [long, long, long[:1500] + "X" + long[1500:], "q" + long[700:800], *made(4, 20)], 40)
 
 
+def test_buckets_grow_with_the_input(spark, monkeypatch):
+    from quern.llm import suffix_dedup
+
+    seen, ranged = [], suffix_dedup._ranged
+    monkeypatch.setattr(suffix_dedup, "_ranged", lambda s, least: seen.append((least, (got := ranged(s, least)).rdd.getNumPartitions())) or got)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_WINDOWS", 100)
+    texts = made(7)
+    check(spark, texts, 40)
+    (anchors, parts), (windows, more) = seen
+    assert anchors == parts == -(-sum(len((t or "").encode()) for t in texts) // 1000) > 4
+    assert windows == more > 4
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     from quern.llm import suffix_dedup
 
