@@ -56,6 +56,10 @@ class Counts:
             self.pieces = regex.compile(PATTERN).findall
             self.cut = regex.compile("|".join(regex.escape(t["content"]) for t in sorted(added, key=lambda t: -len(t["content"])))) if added else None
 
+    def lengths(self, texts: list[str]) -> list[int]:
+        """Numbers of tokens by the library itself, without the offsets that its other call works out."""
+        return list(map(len, self.tok.encode_batch_fast(texts, add_special_tokens=False)))
+
     def words(self, text: str) -> Iterator[list[str] | int]:
         """Lists of pre-tokens of a text, and 1 for each special string."""
         parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
@@ -68,7 +72,7 @@ class Counts:
         if self.sp:
             return [len(x) for x in self.sp.encode(texts, num_threads=1)]
         if not self.pieces:
-            return [len(x.ids) for x in self.tok.encode_batch(texts, add_special_tokens=False)]
+            return self.lengths(texts)
         total, held, size = [0] * len(texts), [], 0
         for i, text in enumerate(texts):
             for words in self.words(text):
@@ -90,7 +94,7 @@ class Counts:
         missed = list(needed.difference(self.cached))
         for i in range(0, len(missed), 20_000):
             part = missed[i : i + 20_000]
-            self.cached.update(zip(part, (len(x.ids) for x in self.tok.encode_batch(part, add_special_tokens=False)), strict=True))
+            self.cached.update(zip(part, self.lengths(part), strict=True))
         for i, words in held:
             total[i] += sum(map(self.cached.__getitem__, words))
         for w in missed:  # long ones hardly recur, so the cache is bounded in bytes, too
@@ -151,7 +155,7 @@ def frequent_words(docs: DataFrame, path: str, text_col: str = "text") -> dict[s
     rows = in_batches(docs.select(F.col(text_col).cast("string").alias("text"))).mapInArrow(_heavy, "word binary, n long")
     best = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()
     words = [w for r in best if counts.pieces(w := bytes(r.word).decode("utf-8", "replace")) == [w]]
-    return dict(zip(words, (len(x.ids) for x in counts.tok.encode_batch(words, add_special_tokens=False)), strict=True))
+    return dict(zip(words, counts.lengths(words), strict=True))
 
 
 _loaded: dict[str, Counts] = {}
