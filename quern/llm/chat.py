@@ -142,10 +142,14 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for text, spans in zip(b.column("formatted").to_pylist(), b.column("spans").to_pylist(), strict=True):
-            turns = parsed(text)
-            loss = "".join(unescaped(text[s["start"] : s["end"]]) for s in spans)
-            all_turns = "".join(f"{role}\n{said}\n" for role, said in turns)
-            rows.append((len(turns), hashlib.sha256(all_turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+            turns, said_sum, loss_sum, loss_chars = parsed(text), hashlib.sha256(), hashlib.sha256(), 0
+            for role, said in turns:
+                said_sum.update(f"{role}\n{said}\n".encode())
+            for s in spans:
+                loss = unescaped(text[s["start"] : s["end"]])
+                loss_chars += len(loss)
+                loss_sum.update(loss.encode())
+            rows.append((len(turns), said_sum.hexdigest(), loss_chars, loss_sum.hexdigest(), len(text)))
         cols = zip(*rows, strict=True) if rows else [[]] * 5
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         yield pa.record_batch([b.column("conv_id"), *(pa.array(np.array(c) if not len(c) else c, k) for c, k in zip(cols, kinds, strict=True))], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
