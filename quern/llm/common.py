@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.sources.interim import drop_written, shared_dir, written  # noqa: F401
+
 #: Bytes that the vectorised code handles at once; its arrays hold eight bytes or more for each.
 CHUNK = 1 << 18
 #: Bytes of an Arrow batch that goes to a worker at once.
@@ -39,54 +38,6 @@ def in_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, or, in a local run without one, a temporary folder."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        already = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = already.get() if already.isDefined() else None
-    if not folder:
-        if not (spark.sparkContext.master or "").startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="quern-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, so that a lost executor costs no more than its last
-    stage, and frees the shuffle files behind it. The tables go when the driver ends, or with drop_written()."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}-{name}"
-    _written.append((spark, path))
-    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go as soon as the table is there
-    before = spark.conf.get(clean, None)
-    spark.conf.set(clean, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(clean, before) if before is not None else spark.conf.unset(clean)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_written() -> None:
-    """Deletes the tables written so far; no result that still reads them may be used afterwards."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # noqa: BLE001, S110  the session may have ended before
-            pass
-
-
-atexit.register(drop_written)
-
-
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string column; null counts as empty."""
     col = pc.fill_null(col, "" if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else b"").cast(pa.large_binary())
