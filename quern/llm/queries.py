@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, chat, decontamination, exact_dedup, mixing, ngram_join, quality, suffix_dedup, token_counts, toxicity, url_filter
+from quern.llm import bpe, chat, decontamination, exact_dedup, mixing, ngram_join, prefix_trie, quality, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_source_mix": mixing.op12_source_mix,
 }
 
@@ -22,5 +23,6 @@ SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op4_ngram_jaccard": ngram_join.OP4_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_source_mix": mixing.OP12_SQL,
 }
