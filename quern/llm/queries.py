@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, chat, decontamination, exact_dedup, mixing, ngram_join, prefix_trie, quality, suffix_dedup, token_counts, toxicity, url_filter
+from quern.llm import bpe, chat, decontamination, exact_dedup, hard_negatives, mixing, ngram_join, prefix_trie, quality, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_source_mix": mixing.op12_source_mix,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 SQL = {
@@ -25,4 +26,5 @@ SQL = {
     "op8_chat_formatting": chat.OP8_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_source_mix": mixing.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
