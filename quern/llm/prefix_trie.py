@@ -59,19 +59,25 @@ def rebuilt(turns: DataFrame, base: Column, first: Column) -> tuple[DataFrame, D
     return given.select("conv_id", "n"), borrowed.unionByName(kept)
 
 
-def _chained(root: bytes):
-    """For each block, in order of turns: each turn's prefix digest and its parent's."""
+def _onward(start: bytes, turns: bytes) -> bytes:
+    """The digest at the end of a whole block, which the next block starts from. turns: the hash of the block's turns."""
+    return hashlib.sha256(b"block" + start + turns).digest()
+
+
+def _chained(block: int):
+    """Each turn's prefix digest and its parent's, block by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, now = None, root
+        key, start, now, turns = None, ROOT, ROOT, hashlib.sha256()
         for batch in batches:
-            convs, blocks, starts, digests = (batch.column(c).to_pylist() for c in ("conv_id", "block", "start", "digest"))
+            convs, blocks, places, starts, digests = (batch.column(c).to_pylist() for c in ("conv_id", "block", "pos", "start", "digest"))
             up, out = [], []
-            for c, b, s, d in zip(convs, blocks, starts, digests, strict=True):
+            for c, b, p, s, d in zip(convs, blocks, places, starts, digests, strict=True):
                 if (c, b) != key:
-                    key, now = (c, b), s or root
+                    key, start, now, turns = (c, b), s or ROOT, s or ROOT, hashlib.sha256()
                 up.append(now)
-                now = hashlib.sha256(now + d).digest()
+                turns.update(d.hex().encode())
+                now = _onward(start, turns.digest()) if p % block == block - 1 else hashlib.sha256(now + d).digest()
                 out.append(now)
             yield pa.record_batch([*(batch.column(c) for c in ("conv_id", "block", "pos", "n", "words")), pa.array(out, pa.binary()), pa.array(up, pa.binary())], ["conv_id", "block", "pos", "n", "words", "node", "parent"])
 
@@ -88,7 +94,7 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
             for c, d in zip(batch.column("conv_id").to_pylist(), batch.column("digest").to_pylist(), strict=True):
                 if c != key:
                     key, now = c, ROOT
-                now = hashlib.sha256(b"block" + now + d).digest()
+                now = _onward(now, d)
                 starts.append(now)
             ids = batch.column("block").to_pylist()
             yield pa.record_batch([batch.column("conv_id"), pa.array([b + 1 for b in ids], pa.int64()), pa.array(starts, pa.binary())], ["conv_id", "block", "start"])
@@ -102,10 +108,10 @@ def prefixes(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = turns.withColumn("block", F.floor(F.col("pos") / block).cast("long"))
     full = rows.where(F.col("pos") - F.col("pos") % block + block < F.col("n"))  # blocks that another one follows
     each = F.array_sort(F.collect_list(F.struct("pos", "digest")))  # block turns for each at most
-    hashes = full.groupBy("conv_id", "block").agg(F.unhex(F.sha2(F.concat_ws("", F.transform(each, lambda r: F.hex(r["digest"]))), 256)).alias("digest"))
+    hashes = full.groupBy("conv_id", "block").agg(F.unhex(F.sha2(F.concat_ws("", F.transform(each, lambda r: F.lower(F.hex(r["digest"])))), 256)).alias("digest"))
     placed = rows.join(_block_starts(hashes), ["conv_id", "block"], "left")
     dealt = placed.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "pos").select("conv_id", "block", "pos", "n", "digest", "words", "start")
-    chained = in_batches(dealt).mapInArrow(_chained(ROOT), "conv_id long, block long, pos long, n long, words long, node binary, parent binary")
+    chained = in_batches(dealt).mapInArrow(_chained(block), "conv_id long, block long, pos long, n long, words long, node binary, parent binary")
     return chained.select("conv_id", "block", (F.col("pos") + 1).alias("depth"), (F.col("pos") + 1 == F.col("n")).alias("ends"), "words", "node", "parent")
 
 
