@@ -30,6 +30,23 @@ def changes(batch: pa.RecordBatch, keys: list[str], last: tuple | None) -> tuple
     return new, tuple(batch.column(k)[n - 1].as_py() for k in keys)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """A table for each run of rows with equal keys, however the runs lie across batches."""
+    last, held = None, []
+    for batch in batches:
+        if not len(batch):
+            continue
+        new, last = changes(batch, keys, last)
+        cuts = [0, *(i for i in np.flatnonzero(new) if i), len(batch)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if new[lo] and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _local(keys: list[str], sums: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, at, head = TaskContext.get().partitionId(), None, 0, True

@@ -65,6 +65,13 @@ def packed_sentences(block: Column, size: int = PIECE) -> Column:
     return run(block)
 
 
+def sentences(block: Column) -> Column:
+    """Parts that end with a mark, the last one maybe without, stripped; blank ones are none."""
+    marks = X.ENDINGS + X.CLOSINGS
+    parts = F.regexp_extract_all(block, F.lit(f"([^{marks}]*[{marks}]|[^{marks}]+)"), F.lit(1))
+    return F.filter(F.transform(parts, X.strip), lambda s: s != "")
+
+
 def pieces(block: Column, size: int = PIECE) -> Column:
     """A block as pieces: as it is if short, else sentences packed, else, of a single sentence, slices."""
 

@@ -183,6 +183,13 @@ def split_sentence_pack(spark, d):
     return segments.numbered(spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", segments.packed_sentences(F.col("text")).alias("_s")), F.col("_s"), "doc_id")
 
 
+@query(SQL["split_sentence_pack"])
+def pack_sentence_rows(spark, d):
+    """As split_sentence_pack, with sentences as rows, so that a document may spread over tasks."""
+    said = t(spark, d, "documents").select("doc_id", F.posexplode(segments.sentences(F.col("text"))).alias("pos", "s"))
+    return batching.packed_rows(said, "doc_id", "pos", "s", segments.PIECE)
+
+
 @query(
     f"WITH r AS (SELECT doc_id, unnest(list_transform({LINES.format('text')}, lambda x: {STRIPPED.format('x')})) AS s, generate_subscripts({LINES.format('text')}, 1) AS i FROM documents)"
     " SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS id, s AS text FROM r WHERE s <> ''"
@@ -234,6 +241,17 @@ def batch_stats(spark, d):
     return batching.batch_stats(batching.greedy_batches(rows, "conv_id", ["turn"], F.col("n"), translate.BASE_BUDGET), "conv_id", F.col("n"))
 
 
+@query(
+    "WITH RECURSIVE s AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS n, row_number() OVER o AS i, sum(CAST(l_quantity AS BIGINT)) OVER o AS e FROM lineitem WINDOW o AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity ROWS UNBOUNDED PRECEDING)),"
+    " f AS (SELECT CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS b UNION ALL SELECT min(s.i), f.b + 1 FROM f JOIN s AS a ON a.i = f.i JOIN s ON s.i > f.i AND s.e > a.e - a.n + 1200 GROUP BY f.b)"
+    " SELECT l_orderkey, l_linenumber, b AS batch_id FROM s ASOF JOIN f ON s.i >= f.i"
+)
+def batch_one_stream(spark, d):
+    """All lines of all orders as one document."""
+    rows = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("n"), F.lit(0).alias("doc"))
+    return batching.greedy_batches(rows, "doc", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n"], F.col("n"), translate.BASE_BUDGET).select("l_orderkey", "l_linenumber", "batch_id")
+
+
 # Translation
 
 
