@@ -75,6 +75,14 @@ def with_checkpoint(segments: DataFrame, checkpoint: DataFrame, key: str) -> tup
     return segments.join(known, on).drop("_k", "_i"), segments.join(known, on, "left_anti")
 
 
+def with_known(segments: DataFrame, key: str, checkpoint: DataFrame | None) -> DataFrame:
+    """segments with known, what a checkpoint (key, id, translation) has for them; null where it has nothing, and without a checkpoint."""
+    if checkpoint is None:
+        return segments.withColumn("known", F.lit(None).cast("string"))
+    known = checkpoint.where(F.col("id").isNotNull()).select(F.col(key), F.col("id").cast("string").alias("_i"), F.col("translation").alias("known")).dropDuplicates([key, "_i"])
+    return segments.withColumn("_i", F.col("id").cast("string")).join(known, [key, "_i"], "left").drop("_i")
+
+
 def refined_merge(base: DataFrame, refined: DataFrame, keys: list[str]) -> DataFrame:
     """base with refined translations where there are any that aren't blank; adds missing and changed."""
     r = refined.select(*keys, F.col("refined"), F.lit(True).alias("_there"))
@@ -180,17 +188,15 @@ def translate_documents(
 ) -> DataFrame:
     """One row for each segment, by id (missing ids as 0), with its translation, and the document's status of refinement on each row.
 
-    segments: key, id, text, and start and end if there are times. checkpoint: key, id, translation of what is done already.
+    segments: key, id, text, and start and end if there are times. checkpoint: key, id, translation of what is done already; or segments have it in
+    a column known, see with_known().
     """
     has = segments.columns
-    rows = segments.select(key, "id", *(F.col(c).cast("double") if c in has else F.lit(None).cast("double").alias(c) for c in ("start", "end")), "text", *([] if "pos" not in has else ["pos"]))
+    rows = segments.select(key, "id", *(F.col(c).cast("double") if c in has else F.lit(None).cast("double").alias(c) for c in ("start", "end")), "text", *(c for c in ("pos", "known") if c in has))
     if "pos" not in has:
         rows = rows.withColumn("pos", F.col("id"))
-    if checkpoint is not None:
-        known = checkpoint.where(F.col("id").isNotNull()).select(F.col(key), F.col("id").cast("string").alias("_i"), F.col("translation").alias("known")).dropDuplicates([key, "_i"])
-        rows = rows.withColumn("_i", F.col("id").cast("string")).join(known, [key, "_i"], "left").drop("_i")
-    else:
-        rows = rows.withColumn("known", F.lit(None).cast("string"))
+    if checkpoint is not None or "known" not in has:
+        rows = with_known(rows.drop("known"), key, checkpoint)
     key_type = dict(segments.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,6 +7,7 @@ made of rows, in columns of paths and contents, as the readers get them.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
@@ -19,7 +20,7 @@ from quern.functions import text as X
 from quern.operators import emit, memory, progress, rules, segments, translate
 from quern.plans import runs
 from quern.plans.catalogue import LINES, NOISY, OFFLINE, STRIPPED, q, query, t
-from quern.sources import readers
+from quern.sources import interim, readers
 
 # Cleaning rules, on texts in which letters stand for what the rules are about
 
@@ -176,6 +177,16 @@ def normalised_records(spark, d):
     return out.select("conv_id", "source_type", "language", "has_timestamps", "normalization_plan", said.alias("segments"))
 
 
+@query(f"SELECT CAST(conv_id AS VARCHAR) AS doc, turn AS id, turn AS pos, text, {OFFLINE} AS translation FROM conversations")
+def saved_translations(spark, d):
+    """Translations saved in parts as the run goes, read back from the version that it wrote."""
+    rows = t(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("doc"), F.col("turn").alias("id"), "text")
+    out = f"{interim.shared_dir(spark)}/quern-{uuid.uuid4().hex}-run"
+    interim.dropped_at_exit(spark, out)
+    done = spark.read.parquet(runs.saved_translations(rows, out, saves=4))
+    return done.select("doc", "id", (F.col("pos") - 1).cast("long").alias("pos"), "text", "translation")
+
+
 @query("SELECT event_id, CASE WHEN event_type = 'error' THEN 'not_ready' WHEN event_type IN ('view', 'click') THEN 'timeout' ELSE 'failed' END AS status FROM events")
 def failure_states(spark, d):
     said = F.when(F.col("event_type") == "error", "Server not ready within 10s").when(F.col("event_type") == "view", "read TIMEOUT").when(F.col("event_type") == "click", "Request timed out").otherwise(F.col("event_type"))

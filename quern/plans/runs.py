@@ -7,24 +7,61 @@ from pyspark.sql import functions as F
 
 from quern.operators import emit, progress, router, translate
 from quern.sources import readers
-
-
-def translation_run(spark: SparkSession, path: str, out: str, kind: str | None = None, resume: bool = True, mode: str = "translated", **options) -> DataFrame:
+from quern.streaming import events
+
+
+def _saved(spark: SparkSession, out: str, version: str, per_save: int, options: dict) -> None:
+    """Translates what is staged for a version, per_save files at a time, and marks the version as whole. A stream reads the staged files, and its log
+    moves on once the part of a batch is written; so a run that is stopped goes on behind its last part, and a part that was begun is written again."""
+    staged, target = f"{out}/running/{version}/staged", f"{out}/segments/{version}"
+    schema = spark.read.parquet(staged).schema
+
+    def save(batch: DataFrame, number: int) -> None:
+        done = translate.translate_documents(batch, "doc", **options)
+        place = F.row_number().over(Window.partitionBy("doc").orderBy(F.coalesce("id", F.lit(0))))
+        done.withColumn("pos", place).write.mode("overwrite").parquet(f"{target}/part={number}")
+
+    streamed = events.stream(spark, staged, schema, per_save)
+    events.run_batches(streamed, save, f"{out}/running/{version}/log")
+    readers.mark_whole(spark, target)
+    readers.drop_versions(spark, f"{out}/running", [version])
+
+
+def saved_translations(segments: DataFrame, out: str, saves: int = 16, per_save: int | None = None, resume: bool = True, **options) -> str:
+    """Translates segments (doc, id, text, maybe start, end, pos) into a new version under out/segments, saving parts as it goes, and returns the version's
+    path. options go to translate_documents().
+
+    The segments are staged in files that hold whole documents, at most saves times per_save of them; a part is made of per_save files, by default one for
+    each core. A run that was stopped is finished first, from what it had staged; then what the newest whole version knows isn't sent again. Without
+    resume, such a run is thrown away, and everything is sent. Older versions go once a newer one is whole."""
+    spark = segments.sparkSession
+    per_save = per_save or spark.sparkContext.defaultParallelism
+    running, versions = f"{out}/running", f"{out}/segments"
+    for v in readers.folders(spark, running):
+        if resume and readers.exists(spark, f"{running}/{v}/staged/_SUCCESS"):
+            _saved(spark, out, v, per_save, options)
+        else:  # nothing was sent, or nothing of it is wanted
+            readers.drop_versions(spark, versions, [v])
+            readers.drop_versions(spark, running, [v])
+    whole = readers.checkpoint_versions(spark, versions)
+    known = readers.checkpoint(spark, versions) if resume else None
+    version = f"v{int(whole[-1][1:]) + 1 if whole else 1:08d}"
+    rows = translate.with_known(segments if "pos" in segments.columns else segments.withColumn("pos", F.col("id")), "doc", known)
+    rows.repartition(saves * per_save, "doc").sortWithinPartitions("doc", "pos").write.mode("overwrite").parquet(f"{running}/{version}/staged")
+    _saved(spark, out, version, per_save, options)
+    readers.drop_versions(spark, versions, whole)
+    return f"{versions}/{version}"
+
+
+def translation_run(spark: SparkSession, path: str, out: str, kind: str | None = None, resume: bool = True, mode: str = "translated", saves: int = 16, per_save: int | None = None, **options) -> DataFrame:
     """Reads, cleans and splits files, translates their segments, and writes under out: segments (Parquet, the checkpoint of later runs),
-    texts and subtitles. Returns a summary of each file. options go to translate_documents().
+    texts and subtitles. Returns a summary of each file. Parts are saved during the run, and a run that was stopped goes on where it was: see
+    saved_translations(). options go to translate_documents().
 
-    Each run writes a version of its own under segments, and the next one resumes from the newest that was written whole; older ones go once a
-    newer one is there. Nothing that a run reads is ever overwritten.
+    Each run writes a version of its own under segments, and the next one resumes from the newest whole one. Nothing that a run reads is ever overwritten.
     """
-    segments = readers.read(spark, path, kind).withColumnRenamed("path", "doc")
-    versions = readers.checkpoint_versions(spark, f"{out}/segments")
-    known = readers.checkpoint(spark, f"{out}/segments") if resume else None
-    done = translate.translate_documents(segments, "doc", checkpoint=known, **options)
-    place = F.row_number().over(Window.partitionBy("doc").orderBy(F.coalesce("id", F.lit(0))))
-    target = f"{out}/segments/v{int(versions[-1][1:]) + 1 if versions else 1:08d}"
-    done.withColumn("pos", place).write.mode("overwrite").parquet(target)
-    readers.drop_versions(spark, f"{out}/segments", versions)
-    rows = spark.read.parquet(target)
+    target = saved_translations(readers.read(spark, path, kind).withColumnRenamed("path", "doc"), out, saves, per_save, resume, **options)
+    rows = spark.read.parquet(target).drop("part")
     emit.translated_text(rows, "doc").write.mode("overwrite").parquet(f"{out}/translated")
     emit.srt(rows, "doc", mode).write.mode("overwrite").parquet(f"{out}/subtitles")
     timed = F.count_if(F.col("start").isNotNull() & F.col("end").isNotNull()).alias("timed")

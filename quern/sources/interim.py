@@ -41,6 +41,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped_at_exit(spark: SparkSession, path: str) -> None:
+    """A folder that goes with the tables."""
+    _written.append((spark, path))
+
+
 def drop_written() -> None:
     """Deletes the tables written so far; no result that still reads them may be used afterwards."""
     while _written:

@@ -159,21 +159,36 @@ def checkpoint(spark: SparkSession, path: str, key: str = "doc") -> DataFrame |
 
 
 def checkpoint_versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of the whole versions under path, oldest first. A version counts once Spark has marked it as written."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return sorted(n for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+    """Names of the whole versions under path, oldest first. A version counts once it is marked as whole."""
+    return [n for n in folders(spark, path) if n.startswith("v") and exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def _at(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _at(spark, path)
+    return fs.exists(at)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if there is no such folder."""
+    at, fs = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()) if fs.exists(at) else []
+
+
+def mark_whole(spark: SparkSession, path: str) -> None:
+    """Marks a version that was written in parts."""
+    at, fs = _at(spark, f"{path}/_SUCCESS")
+    fs.create(at, True).close()
 
 
 def drop_versions(spark: SparkSession, path: str, names: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
     for n in names:
-        at = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        at, fs = _at(spark, f"{path}/{n}")
+        fs.delete(at, True)
 
 
 def config(spark: SparkSession, path: str) -> dict:

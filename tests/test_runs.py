@@ -1,5 +1,6 @@
 import json
 import socket
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,50 @@ def test_third_run_sends_only_what_is_new(spark, tmp_path):
     assert [p.name for p in (tmp_path / "out/segments").iterdir()] == ["v00000003"]
 
 
+def test_a_killed_run_goes_on_in_the_middle(spark, tmp_path):
+    """A run that dies after half of its documents has saved them; the next one sends the others only, and nothing is lost or sent twice."""
+    folder, out, sent = tmp_path / "in", str(tmp_path / "out"), tmp_path / "sent"
+    folder.mkdir()
+    sent.mkdir()
+    for i in range(12):
+        (folder / f"{i:02d}.txt").write_text(f"Text {i}.\n\nMore of {i}.")
+
+    def translator(most):
+        def run(text, source, target):
+            if len(list(sent.iterdir())) >= most:
+                raise RuntimeError("killed")
+            (sent / f"{text.split('.')[0].strip()}-{time.time_ns()}").write_text(text)
+            return "\n".join(f"[zh] {line}" if line.strip() and translate.SEPARATOR not in line else line for line in text.split("\n"))
+
+        return run
+
+    go = lambda most: runs.translation_run(spark, str(folder), out, "text", saves=6, per_save=2, attempts=1, translator=translator(most)).collect()
+    with pytest.raises(Exception, match="killed"):
+        go(6)
+    parts = sorted(p.name for p in (tmp_path / "out/segments/v00000001").iterdir() if p.name.startswith("part="))
+    whole = [p for p in parts if (tmp_path / f"out/segments/v00000001/{p}/_SUCCESS").exists()]
+    assert whole and not (tmp_path / "out/segments/v00000001/_SUCCESS").exists()
+    saved = {r.doc for r in spark.read.parquet(*(str(tmp_path / f"out/segments/v00000001/{p}") for p in whole)).collect()}
+    before = {f.name for f in sent.iterdir()}
+    assert len(saved) >= 3 and len(before) == 6
+    rows = go(1000)
+    assert len(rows) == 12 and all(r.segments == 2 for r in rows)
+    later = [f.read_text() for f in sent.iterdir() if f.name not in before]
+    assert len(later) == 12 - len(saved)  # a document each
+    assert not any(f"Text {int(d.rsplit('/', 1)[1][:2])}." in t.split("\n") for d in saved for t in later)
+    assert spark.read.parquet(rows[0].segments_path).where("translation LIKE '[zh] %'").count() == 24
+    assert readers.folders(spark, f"{out}/running") == [] and [p.name for p in (tmp_path / "out/segments").iterdir()] == ["v00000002"]
+
+
+def test_without_resume_a_stopped_run_is_thrown_away(spark, tmp_path):
+    segments = spark.createDataFrame([(f"d{i}", 1, f"text {i}") for i in range(8)], "doc string, id long, text string")
+    with pytest.raises(Exception, match="division by zero"):
+        runs.saved_translations(segments, str(tmp_path), saves=4, per_save=1, attempts=1, translator=lambda *a: 1 / 0 if "text 5" in a[0] else a[0])
+    assert readers.folders(spark, f"{tmp_path}/running") == ["v00000001"]
+    path = runs.saved_translations(segments, str(tmp_path), saves=4, per_save=1, resume=False)
+    assert path.endswith("v00000001") and spark.read.parquet(path).count() == 8 and readers.folders(spark, f"{tmp_path}/running") == []
+
+
 def test_broken_checkpoints_are_no_obstacle(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("One.")
