@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quern.functions import markup
 from quern.functions import scalars as S
 
 #: Findings that fail a scan; fixed values.
@@ -199,12 +200,8 @@ def opening_patterns(df: DataFrame, text: str, words: int = 2, n: int = 20) -> D
 
 
 def extracted_fields(html: Column, item: str, fields: list[str]) -> Column:
-    """array<struct> of the elements of class item, each with the text of its first element of each field's class; null where there is none.
-    An element reaches as far as the next one of the class, as its end can't be told by patterns."""
-    opened = r"<[a-zA-Z][^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{}(?:\s[^\"']*)?[\"'][^>]*>"
-    parts = F.split(html, opened.format(item), -1)
-    first = lambda x, c: F.nullif(F.regexp_extract(x, "(?s)" + opened.format(c) + "([^<]*)", 1), F.lit(""))
-    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.struct(*(first(x, c).alias(c) for c in fields)))
+    """array<struct> of the elements of class item, each with the text of the first element within it of each field's class; null where there is none."""
+    return markup.fields_of(html, f".{item}", {f: f".{f}" for f in fields})
 
 
 #: Versions of a picture, by what their URLs hold, the preferred one first; fixed values.

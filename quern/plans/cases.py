@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from quern.functions import markup
 from quern.functions import scalars as S
 from quern.functions import text as X
 from quern.operators import emit, memory, progress, rules, segments, translate
@@ -377,10 +378,40 @@ def page_search(spark, d):
 
 @query("SELECT p_partkey, u.name, u.price FROM part, unnest([{'name': p_name, 'price': CAST(p_size AS VARCHAR)}, {'name': p_brand, 'price': NULL}]) AS x(u)")
 def product_fields(spark, d):
-    page = F.format_string('<ul><li class="card product"><b class="name">%s</b><i class=\'price\'>%d</i></li><li class="product"><b class="name big">%s</b></li></ul>', "p_name", "p_size", "p_brand")
+    page = F.format_string('<ul><li class="card product"><b class="name"><i>%s</i></b><br><i class=\'price\'>%d</i></li><li class="product"><b class="name big">%s</b></ul><p class="price">77</p>', "p_name", "p_size", "p_brand")
     return t(spark, d, "part").select("p_partkey", F.explode(rules.extracted_fields(page, "product", ["name", "price"])).alias("x")).select("p_partkey", "x.*")
 
 
+@query(
+    "SELECT page_id, CAST(i AS BIGINT) AS id, regexp_extract(parts[i + 1], '(?s)^(.*?)(?:</p>|$)', 1) AS inner_html FROM (SELECT page_id, string_split(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>') AS parts FROM pages),"
+    " unnest(range(1, len(parts))) AS u(i)"
+)
+def page_paragraphs(spark, d):
+    """The paragraphs of articles; those without an end tag end where the next one begins."""
+    found = markup.selected(F.col("html"), "article p")
+    return t(spark, d, "pages").select("page_id", F.posexplode(found).alias("pos", "e")).select("page_id", (F.col("pos") + 1).cast("long").alias("id"), F.col("e.inner").alias("inner_html"))
+
+
+@query(
+    "SELECT page_id, u.h[1] AS href, u.h[2] AS text FROM (SELECT page_id, unnest(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav><ul>(.*)</ul></nav>', 1), '<li><a href=\"[^\"]*\">[^<]*</a></li>'),"
+    " lambda x: [regexp_extract(x, 'href=\"([^\"]*)\"', 1), regexp_extract(x, '>([^<]+)</a>', 1)])) AS h FROM pages) AS u"
+)
+def page_links(spark, d):
+    found = markup.selected(F.col("html"), "nav > ul > li > a[href]")
+    return t(spark, d, "pages").select("page_id", F.explode(found).alias("e")).select("page_id", F.col("e.attributes")["href"].alias("href"), "e.text")
+
+
+@query(
+    "SELECT page_id, n.name, CAST(len(regexp_extract_all(html, '<' || n.name || '[ >]')) AS BIGINT) AS n, n.depth FROM pages,"
+    " (VALUES ('html', 0), ('head', 1), ('title', 2), ('nav', 2), ('li', 4), ('a', 5), ('article', 2), ('h1', 3), ('p', 3), ('footer', 2)) AS n(name, depth) WHERE regexp_matches(html, '<' || n.name || '[ >]')"
+)
+def page_elements(spark, d):
+    """How many elements of each name a page has, and how deep they are."""
+    e = t(spark, d, "pages").select("page_id", F.explode(markup.elements(F.col("html"))).alias("e")).select("page_id", "e.name", "e.depth")
+    wanted = F.col("name").isin("html", "head", "title", "nav", "li", "a", "article", "h1", "p", "footer")
+    return e.where(wanted).groupBy("page_id", "name").agg(F.count("*").alias("n"), F.max("depth").alias("depth"))
+
+
 @query("SELECT p_brand, min('https://x/' || p_partkey || '_image_pre_watermark_1.png') AS url FROM part GROUP BY p_brand")
 def picture_variants(spark, d):
     ends = F.explode(F.array(*(F.lit(f"_{v}_1.png") for v in reversed(rules.VARIANTS)), F.lit("_other.png")))
