@@ -42,8 +42,8 @@ def precedence(entries: DataFrame, key: str, level: str, ts: str, *rest: str) ->
 
 def conflicts(entries: DataFrame, key: str, level: str, value: str) -> DataFrame:
     """Pairs of levels of one key whose values differ. Entries are reduced to distinct level and value first, so that the self-join grows with
-    what is said, not with how often."""
-    one = entries.select(key, F.col(level).alias("level"), F.col(value).alias("value"), level_rank(F.col(level)).alias("r")).distinct()
+    what is said, not with how often. Entries without a level or value, or of an unknown level, take no part."""
+    one = entries.where(F.col(level).isin(LEVELS) & F.col(value).isNotNull()).select(key, F.col(level).alias("level"), F.col(value).alias("value"), level_rank(F.col(level)).alias("r")).distinct()
     a, b = (one.select(key, *(F.col(c).alias(f"{c}_{s}") for c in ("level", "value", "r"))) for s in "ab")
     return a.join(b, key).where("r_a < r_b AND value_a <> value_b").drop("r_a", "r_b")
 

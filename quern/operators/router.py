@@ -52,10 +52,15 @@ def route(tasks: DataFrame, models: DataFrame, key: str = "task_id", task: str =
     return scored.select(key, "score", chosen("name").alias("model"), chosen("provider").alias("provider"), kind.alias("reason"))
 
 
-def catalogue(providers: DataFrame) -> DataFrame:
+def catalogue_texts(df: DataFrame, json: str, *keys: str) -> DataFrame:
+    """catalogue() of JSON texts, with keys; texts that aren't such JSON give no rows."""
+    return catalogue(df.select(*keys, F.from_json(json, CATALOGUE).alias("_c")).select(*keys, "_c.providers"), *keys)
+
+
+def catalogue(providers: DataFrame, *keys: str) -> DataFrame:
     """A row for each model of a nested catalogue (providers: map of name to struct with models)."""
-    flat = providers.select(F.explode("providers").alias("provider", "p")).select("provider", F.col("p.api").alias("api"), F.explode("p.models").alias("m"))
-    return flat.select("provider", "api", "m.id", "m.name", "m.reasoning", "m.input", F.col("m.cost.input").alias("cost_input"), F.col("m.cost.output").alias("cost_output"), F.col("m.contextWindow").alias("context_window"), F.col("m.maxTokens").alias("max_tokens"))
+    flat = providers.select(*keys, F.explode("providers").alias("provider", "p")).select(*keys, "provider", F.col("p.api").alias("api"), F.explode("p.models").alias("m"))
+    return flat.select(*keys, "provider", "api", "m.id", "m.name", "m.reasoning", "m.input", F.col("m.cost.input").alias("cost_input"), F.col("m.cost.output").alias("cost_output"), F.col("m.contextWindow").alias("context_window"), F.col("m.maxTokens").alias("max_tokens"))
 
 
 CATALOGUE = "providers map<string, struct<baseUrl string, api string, models array<struct<id string, name string, reasoning boolean, input array<string>, cost struct<input double, output double, cacheRead double, cacheWrite double>, contextWindow long, maxTokens long>>>>"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 import re
 
 import pandas as pd
@@ -68,12 +69,6 @@ GOALS = [
     ("research", ["Google Scholar", "Google", "Brave"]), ("programming", ["Google", "GitHub"]), ("privacy", ["DuckDuckGo", "Startpage", "Brave"]), ("news", ["Brave News", "Google News"]),
     ("knowledge", ["WolframAlpha", "Google"]), ("chinese", ["Google HK", "Bing"]), ("europe", ["Qwant", "Startpage"]), ("environment", ["Ecosia", "DuckDuckGo"]), ("unfiltered", ["Brave", "Startpage"]),
 ]
-#: Files and folders that are kept, and what goes of one of these folders; fixed values.
-KEPT = ["openclaw.json", "workspace", "cron", "identity/device.json", ".config-baseline.sha256", "agents/main/agent/auth-profiles.json"]
-LEFT_OUT = [
-    "workspace/backups", "workspace/memory", "workspace/tmp", "workspace/canvas", "workspace/output", "workspace/research/memory-lancedb-pro", "workspace/.clawhub", "workspace/tmp-*", "*/output",
-    "*/.venv", "*/__pycache__", "*/.pytest_cache", "*/.mypy_cache", "*/.ruff_cache", "*/node_modules", "*/.git", "*/.clawhub",
-]
 
 
 def scan_gate(output: Column, exit_code: Column | None = None) -> Column:
@@ -133,14 +128,22 @@ def engine_for(goal: Column, place: int = 0) -> Column:
     return F.get(F.try_element_at(by, goal), F.lit(place))
 
 
-_TERM = re.compile(r'(-?)(?:(site|filetype|inurl|intitle|intext):)?(?:"([^"]*)"|([^\s()"]+))|([()])')
+_TERM = re.compile(r'(-?\()|(\))|(-?)(?:(site|filetype|inurl|intitle|intext):)?(?:"([^"]*)"|([^\s()"]+))')
+
+
+def _whole(said: str) -> str:
+    """A pattern for words or a phrase, "*" standing for any word; where it begins or ends with a letter or digit, no word goes on there."""
+    inner = r"\S+".join(r"\Q" + p.replace(r"\E", r"\E\\E\Q") + r"\E" if p else "" for p in said.split("*"))
+    before = r"(?<![\p{L}\p{N}])" if said[:1].isalnum() else ""
+    return before + inner + (r"(?![\p{L}\p{N}])" if said[-1:].isalnum() else "")
 
 
 def search_filter(query: str, url: Column, title: Column, text: Column) -> Column:
-    """A search engine's query as a predicate, case aside: words and "phrases" (in title or text), -excluded, a OR b, parentheses, * for any
-    word, low..high for a number between, and site:, filetype:, inurl:, intitle:, intext:. Terms side by side must all hold; an empty query holds."""
+    """A search engine's query as a predicate, case aside: whole words and "phrases" (in title or text), -excluded, a OR b, (groups), -(excluded groups), * for
+    any word, low..high for a number between, and site:, filetype:, inurl:, intitle:, intext:. Terms side by side must all hold. A side of OR, or a group,
+    without terms is as if it weren't there; a query without terms holds. Null columns count as empty."""
     terms, at = list(_TERM.finditer(query)), 0
-    low = {"title": F.lower(title), "text": F.lower(text), "url": F.lower(url)}
+    low = {n: F.lower(F.coalesce(c, F.lit(""))) for n, c in (("title", title), ("text", text), ("url", url))}
     host = F.regexp_extract(low["url"], r"^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", 1)
     file = F.regexp_extract(low["url"], r"^[^?#]*\.([a-z0-9]+)(?:[?#].*)?$", 1)
 
@@ -148,13 +151,14 @@ def search_filter(query: str, url: Column, title: Column, text: Column) -> Colum
         if (m := re.fullmatch(r"\$?(\d+)\.\.\$?(\d+)", said)) and not phrase:
             numbers = F.transform(F.regexp_extract_all(where, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("long"))
             return F.exists(numbers, lambda x: F.coalesce((x >= int(m[1])) & (x <= int(m[2])), F.lit(False)))
-        if "*" in said:
-            return F.rlike(where, F.lit(r"\S+".join(r"\Q" + p + r"\E" if p else "" for p in said.split("*"))))
-        return F.contains(where, F.lit(said))
+        found = F.rlike(where, F.lit(_whole(said)))
+        return found if "*" in said else F.contains(where, F.lit(said)) & found  # bytes are looked for first
 
-    def term(m: re.Match) -> Column:
-        minus, field, quoted, plain = m[1], m[2], m[3], m[4]
+    def term(m: re.Match) -> Column | None:
+        minus, field, quoted, plain = m[3], m[4], m[5], m[6]
         said = (quoted if quoted is not None else plain).lower()
+        if not said.strip() or (quoted is None and not field and said == "-"):
+            return None
         if field == "site":
             out = (host == said) | F.endswith(host, F.lit("." + said))
         elif field == "filetype":
@@ -165,32 +169,38 @@ def search_filter(query: str, url: Column, title: Column, text: Column) -> Colum
             out = holds(low["title"], said, quoted is not None) | holds(low["text"], said, quoted is not None)
         return ~out if minus else out
 
-    def either() -> Column:
+    def ors() -> bool:
+        return at < len(terms) and terms[at][6] == "OR" and not terms[at][3] and not terms[at][4]
+
+    def either() -> Column | None:
         nonlocal at
-        out = all_of()
-        while at < len(terms) and terms[at][4] == "OR":
+        sides = [all_of()]
+        while ors():
             at += 1
-            out = out | all_of()
-        return out
+            sides.append(all_of())
+        sides = [s for s in sides if s is not None]
+        return functools.reduce(Column.__or__, sides) if sides else None
 
-    def all_of() -> Column:
+    def all_of() -> Column | None:
         nonlocal at
-        out = F.lit(True)
-        while at < len(terms) and terms[at][4] != "OR" and terms[at][5] != ")":
+        out = []
+        while at < len(terms) and not ors() and not terms[at][2]:
             m = terms[at]
             at += 1
-            if m[5] == "(":
-                out = out & either()
+            if m[1]:
+                group = either()
                 at += at < len(terms)  # its closing parenthesis
+                out.append(~group if group is not None and m[1] == "-(" else group)
             else:
-                out = out & term(m)
-        return out
+                out.append(term(m))
+        out = [x for x in out if x is not None]
+        return functools.reduce(Column.__and__, out) if out else None
 
-    found = either()
+    found = [either()]
     while at < len(terms):  # a closing parenthesis too many
         at += 1
-        found = found & either()
-    return F.coalesce(found, F.lit(False))
+        found.append(either())
+    return functools.reduce(Column.__and__, [x for x in found if x is not None], F.lit(True))
 
 
 def opening_patterns(df: DataFrame, text: str, words: int = 2, n: int = 20) -> DataFrame:
@@ -232,13 +242,18 @@ def _redacted(value, auth: bool):
 
 
 def redacted(config: Column, auth: bool = False) -> Column:
-    """JSON text with sensitive values replaced, at any depth; text that isn't JSON gives null, so nothing slips through."""
+    """JSON text with sensitive values replaced, at any depth; text that isn't JSON gives null, so nothing slips through. Numbers that JSON hasn't, or that
+    are too large to keep, become null."""
+
+    def number(said: str) -> float | None:
+        x = float(said)
+        return x if math.isfinite(x) else None
 
     @F.pandas_udf(StringType())
     def run(x: pd.Series) -> pd.Series:
         def one(t):
             try:
-                return json.dumps(_redacted(json.loads(t), auth), ensure_ascii=False)
+                return json.dumps(_redacted(json.loads(t, parse_float=number, parse_constant=number), auth), ensure_ascii=False)
             except (TypeError, ValueError):
                 return None
 

@@ -352,7 +352,7 @@ def profile_models(spark, d):
 def kept_files(spark, d):
     k = F.col("p_partkey") % 4
     path = F.when(k == 0, F.concat(F.lit("workspace/"), "p_name")).when(k == 1, F.concat(F.lit("workspace/memory/"), "p_name")).when(k == 2, F.concat(F.lit("workspace/a/node_modules/"), "p_name")).otherwise(F.concat(F.lit("logs/"), "p_name"))
-    return rules.selected_files(t(spark, d, "part").select("p_partkey", path.alias("path")), rules.LEFT_OUT, "path", rules.KEPT)
+    return rules.selected_files(t(spark, d, "part").select("p_partkey", path.alias("path")), ["workspace/memory", "*/node_modules"], "path", ["settings.json", "workspace"])
 
 
 @query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'Google Scholar' WHEN 1 THEN 'Qwant' END AS first, CASE p_size % 3 WHEN 0 THEN 'Google' WHEN 1 THEN 'Startpage' END AS second FROM part")
@@ -365,15 +365,20 @@ TITLE = "lower(regexp_extract(html, '(?s)<title>([^<]*)', 1))"
 URL_HOST = "regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)', 1)"
 
 
+def _held(x: str, said: str) -> str:
+    """A word or phrase whole, in the oracle's patterns, which can't look around."""
+    return rf"regexp_matches({x}, '(^|[^\p{{L}}\p{{N}}]){said}($|[^\p{{L}}\p{{N}}])')"
+
+
 @query(
-    f"SELECT page_id, url FROM pages WHERE (({URL_HOST} = 'example.com' OR {URL_HOST} LIKE '%.example.com') AND (contains({TITLE}, 'a') OR contains(lower(html), 'a')) AND NOT contains(lower(url), '/fr/'))"
-    rf" OR (regexp_matches(lower(html), '<p>\S+ and') AND contains(lower(html), 'the ')) OR contains({TITLE}, 'zz')"
+    f"SELECT page_id, url FROM pages WHERE (({URL_HOST} = 'example.com' OR {URL_HOST} LIKE '%.example.com') AND ({_held(TITLE, 'the')} OR {_held('lower(html)', 'the')}) AND NOT contains(lower(url), '/fr/'))"
+    rf" OR (NOT ({_held('lower(html)', 'and')} OR {_held('lower(html)', 'die')}) AND {_held('lower(html)', r'de \S+ la')})"
 )
 def page_search(spark, d):
+    """Words, a phrase with a place for any word, a site, an excluded part of the address, and an excluded group."""
     title = F.regexp_extract("html", "(?s)<title>([^<]*)", 1)
-    wanted = rules.search_filter('(site:example.com a -inurl:/fr/) OR (intext:<p>* intext:"the ") OR intitle:zz', F.col("url"), title, F.col("html"))
-    exact = rules.search_filter('(site:example.com a -inurl:/fr/) OR intitle:zz', F.col("url"), title, F.col("html"))
-    return t(spark, d, "pages").where(exact | (wanted & F.rlike(F.lower("html"), F.lit(r"<p>\S+ and")))).select("page_id", "url")
+    wanted = rules.search_filter('(site:example.com the -inurl:/fr/) OR (-(intext:and OR intext:die) intext:"de * la") OR ()', F.col("url"), title, F.col("html"))
+    return t(spark, d, "pages").where(wanted).select("page_id", "url")
 
 
 @query("SELECT p_partkey, u.name, u.price FROM part, unnest([{'name': p_name, 'price': CAST(p_size AS VARCHAR)}, {'name': p_brand, 'price': NULL}]) AS x(u)")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quern.functions import scalars as S
 from quern.functions import text as X
 from quern.operators import batching, emit, memory, progress, retrieval, router, rules, segments, translate
+from quern.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -383,18 +384,34 @@ def has_timestamps(spark, d):
     return segments.has_timestamps(t(spark, d, "events"), "event_type", "ts", "value")
 
 
-VTT = "WEBVTT\n\n1\n00:00:01.000 --> 00:00:02.000\nfoo\n<c>foo</c>\nfoo\nNOTEBOOK\nbar\nbar"
-SRT = "1\n00:00:01,000 --> 00:00:02,000\nhi\n\n2\n00:00:03,000 --> 00:00:04,000\nhi\n<i>bye</i>"
+def _subtitle_sql(note: str) -> str:
+    """Lines of subtitle files that are kept: a line goes if it equals the one before it without its tags."""
+    return (
+        "WITH l AS (SELECT user_id, event_id, unnest([{'k': 1, 's': CASE WHEN event_type = 'click' THEN '<i>click</i>' ELSE event_type END}, {'k': 2, 's': " + note + "}], recursive := true) FROM events),"
+        " m AS (SELECT *, regexp_replace(s, '<[^>]+>', '', 'g') AS plain, lag(regexp_replace(s, '<[^>]+>', '', 'g')) OVER (PARTITION BY user_id ORDER BY event_id, k) AS before FROM l WHERE s IS NOT NULL)"
+        " SELECT user_id, string_agg(plain, chr(10) ORDER BY event_id, k) AS text FROM m WHERE before IS NULL OR s <> before GROUP BY user_id"
+    )
+
+
+def _subtitle_files(spark, d, dot: str, head: str, *extra) -> DataFrame:
+    """A subtitle file for each user: a cue for each event, of one or two lines, some with tags."""
+    said = F.when(F.col("event_type") == "click", "<i>click</i>").otherwise(F.col("event_type"))
+    timing = F.format_string(f"00:00:%02d{dot}000 --> 00:01:%02d{dot}500", F.col("event_id") % 60, F.col("event_id") % 60)
+    cue = F.concat_ws("\n", F.col("event_id").cast("string"), timing, said, F.when(F.col("event_type") == "view", "view"), *extra, F.lit(""))
+    files = t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", cue.alias("c")))).alias("cs"))
+    return files.select("user_id", F.concat(F.lit(head), F.array_join(F.transform("cs", lambda r: r["c"]), "\n")).alias("file"))
 
 
-@query("SELECT 'foo' || chr(10) || 'foo' || chr(10) || 'bar' AS text")
+@query(_subtitle_sql("CASE WHEN event_type = 'view' THEN 'view' END"))
 def vtt_clean(spark, d):
-    return spark.createDataFrame([(VTT,)], "c string").select(emit.subtitle_text(F.col("c"), True).alias("text"))
+    note = F.when(F.col("event_type") == "error", "NOTE an error\nSTYLE it")
+    return _subtitle_files(spark, d, ".", "WEBVTT\n\n", note).select("user_id", emit.subtitle_text(F.col("file"), True).alias("text"))
 
 
-@query("SELECT 'hi' || chr(10) || 'bye' AS text")
+@query(_subtitle_sql("CASE event_type WHEN 'view' THEN 'view' WHEN 'error' THEN 'NOTE an error' END"))
 def srt_clean(spark, d):
-    return spark.createDataFrame([(SRT,)], "c string").select(emit.subtitle_text(F.col("c"), False).alias("text"))
+    note = F.when(F.col("event_type") == "error", "NOTE an error")
+    return _subtitle_files(spark, d, ",", "", note).select("user_id", emit.subtitle_text(F.col("file"), False).alias("text"))
 
 
 # Sources
@@ -428,12 +445,19 @@ def transcript_segments(spark, d):
     return segments.transcript_segments(docs, "conv_id", "segments")
 
 
-@query("SELECT * FROM (VALUES ('a', 'json', 1, 'c'), ('a', 'json', 2, 'd'), ('a', 'json', 3, '7'), ('b', 'transcript', 7, 'a'), ('b', 'transcript', 2, 'b'), ('c', 'json', 1, 'x')) v(name, kind, id, text)")
+@query(
+    "SELECT p_partkey, u.kind, CAST(u.id AS INT) AS id, u.text FROM part, unnest(CASE p_partkey % 3"
+    " WHEN 0 THEN [{'kind': 'json', 'id': 1, 'text': p_brand}, {'kind': 'json', 'id': 2, 'text': p_type}, {'kind': 'json', 'id': 3, 'text': CAST(p_size AS VARCHAR)}]"
+    " WHEN 1 THEN [{'kind': 'transcript', 'id': p_partkey, 'text': p_brand}, {'kind': 'transcript', 'id': 2, 'text': p_type}] ELSE [{'kind': 'json', 'id': 1, 'text': p_brand}] END) AS x(u)"
+)
 def generic_json(spark, d):
-    from quern.sources.readers import generic_json as read
-
-    rows = [("a", '{"items": [{"text": "", "content": "c"}, "d", 7, "  "]}'), ("b", '{"segments": [{"id": 7, "text": "a"}, {"text": ""}, {"text": "b"}]}'), ("c", '["x"]')]
-    return read(spark.createDataFrame(rows, "name string, j string"), "name", "j").select("name", "kind", F.col("id").cast("int").alias("id"), "text")
+    """Lists of several names and forms, a transcript, and a bare list."""
+    k = F.col("p_partkey")
+    listed = F.format_string('{"other": 1, "items": [{"text": "", "content": "%s"}, "%s", %d, "  "]}', "p_brand", "p_type", "p_size")
+    said = F.format_string('{"segments": [{"id": %d, "text": "%s"}, {"text": ""}, {"text": "%s"}]}', k, "p_brand", "p_type")
+    j = F.when(k % 3 == 0, listed).when(k % 3 == 1, said).otherwise(F.format_string('["%s"]', "p_brand"))
+    out = readers.generic_json(t(spark, d, "part").select("p_partkey", j.alias("j")), "p_partkey", "j")
+    return out.select("p_partkey", "kind", F.col("id").cast("int").alias("id"), "text")
 
 
 # Training logs
@@ -487,12 +511,17 @@ def risk_band(spark, d):
     return r.select("event_id", band.alias("risk"), reason.alias("reason"))
 
 
-COUNTERS = [("\\p(pid_7_x)\\Dedicated Usage", 3e9), ("\\p(pid_7_x)\\Non Local Usage", 5e9), ("\\p(pid_7_x)\\Shared Usage", 1.5e8), ("\\p(pid_8_x)\\Shared Usage", 9e9), ("\\P(PID_7_y)\\Local Usage", 1e9)]
-
-
-@query("SELECT CAST(4768 AS BIGINT) AS dedicated_train_mb, CAST(143 AS BIGINT) AS shared_train_mb")
+@query(
+    "SELECT max(CASE WHEN event_id % 4 <> 2 THEN CAST(round_even(value, 0) AS BIGINT) END) AS dedicated_train_mb, max(CASE WHEN event_id % 4 = 2 THEN CAST(round_even(value, 0) AS BIGINT) END) AS shared_train_mb"
+    " FROM events WHERE user_id = 7"
+)
 def counter_max(spark, d):
-    return progress.process_memory(spark.createDataFrame(COUNTERS, "path string, value double"), 7)
+    """The counters of one process among those of all: its number must match whole, and non-local usage counts as local by its name."""
+    kind = F.element_at(F.array(*map(F.lit, ("Dedicated Usage", "Local Usage", "Shared Usage", "Non Local Usage"))), (F.col("event_id") % 4 + 1).cast("int"))
+    path = F.concat(F.lit("\\process("), F.when(F.col("event_id") % 2 == 0, "pid_").otherwise("PID_"), F.col("user_id").cast("string"), F.lit("_luid_0)\\"), kind)
+    rows = F.struct(path.alias("Path"), (F.col("value") * 1048576).alias("CookedValue"))
+    files = t(spark, d, "events").groupBy("event_type").agg(F.to_json(F.collect_list(rows)).alias("j"))
+    return progress.process_memory(readers.counters(files, "j"), 7)
 
 
 @query(
@@ -546,11 +575,20 @@ def route_preferred(spark, d):
     return router.route(t(spark, d, "documents"), _models(spark), "doc_id", "text", min_capability="code", prefer=["nowhere", "SKY"])
 
 
-@query("SELECT * FROM (VALUES ('desk', 'local', 'm1', true, ['text'], 0.5::DOUBLE, 8192), ('desk', 'local', 'm2', false, ['text', 'image'], 0.0, 4096), ('sky', 'web', 'm3', true, ['text'], 3.0, 200000)) v(provider, api, id, reasoning, input, cost_input, context_window)")
+@query(
+    "SELECT p_size, p_brand AS provider, 'api ' || p_brand AS api, CAST(p_partkey AS VARCHAR) AS id, p_size % 2 = 0 AS reasoning, CASE WHEN p_partkey % 3 = 0 THEN 'text,image' ELSE 'text' END AS input, p_retailprice AS cost_input,"
+    " p_partkey * 1024 AS context_window FROM part"
+)
 def catalogue_flatten(spark, d):
-    model = lambda i, r, inputs, cost, window: (i, i.upper(), r, inputs, (cost, 0.0, 0.0, 0.0), window, 1024)
-    rows = [({"desk": ("http://desk", "local", [model("m1", True, ["text"], 0.5, 8192), model("m2", False, ["text", "image"], 0.0, 4096)]), "sky": ("http://sky", "web", [model("m3", True, ["text"], 3.0, 200000)])},)]
-    return router.catalogue(spark.createDataFrame(rows, router.CATALOGUE)).select("provider", "api", "id", "reasoning", "input", "cost_input", F.col("context_window").cast("int").alias("context_window"))
+    """A catalogue in JSON for each size: providers by name, each with its models."""
+    cost = F.struct(F.col("p_retailprice").alias("input"), F.lit(0.0).alias("output"))
+    inputs = F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("text"), F.lit("image"))).otherwise(F.array(F.lit("text")))
+    model = F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), (F.col("p_size") % 2 == 0).alias("reasoning"), inputs.alias("input"), cost.alias("cost"), (F.col("p_partkey") * 1024).alias("contextWindow"), F.lit(8192).alias("maxTokens"))
+    provider = F.struct(F.lit("http://x").alias("baseUrl"), F.concat(F.lit("api "), "p_brand").alias("api"), F.col("models"))
+    each = t(spark, d, "part").groupBy("p_size", "p_brand").agg(F.collect_list(model).alias("models")).select("p_size", F.struct("p_brand", provider.alias("p")).alias("e"))
+    files = each.groupBy("p_size").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list("e")).alias("providers"))).alias("j"))
+    out = router.catalogue_texts(files, "j", "p_size")
+    return out.select("p_size", "provider", "api", "id", "reasoning", F.array_join("input", ",").alias("input"), "cost_input", "context_window")
 
 
 @query(f"""SELECT p_partkey, '{{"name": "' || p_brand || '", "apiKey": "REDACTED", "maxTokens": "REDACTED", "n": {{"a": ' || p_size || ', "list": [{{"password": "REDACTED"}}]}}}}' AS config FROM part""")

@@ -143,6 +143,13 @@ def listed_models(df: DataFrame, json: str) -> DataFrame:
     return df.select(F.posexplode(F.from_json(json, f"array<struct<{fields}>>")).alias("pos", "m")).select("pos", "m.*")
 
 
+def catalogues(spark: SparkSession, path: str) -> DataFrame:
+    """The models of nested catalogues of providers, with the path of each."""
+    from quern.operators.router import catalogue_texts
+
+    return catalogue_texts(texts(spark, path), "text", "path")
+
+
 def checkpoint(spark: SparkSession, path: str, key: str = "doc") -> DataFrame | None:
     """What earlier runs have translated: key, id, translation of the newest whole version under path; none where there is none, or where its
     files can't be read, as nothing is lost by translating again."""

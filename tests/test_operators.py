@@ -236,6 +236,8 @@ def test_search_operators(spark):
     want = {
         "": [1, 2, 3], '"machine learning"': [1, 3], "machine learning -snake": [1], "apple OR python": [2, 3], '"machine * algorithms"': [2], "(apple OR snake) machine": [2, 3], "$500..$1000": [1], "site:example.com": [1, 3],
         "filetype:pdf": [1], "inurl:login": [2], "intitle:machine": [1], "intext:machine": [2, 3], "-site:example.com": [2], "(python": [3], "python)": [3], "machine.*": [],
+        "OR snake": [3], "snake OR": [3], "OR": [1, 2, 3], "()": [1, 2, 3], "() apple": [2], "-(apple OR snake)": [1], "-()": [1, 2, 3], "-(machine -snake)": [3], "appl": [], "700": [1], "-": [1, 2, 3], '""': [1, 2, 3], "- apple": [2],
+        "intext:mach*": [2, 3], '"snake, the"': [3], "inurl:log": [],
     }
     assert {k: found(k) for k in want} == want
 
@@ -250,6 +252,25 @@ def test_fields_and_variants(spark):
     assert sorted(map(tuple, rules.preferred_variant(urls, "k", "url").collect())) == [("a", "z/image_dld_watermark_1"), ("b", "z/other1")]
 
 
+def test_redaction_gives_json(spark, one):
+    import json
+
+    from quern.operators import rules
+
+    said = one(lambda c: rules.redacted(c), '{"d": 1e400, "n": NaN, "i": -Infinity, "x": 1.5, "big": 123456789012345678901234567890, "token": "t"}')
+    assert json.loads(said, parse_constant=lambda c: pytest.fail(c)) == {"d": None, "n": None, "i": None, "x": 1.5, "big": 123456789012345678901234567890, "token": "REDACTED"}
+
+
+def test_conflicts_need_known_levels(spark):
+    rows = spark.createDataFrame([("k", "global", "a"), ("k", "odd", "b"), ("k", None, "c"), ("k", "project", None), ("k", "domain", "d")], "key string, level string, value string")
+    assert [(r.level_a, r.level_b) for r in memory.conflicts(rows, "key", "level", "value").collect()] == [("global", "domain")]
+
+
+def test_catalogue_texts(spark):
+    rows = spark.createDataFrame([("a", '{"providers": {"p": {"api": "x", "models": [{"id": "m", "cost": {"input": 2}}, {"id": "n"}]}, "q": {"models": []}}}'), ("b", "not json"), ("c", None)], "k string, j string")
+    assert [(r.k, r.provider, r.id, r.cost_input) for r in router.catalogue_texts(rows, "j", "k").orderBy("id").collect()] == [("a", "p", "m", 2.0), ("a", "p", "n", None)]
+
+
 def test_rarely_held_phrases_count_as_before(spark):
     from quern.operators import rules
 
