@@ -6,6 +6,7 @@ uses of remembered patterns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from quern.functions import scalars as S
 from quern.functions import text as X
-from quern.operators import batching, emit, memory, progress, retrieval, router, rules, segments, translate
-from quern.sources import readers
+from quern.operators import batching, emit, indexes, memory, progress, retrieval, router, rules, segments, translate
+from quern.sources import interim, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -770,6 +771,24 @@ def vector_topk(spark, d):
     return retrieval.vector_pool(t(spark, d, "embeddings"), _vector(spark, d), "vec_id", "embedding")
 
 
+@query(
+    "WITH p AS (SELECT q.vec_id AS qid, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score FROM embeddings q JOIN embeddings v ON q.vec_id % 20 = 0)"
+    " SELECT qid, vec_id, round(score, 9) AS score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS INT) AS rank FROM p QUALIFY rank <= 10"
+)
+def indexed_vectors(spark, d):
+    """The ten nearest of every twentieth vector, by an index of all vectors."""
+    v = t(spark, d, "embeddings")
+    index = indexes.VectorIndex.build(v, "vec_id", "embedding", _index_folder(spark))
+    found = index.search(v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query")), 10)
+    return found.select("qid", F.col("key").alias("vec_id"), F.round("score", 9).alias("score"), "rank")
+
+
+def _index_folder(spark) -> str:
+    path = f"{interim.shared_dir(spark)}/quern-{uuid.uuid4().hex}-index"
+    interim.dropped_at_exit(spark, path)
+    return path
+
+
 TERMS = ["the", "thing", "erinat"]
 
 
@@ -788,6 +807,23 @@ def keyword_topk(spark, d):
     return retrieval.keyword_pool(t(spark, d, "documents"), TERMS, "doc_id", "text")
 
 
+@query(f"SELECT doc_id, round(score, 9) AS score FROM ({SQL['keyword_topk']})")
+def indexed_topk(spark, d):
+    """As keyword_topk, by an index of all words."""
+    index = indexes.TextIndex.build(spread(t(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", _index_folder(spark))
+    return index.top(TERMS).select(F.col("key").alias("doc_id"), F.round("score", 9).alias("score"))
+
+
+@query(
+    r"WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '([\p{L}\p{N}]+)') AS w FROM documents), n AS (SELECT doc_id, len(list_filter(range(1, len(w) - 1), lambda i: w[i] = 'the' AND starts_with(w[i + 2], 'th'))) AS n FROM w)"
+    " SELECT doc_id, n FROM n WHERE n > 0"
+)
+def indexed_phrase(spark, d):
+    """Texts with a phrase of a word, any word, and the beginning of a word."""
+    index = indexes.TextIndex.build(spread(t(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", _index_folder(spark))
+    return index.phrase("the * th*").withColumnRenamed("key", "doc_id")
+
+
 @query(
     f"WITH {_bm25_sql()}, v AS (SELECT vec_id AS doc_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {QUERY_VECTOR}) AS vector_score FROM embeddings ORDER BY vector_score DESC, doc_id LIMIT 12),"
     " b AS (SELECT coalesce(v.doc_id, k.doc_id) AS doc_id, coalesce(vector_score, 0) AS vector_score, coalesce(k.score / (SELECT max(score) FROM k), 0) AS keyword_score FROM v FULL JOIN k ON v.doc_id = k.doc_id),"
