@@ -36,7 +36,7 @@ class VectorIndex:
         self.cells = np.array([r["cell"] for r in rows], np.int64)
         self.sizes = np.array([r["n"] for r in rows], np.int64)
         self.radii = np.array([r["radius"] for r in rows])
-        self.centres = np.array([r["centre"] for r in rows]).reshape(len(rows), -1)
+        self.centres = np.array([r["centre"] for r in rows]).reshape(len(rows), len(rows[0]["centre"]) if rows else 0)
 
     @staticmethod
     def unit(vector: Column) -> Column:

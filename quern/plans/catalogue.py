@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import scalars as S
 from quern.functions import text as X
-from quern.operators import batching, emit, indexes, memory, progress, retrieval, router, rules, segments, translate
+from quern.operators import asof, batching, emit, indexes, memory, progress, retrieval, router, rules, segments, similar, translate
 from quern.sources import interim, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -753,6 +753,49 @@ def best_near(spark, d):
     return memory.best_near(t(spark, d, "events"), "user_id", "ts", F.lit("2024-01-11 12:00:00").cast("timestamp_ntz"), F.lit(86_400_000_000), "value", "event_id")
 
 
+TARGETS = "t AS (SELECT o_orderkey, o_custkey % 150 AS user_id, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (o_orderkey * 7919 % 2592000) AS due FROM orders)"
+
+
+def _targets(spark, d) -> DataFrame:
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(DAY_ONE).cast("timestamp")) + F.col("o_orderkey") * 7919 % 2592000)
+    return t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), at.alias("at"))
+
+
+@query(f"WITH {TARGETS} SELECT o_orderkey, CASE WHEN epoch_us(due) - epoch_us(ts) <= 21600000000 THEN event_id END AS event_id FROM t ASOF LEFT JOIN events e ON t.user_id = e.user_id AND t.due >= e.ts")
+def last_before(spark, d):
+    """The user's last event within six hours before each target time."""
+    out = asof.asof_join(_targets(spark, d), t(spark, d, "events").select("user_id", "event_id", "ts"), ["user_id"], "at", "ts", "event_id", within_seconds=21600)
+    return out.select("o_orderkey", F.col("match.event_id").alias("event_id"))
+
+
+@query(
+    f"WITH {TARGETS} SELECT o_orderkey, 1 AS n, event_id, value FROM t JOIN events e ON t.user_id = e.user_id AND abs(epoch_us(t.due) - epoch_us(e.ts)) <= 21600000000"
+    " QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY value DESC, abs(epoch_us(t.due) - epoch_us(e.ts)), ts, event_id) = 1"
+)
+def best_frames(spark, d):
+    """The best event within six hours of each target time."""
+    out = asof.best_near(_targets(spark, d), t(spark, d, "events").select("user_id", "event_id", "ts", "value"), ["user_id"], "at", "ts", 21600, "value", "event_id")
+    return out.where("match IS NOT NULL").select("o_orderkey", F.lit(1).alias("n"), "match.event_id", "match.value")
+
+
+@query(
+    "WITH RECURSIVE s AS (SELECT p_partkey, p_partkey % 28 + 1 AS day, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE left(p_name, CAST(p_partkey % length(p_name) AS INT)) || chr(CAST(97 + p_partkey % 26 AS INT)) ||"
+    " substr(p_name, CAST(p_partkey % length(p_name) + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 2 END AS INT)) END AS key FROM part), k AS (SELECT DISTINCT key FROM s),"
+    " e AS (SELECT a.key AS u, b.key AS v FROM k a JOIN k b ON a.key <> b.key AND abs(length(a.key) - length(b.key)) <= 2 AND levenshtein(a.key, b.key) <= 2),"
+    " c AS (SELECT key, key AS root FROM k UNION SELECT e.v, c.root FROM c JOIN e ON e.u = c.key), r AS (SELECT key, min(root) AS root FROM c GROUP BY key),"
+    " n AS (SELECT key, count(*) AS n, min(day) AS a, max(day) AS z FROM s GROUP BY key)"
+    " SELECT root, arg_min(key, (-n, key)) AS spelling, CAST(sum(n) AS BIGINT) AS n, count(*) AS spellings, CAST(min(a) AS BIGINT) AS first_day, CAST(max(z) AS BIGINT) AS last_day FROM r JOIN n USING (key) GROUP BY root"
+)
+def similar_corrections(spark, d):
+    """Misspelt names, merged with those that are two edits away or fewer."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    at, letter = (k % F.length(name)).cast("int"), F.char(97 + k % 26)
+    key = F.when(k % 3 == 0, name).otherwise(F.concat(F.substr(name, F.lit(1), at), letter, F.substr(name, at + F.when(k % 5 == 0, 1).otherwise(2))))
+    rows = t(spark, d, "part").select(key.alias("key"), F.date_add(F.lit("2024-01-01").cast("date"), (k % 28).cast("int")).alias("ts"))
+    out = similar.merged(rows, "key")
+    return out.select("root", "spelling", "n", "spellings", F.dayofmonth("first").cast("long").alias("first_day"), F.dayofmonth("last").cast("long").alias("last_day"))
+
+
 @query("SELECT o_orderkey, count(l_linenumber) AS details, coalesce(sum(l_quantity), 0) AS quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def list_and_details(spark, d):
     return memory.list_with_details(t(spark, d, "orders").select("o_orderkey"), t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", quantity="l_quantity")
