@@ -1,44 +1,3 @@
-"""Connected components by alternating large and small stars, on edges alone: no group of edges is ever gathered in one place."""
+"""Connected components; they live with the other operators."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from quern.llm.common import written
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def _large(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours are tied to its least one, or to itself."""
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
-def _small(edges: DataFrame) -> DataFrame:
-    """Each node and its smaller neighbours are tied to the least of them. Edges go from the larger to the smaller node."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-
-
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """node and root, the least node of its component, of every node that isn't the root of its own, from edges u, v (of one orderable type).
-
-    Each round is written to the shared folder. Loops and repeated edges count for nothing; no edges give no rows.
-    """
-    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = written(edges, f"{name}-0")
-    before, rounds = _state(edges), 0
-    while before[0]:
-        rounds += 1
-        edges = written(_small(_large(edges)), f"{name}-{rounds}")
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+from quern.operators.components import components  # noqa: F401
