@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 
 from quern.operators.retrieval import K1, POOL, B, cosine
 from quern.operators.running import running
+from quern.sources.interim import written
 
 #: Most cells of a vector index, whose centres are broadcast; vectors that the centres are fitted on, as expected of a hash; words of a block of postings.
 CELLS, FITTED, BLOCK = 4096, 100_000, 1024
-WORDS = r"([\p{L}\p{N}]+)"
+#: A word: letters and digits.
+_WORD = re.compile(r"[^\W_]+")
 
 
 class VectorIndex:
@@ -132,6 +134,24 @@ class VectorIndex:
         return self._first(self._routed(known, may, ["kth"]), n)
 
 
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, term, n, places: a row for each word of a text, with the number of words in it and the word's places."""
+    for batch in batches:
+        rows, terms, sizes, places = [], [], [], []
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            words = _WORD.findall(text)
+            at: dict[str, list[int]] = {}
+            for place, w in enumerate(words):
+                at.setdefault(w, []).append(place)
+            rows += [i] * len(at)
+            sizes += [len(words)] * len(at)
+            terms += at
+            places += at.values()
+            if len(rows) > 1 << 16 or i + 1 == len(batch):
+                yield pa.record_batch([batch.column("key").take(pa.array(rows, pa.int64())), pa.array(terms, pa.string()), pa.array(sizes, pa.int32()), pa.array(places, pa.list_(pa.int32()))], ["key", "term", "n", "places"])
+                rows, terms, sizes, places = [], [], [], []
+
+
 class TextIndex:
     """Words with their places in texts. path holds postings (term, block, best, entries: key, tf, n, places; entries of a term by falling impact, BLOCK to a
     block, best being the largest), terms (term, docs, best) and a row of figures (docs, mean).
@@ -146,11 +166,11 @@ class TextIndex:
     @classmethod
     def build(cls, texts: DataFrame, key: str, text: str, path: str, block: int = BLOCK) -> TextIndex:
         spark = texts.sparkSession
-        words = texts.select(F.col(key).alias("key"), F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORDS), F.lit(1)).alias("words"))
-        each = words.select("key", F.size("words").alias("n"), F.posexplode("words").alias("place", "term")).where("n > 0")
-        held = each.groupBy("key", "n", "term").agg(F.array_sort(F.collect_list("place")).alias("places"))  # the places of one word in one text
-        figures = texts.agg(F.count("*").alias("docs"), F.avg(F.regexp_count(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORDS))).alias("mean"))
-        figures.write.mode("overwrite").parquet(f"{path}/figures")
+        rows = texts.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"))
+        schema = T.StructType([rows.schema["key"], T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("places", T.ArrayType(T.IntegerType(), False))])
+        held = written(rows.mapInArrow(_placed, schema), "places")
+        count = held.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"))  # texts without words add nothing
+        texts.agg(F.count("*").alias("docs")).crossJoin(count).select("docs", (F.col("words") / F.when(F.col("docs") > 0, F.col("docs"))).alias("mean")).write.mode("overwrite").parquet(f"{path}/figures")  # one row each
         _, mean = spark.read.parquet(f"{path}/figures").first()
         tf = F.size("places")
         scored = held.withColumns({"tf": tf, "impact": cls.impact(tf, F.col("n"), mean or 1.0)})

@@ -26,23 +26,6 @@ RED_FLAGS = [
     ("obfuscated", r"(obfuscat|minified)"), ("elevated", r"\bsudo\b"), ("browser_data", r"(cookie|session storage)"), ("credential_files", r"(\.netrc|id_rsa|\.pem\b)"),
 ]
 
-#: Families of watch words; a selection of the phrases that the families name, as plain patterns without groups that capture. The texts are
-#: lower-cased, but for the families in AS_WRITTEN. For "variation" and "threes" no phrases are given; the patterns are this module's reading.
-WATCH_WORDS = [
-    ("significance", r"(?:testament to|pivotal|crucial|indelible mark|deeply rooted|evolving landscape|focal point)"), ("notability", r"(?:media outlets|leading expert|social media presence)"),
-    ("ing_endings", r"(?:highlighting|underscoring|emphasizing|showcasing|fostering|encompassing)"), ("promotion", r"(?:vibrant|profound|nestled|groundbreaking|renowned|breathtaking|stunning)"),
-    ("vague", r"(?:industry reports|experts argue|some critics)"), ("challenges", r"(?:despite these challenges|future outlook)"), ("copula", r"(?:serves as|stands as|boasts|features)"),
-    ("parallels", r"(?:not only|not just)"), ("ranges", r"(?:from [a-z]+ to [a-z]+)"), ("em_dash", r"—"), ("bold", r"\*\*[^*]+\*\*"), ("list_headers", r"- \*\*"), ("curly_quotes", r"[“”]"),
-    ("artifacts", r"(?:i hope this helps|of course!|certainly!|let me know)"), ("disclaimers", r"(?:as of my|based on available information)"), ("servile", r"(?:great question|you're absolutely right)"),
-    ("filler", r"(?:in order to|due to the fact that|at this point in time|it is important to note)"), ("hedging", r"(?:could potentially|might possibly)"), ("conclusions", r"(?:the future looks bright|exciting times)"),
-    ("vocabulary", r"(?:additionally|align with|delve|enduring|enhance|garner|interplay|intricate|intricacies|tapestry|underscore|valuable)"),
-    ("threes", r"[a-z]+, [a-z]+,? and [a-z]+"), ("variation", r"(?:the protagonist|the main character|the central figure|the hero)"),
-    ("title_case", r"(?m)^#+ [A-Z][a-z]+(?: [A-Z][a-z]+)+$"), ("emojis", r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"),
-]
-AS_WRITTEN = {"title_case", "emojis"}
-#: What a text must hold for a pattern to be worth trying, where the pattern isn't a list of phrases.
-NEEDS = {"ranges": "from ", "em_dash": "—", "bold": "**", "list_headers": "- **", "threes": " and ", "title_case": "# "}
-
 #: Filler phrases and what replaces them; fixed values.
 FILLER = [
     ("in order to", "to"), ("due to the fact that", "because"), ("at this point in time", "now"), ("in the event that", "if"), ("has the ability to", "can"), ("it is important to note that ", ""),
@@ -84,23 +67,6 @@ def flagged(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]]
     return df.select(key, F.explode(found).alias("flag"))
 
 
-def pattern_counts(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]] = WATCH_WORDS) -> DataFrame:
-    """key and, for each pattern, how often it matches. A search for plain bytes comes first, as few texts hold any of a pattern's phrases."""
-    rows = df.select(key, F.col(text).alias("_text"), F.lower(text).alias("_low"))
-
-    def count(name: str, pattern: str) -> Column:
-        x = F.col("_text") if name in AS_WRITTEN else F.col("_low")
-        inner = pattern[3:-1].split("|") if pattern.startswith("(?:") and pattern.endswith(")") else []
-        phrases = inner if inner and all(re.fullmatch(r"[a-z' !]+", p) for p in inner) else [NEEDS[name]] if name in NEEDS else []
-        n = F.regexp_count(x, F.lit(pattern)).cast("long")
-        if not phrases:
-            return n
-        found = functools.reduce(Column.__or__, (F.contains(x, F.lit(p)) for p in phrases))
-        return F.when(found, n).when(x.isNotNull(), F.lit(0).cast("long"))
-
-    return rows.select(key, *(count(n, p).alias(n) for n, p in patterns))
-
-
 def without_filler(x: Column) -> Column:
     for phrase, by in FILLER:
         x = F.regexp_replace(x, f"(?i){phrase}", by)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import scalars as S
 from quern.functions import text as X
-from quern.operators import asof, batching, emit, indexes, memory, progress, retrieval, router, rules, segments, similar, translate
+from quern.operators import asof, batching, emit, indexes, memory, progress, retrieval, router, rules, segments, similar, translate, watch
 from quern.sources import interim, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -623,9 +623,31 @@ def scan_gate(spark, d):
     return t(spark, d, "documents").select("doc_id", rules.scan_gate(F.col("text")).alias("clean"))
 
 
-@query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all({'text' if n in rules.AS_WRITTEN else 'lower(text)'}, {q(p)})) AS BIGINT) AS {n}" for n, p in rules.WATCH_WORDS) + " FROM documents")
+#: Words of the tables' texts that stand for watch words here.
+STANDING = [(" the ", " key "), (" of ", " stands as "), (" and ", " a pivotal moment "), (" der ", " — "), (" le ", " Of course! ")]
+
+
+def _watch_sql() -> str:
+    """Every phrase by a pattern of its own; what isn't a letter or digit stands twice, as a match takes it up at both ends."""
+    x = "text"
+    for a, b in STANDING:
+        x = f"replace({x}, {q(a)}, {q(b)})"
+
+    def phrase(p: str) -> str:
+        doubled = "".join(c if c.isalnum() else 2 * ("\\" + c if c in "!-" else c) for c in p)
+        return "len(regexp_extract_all(y, " + q(("(^|[^\\p{L}\\p{N}])" if p[0].isalnum() else "") + doubled + ("($|[^\\p{L}\\p{N}])" if p[-1].isalnum() else "")) + "))"
+
+    counts = [f"CAST({' + '.join(phrase(p) for p in dict.fromkeys(watch.spelt(said)))} AS BIGINT) AS {n}" for n, said in watch.PHRASES]
+    styles = [f"CAST(len(regexp_extract_all({'x' if cased else 'lower(x)'}, {q(p)})) AS BIGINT) AS {n}" for n, p, _, cased in watch.STYLE]
+    return f"WITH d AS (SELECT doc_id, {x} AS x FROM documents), e AS (SELECT *, regexp_replace(lower(x), '([^\\p{{L}}\\p{{N}}])', '\\1\\1', 'g') AS y FROM d) SELECT doc_id, {', '.join(counts + styles)} FROM e"
+
+
+@query(_watch_sql())
 def watchword_counts(spark, d):
-    return rules.pattern_counts(spread(t(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
+    x = F.col("text")
+    for a, b in STANDING:
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return watch.watch_counts(spread(t(spark, d, "documents").select("doc_id", x.alias("text"))), "doc_id", "text")
 
 
 def _filler_sql() -> str:

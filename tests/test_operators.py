@@ -271,15 +271,19 @@ def test_catalogue_texts(spark):
     assert [(r.k, r.provider, r.id, r.cost_input) for r in router.catalogue_texts(rows, "j", "k").orderBy("id").collect()] == [("a", "p", "m", 2.0), ("a", "p", "n", None)]
 
 
-def test_rarely_held_phrases_count_as_before(spark):
-    from quern.operators import rules
+def test_watch_words(spark):
+    from quern.operators import watch
+
+    assert len(watch.NAMES) == 24 and watch.spelt("a/b c, d") == ["a c", "b c", "d"]
+    assert [len(watch.spelt(said)) for _, said in watch.PHRASES] == [33, 6, 11, 16, 6, 4, 22, 7, 3, 4, 7, 5, 3, 6, 2, 3]
+    rows = [
+        ("A Pivotal moment: marks a shift, keys and a key role; a vital role.", {"significance": 4, "vocabulary": 2, "copula": 1, "threes": 1}), ("key-key_key keykey KEY.", {"vocabulary": 4}), ("# Title Case Here\nfrom a to b", {"title_case": 1, "ranges": 1}),
+        ("red, green and blue — **bold** “q” 🎉☀", {"threes": 1, "em_dash": 1, "bold": 1, "curly_quotes": 2, "emojis": 2}), ("- **Speed:** fast", {"list_headers": 1, "bold": 1}), ("", {}), ("Certainly! you're absolutely right! must-visit", {"artifacts": 2, "servile": 1, "promotion": 1}),
+        ("enhance enhanced highlighting highlight", {"vocabulary": 2, "ing_endings": 1}), ("in order to in order to", {"filler": 2}), ("while specific details are scarce", {"disclaimers": 1}),
+    ]
+    got = watch.watch_counts(spark.createDataFrame([(i, x) for i, (x, _) in enumerate(rows)] + [(99, None)], "id int, text string"), "id", "text").orderBy("id").collect()
+    assert [{n: r[n] for n in watch.NAMES if r[n]} for r in got] == [w for _, w in rows] + [{}] and got[-1].filler is None
 
-    texts = ["A pivotal, crucial and pivotal — **bold** moment", "# Title Case Here\nfrom a to b", "old, new and odd 🎉☀", "", None, "nothing"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    got = [tuple(r)[1:] for r in rules.pattern_counts(rows, "id", "text").orderBy("id").collect()]
-    plain = rows.select("id", *(F.regexp_count(F.col("text") if n in rules.AS_WRITTEN else F.lower("text"), F.lit(p)).cast("long").alias(n) for n, p in rules.WATCH_WORDS))
-    assert got == [tuple(r)[1:] for r in plain.orderBy("id").collect()] and len(rules.WATCH_WORDS) == 24
-    assert sum(map(lambda r: sum(x or 0 for x in r), got)) >= 9
 
 
 def test_transcript_files(spark, tmp_path):
