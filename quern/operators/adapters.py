@@ -40,12 +40,13 @@ def when_ready(refiner: Refiner, url: str, timeout: float = 10.0) -> Refiner:
     return call
 
 
-def paced(call: Callable, milliseconds: float) -> Callable:
-    """The call with a pause after it, so that a service isn't asked too often. Pauses count for each task."""
+def paced(call: Callable, milliseconds: float, streams: int = 1) -> Callable:
+    """The call, not oftener than once in so many milliseconds by all tasks together. streams: how many tasks call it at once, see translate_documents();
+    each waits so many times as long, from one call's end to the next one's start."""
 
     def run(*args):
         out = call(*args)
-        time.sleep(milliseconds / 1000)
+        time.sleep(milliseconds * max(1, streams) / 1000)
         return out
 
     return run

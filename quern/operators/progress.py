@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import scalars as S
+from quern.operators.running import running
 
 #: What a log's lines hold, and the bytes around a match that belong to it; fixed values.
 STEP = rb"steps:\s*[^\r\n]{0,240}?(\d+)/(\d+)[^\r\n]{0,240}?avr_loss=([0-9.]+)"
@@ -48,6 +49,26 @@ def median_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int = 6
     return matches.withColumn("v", value).where(F.col("step").between(low, high)).groupBy(*keys).agg(F.median("v").cast("double").alias("baseline"))
 
 
+def exact_medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, median of the values that aren't null: the middle one, or the mean of the two in the middle. Values are sorted over ranges and numbered, so no task
+    holds all values of a key, however many it has; a key without values has none."""
+    placed = running(rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v")), keys, [F.col("_v")], {}, "_pos")
+    sizes = placed.groupBy(*keys).agg(F.max("_pos").alias("_last"))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        sizes, on = sizes.withColumnRenamed(k, f"_k{i}"), on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    both = placed.join(sizes, on) if keys else placed.crossJoin(F.broadcast(sizes))  # one row
+    middle = both.where((F.col("_pos") == F.floor(F.col("_last") / 2)) | (F.col("_pos") == F.ceil(F.col("_last") / 2)))
+    return middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias("median")).where("median IS NOT NULL")
+
+
+def spread_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int = 60) -> DataFrame:
+    """median_baseline() for keys with more values than a task can hold."""
+    value = F.coalesce("sec_per_step", F.when((F.col("runtime") != 0) & (F.col("step") != 0), F.col("runtime") / F.col("step")))
+    rows = matches.where(F.col("step").between(low, high)).select(*keys, value.alias("_value"))
+    return exact_medians(rows, list(keys), "_value").withColumnRenamed("median", "baseline")
+
+
 def latest_and_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int = 60) -> DataFrame:
     """latest_record() and median_baseline() in one row for each key, from one pass over the matches."""
     value = F.coalesce("sec_per_step", F.when((F.col("runtime") != 0) & (F.col("step") != 0), F.col("runtime") / F.col("step")))

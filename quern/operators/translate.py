@@ -184,12 +184,12 @@ STATUS = "refine_status string, refine_error string, refine_skipped_noisy int, r
 
 def translate_documents(
     segments: DataFrame, key: str, translator: Translator = offline_translator, refiner: Refiner | None = None, checkpoint: DataFrame | None = None,
-    source: str = "auto", target: str = "zh", budget: int = BASE_BUDGET, refine_budget: int = REFINE_BUDGET, attempts: int = 2, refine_attempts: int = 1,
+    source: str = "auto", target: str = "zh", budget: int = BASE_BUDGET, refine_budget: int = REFINE_BUDGET, attempts: int = 2, refine_attempts: int = 1, streams: int | None = None,
 ) -> DataFrame:
     """One row for each segment, by id (missing ids as 0), with its translation, and the document's status of refinement on each row.
 
     segments: key, id, text, and start and end if there are times. checkpoint: key, id, translation of what is done already; or segments have it in
-    a column known, see with_known().
+    a column known, see with_known(). streams: at most so many tasks translate at once, so that adapters.paced() can share a pace among them.
     """
     has = segments.columns
     rows = segments.select(key, "id", *(F.col(c).cast("double") if c in has else F.lit(None).cast("double").alias(c) for c in ("start", "end")), "text", *(c for c in ("pos", "known") if c in has))
@@ -223,7 +223,7 @@ def translate_documents(
         if held:
             yield done()
 
-    dealt = rows.repartition(key).sortWithinPartitions(key, "pos")
+    dealt = (rows.repartition(streams, key) if streams else rows.repartition(key)).sortWithinPartitions(key, "pos")
     return dealt.mapInPandas(run, f"{key} {key_type}, {TRANSLATED}, {STATUS}")
 
 

@@ -21,7 +21,7 @@ from quern.functions import text as X
 from quern.operators import emit, memory, progress, rules, segments, translate
 from quern.plans import runs
 from quern.plans.catalogue import LINES, NOISY, OFFLINE, STRIPPED, q, query, t
-from quern.sources import interim, readers
+from quern.sources import interim, ranges, readers
 
 # Cleaning rules, on texts in which letters stand for what the rules are about
 
@@ -263,6 +263,22 @@ def log_matches(spark, d):
     return progress.log_matches(_logs(spark, d))
 
 
+@query(
+    "SELECT user_id % 8 AS run, CAST(row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) - 1 AS INT) AS nth, CAST(floor(value) AS BIGINT) AS step, CAST(100 AS BIGINT) AS total, CAST(printf('%.2f', value) AS DOUBLE) AS loss,"
+    " 3.5::DOUBLE AS sec_per_step, 12.5::DOUBLE AS runtime, CAST(floor(epoch(ts)) AS DOUBLE) AS ts FROM events"
+)
+def log_ranges(spark, d):
+    """Eight log files, written and read again by ranges of 128 KB."""
+    pad = F.repeat(F.lit("."), 300)
+    line = F.concat(pad, F.lit("_timestamp: ------"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string"), F.lit(" steps: 40%|## "), F.floor("value").cast("string"), F.lit("/100 [3.5s/it, avr_loss="), F.format_string("%.2f", "value"), F.lit("] _runtime: ------12.5"), pad)
+    out = f"{interim.shared_dir(spark)}/quern-{uuid.uuid4().hex}-logs"
+    interim.dropped_at_exit(spark, out)
+    rows = t(spark, d, "events").select((F.col("user_id") % 8).alias("run"), "event_id", line.alias("l")).repartition("run").sortWithinPartitions("run", "event_id")
+    rows.select("run", "l").write.partitionBy("run").text(out)
+    found = ranges.log_matches(spark, out, "part-*", 1 << 17)
+    return found.select(F.regexp_extract("path", r"run=(\d+)", 1).cast("long").alias("run"), "nth", "step", "total", "loss", "sec_per_step", "runtime", "ts")
+
+
 @query("SELECT '/logs/' || arg_max(user_id, (ts, '/logs/' || user_id)) AS folder FROM events")
 def latest_log_folder(spark, d):
     return progress.latest_folder(_logs(spark, d))

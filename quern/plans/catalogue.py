@@ -480,6 +480,12 @@ def latest_progress(spark, d):
     return progress.latest_record(_matches(spark, d), "user_id")
 
 
+@query("SELECT l_returnflag, median(l_extendedprice) AS median FROM lineitem GROUP BY l_returnflag")
+def spread_medians(spark, d):
+    """Exact medians of few keys with many values each."""
+    return progress.exact_medians(t(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice")
+
+
 @query(f"WITH {MATCHES}, {BASE} SELECT * FROM base")
 def median_baseline(spark, d):
     return progress.median_baseline(_matches(spark, d), "user_id")
