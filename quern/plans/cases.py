@@ -22,6 +22,7 @@ from quern.operators import emit, memory, progress, rules, segments, translate
 from quern.plans import runs
 from quern.plans.catalogue import LINES, NOISY, OFFLINE, STRIPPED, q, query, t
 from quern.sources import interim, ranges, readers
+from quern.streaming import events, figures
 
 # Cleaning rules, on texts in which letters stand for what the rules are about
 
@@ -326,6 +327,19 @@ def model_lists(spark, d):
     return readers.listed_models(lists, "j").withColumn("capabilities", F.array_join("capabilities", ","))
 
 
+@query("SELECT event_type, count(value) AS n, arg_max(event_id, (ts, event_id)) AS latest_id, round(median(value), 6) AS median FROM events GROUP BY event_type")
+def stream_figures(spark, d):
+    """The latest record and the exact median of each kind of event, kept by a stream that gets the events in five batches."""
+    out = f"{interim.shared_dir(spark)}/quern-{uuid.uuid4().hex}-stream"
+    interim.dropped_at_exit(spark, out)
+    rows = t(spark, d, "events").select("event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), "event_id", "value")
+    rows.repartitionByRange(5, "event_id").write.parquet(f"{out}/in")
+    figures.kept_figures(events.stream(spark, f"{out}/in", rows.schema, 1), "event_type", "ms", "event_id", "value", f"{out}/figures", f"{out}/log")
+    saved = spark.read.parquet(f"{out}/figures")
+    last = saved.groupBy("key").agg(F.max_by(F.struct("n", "latest_id", "median"), "batch").alias("x"))
+    return last.select(F.col("key").alias("event_type"), "x.n", "x.latest_id", F.round("x.median", 6).alias("median"))
+
+
 # Scalars, rules and searches
 
 
