@@ -230,6 +230,10 @@ def scored(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col:
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score, predicted of each row, by a machine trained on the labels outside one fold of crc32(doc_id).
+
+    Rows with null ids are scored and not held out; rows that repeat, and null, empty and long texts, as scored() has it; a score equal to the threshold is
+    predicted 1. Labels of unknown or null ids count for nothing. An empty table gives an empty result; without labels of both classes all score 0.5."""
     out = scored(docs, trained(docs, labels, "quality", remainder("doc_id", folds) != fold))
     return out.select("doc_id", F.coalesce(remainder("doc_id", folds) == fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

@@ -228,6 +228,10 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_offending (sentences) of each row, by a model trained on the labels outside one fold of crc32(doc_id).
+
+    Rows with null ids are scored and not held out; rows that repeat, and null, empty and long texts, as scored() has it; a score equal to the threshold is
+    predicted 1. Labels of unknown or null ids count for nothing. An empty table gives an empty result; without labelled rows all score 0."""
     model = trained(docs, labels, "toxic", remainder("doc_id", folds) != fold)
     out = scored(docs, model)
     return out.select("doc_id", F.coalesce(remainder("doc_id", folds) == fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
