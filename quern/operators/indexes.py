@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.operators.retrieval import K1, POOL, B, cosine
+from quern.operators.retrieval import K1, POOL, B
 from quern.operators.running import running
 from quern.sources.interim import written
 
 #: Most cells of a vector index, whose centres are broadcast; vectors that the centres are fitted on, as expected of a hash; words of a block of postings.
 CELLS, FITTED, BLOCK = 4096, 100_000, 1024
+#: Vectors and queries, as expected of a hash, that a task compares at once, and queries of one product of matrices.
+PART, ASKED, STRIP = 8192, 8192, 256
 #: A word: letters and digits.
 _WORD = re.compile(r"[^\W_]+")
 
@@ -82,7 +84,7 @@ class VectorIndex:
         return cls(spark, path)
 
     def _routed(self, queries: DataFrame, choose, extra: list[str]) -> DataFrame:
-        """A row for each query and cell that choose (distances from the centres, the query's row) picks."""
+        """A row for each query and cell that choose (distances from the centres, the query's extra columns) picks."""
         cells, centres = self.cells, self.centres
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,15 +99,35 @@ class VectorIndex:
                     rows += [i] * len(got)
                     picked += cells[got].tolist()
                 at = pa.array(rows, pa.int64())
-                yield pa.record_batch([b.column("qid").take(at), b.column("query").take(at), pa.array(picked, pa.int32())], ["qid", "query", "cell"])
+                yield pa.record_batch([b.column("qid").take(at), b.column("query").take(at), *(b.column(c).take(at) for c in extra), pa.array(picked, pa.int32())], ["qid", "query", *extra, "cell"])
 
         kinds = {f.name: f for f in queries.schema.fields}
-        return queries.mapInArrow(run, T.StructType([kinds["qid"], kinds["query"], T.StructField("cell", T.IntegerType())]))
+        return queries.mapInArrow(run, T.StructType([*(kinds[c] for c in ("qid", "query", *extra)), T.StructField("cell", T.IntegerType())]))
 
     def _first(self, routed: DataFrame, n: int) -> DataFrame:
-        pairs = routed.join(self.postings, "cell").select("qid", "key", cosine(F.col("vector"), F.col("query")).alias("score"))
+        """The n best of each query in routed (qid, query, cell; maybe kth, a score that others need to reach). Cells are laid together, and long ones cut by
+        hash, to parts of about PART vectors; a task compares a part with about ASKED queries, so a query goes to a part once, however many cells it asks for."""
+        splits = np.maximum(1, -(-self.sizes // PART))
+        bases, base, filled = [], -1, PART
+        for size, split in zip(self.sizes.tolist(), splits.tolist(), strict=True):
+            if split > 1 or filled + size > PART:
+                base, filled = base + 1, 0
+            bases.append(base)
+            base, filled = base + split - 1, PART if split > 1 else filled + size
+        spark = self.postings.sparkSession
+        where = F.broadcast(spark.createDataFrame(list(zip(self.cells.tolist(), bases, splits.tolist(), strict=True)), "cell int, base int, split int"))
+        kinds = {f.name: f for f in [*routed.schema.fields, *self.postings.schema.fields]}
+        kth = F.col("kth") if "kth" in kinds else F.lit(None).cast("double")
+        blocks = -(-max(1, routed.select("qid").distinct().count()) // ASKED)
+        asked = routed.withColumn("kth", kth).join(where, "cell").select("qid", "query", "kth", "cell", F.explode(F.sequence("base", F.col("base") + F.col("split") - 1)).alias("part"))
+        block = F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")
+        asked = asked.groupBy("qid", "part").agg(F.first("query").alias("query"), F.first("kth").alias("kth"), F.collect_list("cell").alias("cells")).withColumn("block", block)
+        part = F.col("base") + F.pmod(F.xxhash64("key"), F.col("split")).cast("int")
+        held = self.postings.join(where, "cell").select("key", "vector", "cell", part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        schema = T.StructType([kinds["qid"], kinds["key"], T.StructField("score", T.DoubleType())])
+        best = asked.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(_nearest(n), schema)
         rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "key"))
-        return pairs.withColumn("rank", rank).where(F.col("rank") <= n)
+        return best.withColumn("rank", rank).where(F.col("rank") <= n)
 
     def search(self, queries: DataFrame, n: int = POOL, share: float | None = None) -> DataFrame:
         """qid, key, score, rank of the n vectors most similar to each query (qid, query), ties by lesser key. share: only the nearest cells are read, up to that
@@ -134,6 +156,58 @@ class VectorIndex:
         return self._first(self._routed(known, may, ["kth"]), n)
 
 
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    return np.array(vectors.to_pylist(), np.float64)
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed in the order of the components as retrieval.dot() does, so that equal vectors have equal scores wherever they lie."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
+
+
+def _nearest(n: int):
+    """qid, key, score of the n best of a part's vectors for each query, of the cells that it asks for. A product of matrices finds those that may be among
+    them, by a margin above its rounding; only these are scored and ordered."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        names = ["qid", "key", "score"]
+        if not len(asked) or not len(held):
+            return pa.Table.from_arrays([asked.column("qid")[:0], held.column("key")[:0], pa.array([], pa.float64())], names)
+        v, q = _matrix(held.column("vector")), _matrix(asked.column("query"))
+        far_v, far_q = np.sqrt(_dots(v, v)), np.sqrt(_dots(q, q))
+        unit = lambda x, norm: x / np.where(norm > 0, norm, 1)[:, None]
+        uv, uq = unit(v, far_v).T, unit(q, far_q)
+        cells, code = np.unique(held.column("cell").to_numpy(), return_inverse=True)
+        listed = asked.column("cells").combine_chunks()
+        wanted = np.zeros((len(q), len(cells)), bool)
+        of = np.repeat(np.arange(len(q)), np.diff(listed.offsets.to_numpy()))
+        flat = listed.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(cells, flat), len(cells) - 1)
+        there = cells[at] == flat  # a hash may leave a part without some cell's vectors
+        wanted[of[there], at[there]] = True
+        kth = asked.column("kth").to_numpy()  # null: not a number
+        found = []
+        for lo in range(0, len(q), STRIP):
+            near = uq[lo : lo + STRIP] @ uv
+            near[~wanted[lo : lo + STRIP][:, code]] = -np.inf
+            least = np.fmax(np.partition(near, -n, axis=1)[:, -n] if len(v) > n else np.full(len(near), -np.inf), kth[lo : lo + STRIP])
+            i, j = np.nonzero((near >= least[:, None] - 1e-9) & (near > -np.inf))
+            dot, norm = np.empty(len(i)), far_v[j] * far_q[lo + i]
+            for k in range(0, len(i), 1 << 16):
+                dot[k : k + (1 << 16)] = _dots(v[j[k : k + (1 << 16)]], q[lo + i[k : k + (1 << 16)]])
+            score = np.where(norm > 0, dot / np.where(norm > 0, norm, 1), 0.0)
+            rows = pa.table({"q": lo + i, "key": held.column("key").take(pa.array(j)), "score": score}).sort_by([("q", "ascending"), ("score", "descending"), ("key", "ascending")])
+            first = np.searchsorted(rows.column("q").to_numpy(), rows.column("q").to_numpy())
+            found.append(rows.take(pa.array(np.flatnonzero(np.arange(len(rows)) - first < n))))
+        out = pa.concat_tables(found)
+        return pa.Table.from_arrays([asked.column("qid").take(out.column("q")), out.column("key"), out.column("score")], names)
+
+    return run
+
+
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, term, n, places: a row for each word of a text, with the number of words in it and the word's places."""
     for batch in batches:

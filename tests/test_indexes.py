@@ -42,6 +42,26 @@ def test_exact_search_equals_brute_force(spark, tmp_path):
         assert {k for s, k in mine if s < rows[-1][0]} == {k for s, k in rows if s < rows[-1][0]}
 
 
+def test_vectors_are_compared_in_blocks(spark, tmp_path, monkeypatch):
+    """Cells that are cut into parts, queries in several blocks, and copies, of which the least keys come first: no row is made for a pair of vectors."""
+    monkeypatch.setattr(indexes, "PART", 64)
+    monkeypatch.setattr(indexes, "ASKED", 8)
+    monkeypatch.setattr(indexes, "STRIP", 3)
+    df = vectors(spark, 600, 8, 5, 5)
+    index = indexes.VectorIndex.build(df, "id", "v", str(tmp_path / "i"), cells=6)
+    assert max(index.sizes) > indexes.PART
+    asked = df.where("id % 20 = 0 AND v IS NOT NULL").select(F.col("id").alias("qid"), F.col("v").alias("query"))
+    got = {}
+    for r in index.search(asked, 10).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append((round(r.score, 9), r.key))
+    plain = asked.crossJoin(df.where("v IS NOT NULL")).select("qid", "id", F.round(retrieval.cosine(F.col("v"), F.col("query")), 9).alias("s")).collect()
+    for qid, rows in got.items():
+        assert rows == [(-s, i) for s, i in sorted((-r.s, r.id) for r in plain if r.qid == qid)[:10]]
+    assert len(got) == asked.count() and [k for _, k in got[0]] == list(range(10))
+    explained = index.search(asked, 10)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in explained and "zip_with" not in explained
+
+
 def test_recall_with_a_tenth_of_the_vectors(spark, tmp_path):
     """Clustered vectors: at least 0.95 of what brute force finds, from cells that hold a tenth of all."""
     df = vectors(spark, 3000, 16, 40, 3)
