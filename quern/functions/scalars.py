@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +29,17 @@ def eta(seconds: Column) -> Column:
     return F.when(h > 0, F.concat(h.cast("string"), F.lit("h"), _padded(m), F.lit("m"))).when(m > 0, F.concat(m.cast("string"), F.lit("m"), _padded(r), F.lit("s"))).otherwise(F.concat(r.cast("string"), F.lit("s")))
 
 
+def fixed(x: Column, places: int) -> Column:
+    """A number with so many decimal places, rounded from its exact binary value, half to even; null stays null. Java's format rounds the shortest decimal
+    that stands for the number, half up."""
+
+    @F.pandas_udf("string")
+    def run(v: pd.Series) -> pd.Series:
+        return v.map(lambda n: f"{n:.{places}f}")
+
+    return F.when(x.isNotNull(), run(x.cast("double")))
+
+
 def megabytes(n: Column) -> Column:
     return F.bround(n.cast("double") / 1048576).cast("long")
 
@@ -126,6 +138,6 @@ def risk(shared: Column, free: Column, ratio: Column) -> tuple[Column, Column]:
         ", ",
         say(s3, F.concat(F.lit("shared "), shared.cast("string"), F.lit("MB"))),
         say(f1 | (f2 & ~s1), F.concat(F.lit("free "), free.cast("string"), F.lit("MB"))),
-        say(r1 | (r2 & ~high_before_ratio), F.concat(F.lit("speed x"), F.format_string("%.2f", ratio.cast("double")))),
+        say(r1 | (r2 & ~high_before_ratio), F.concat(F.lit("speed x"), fixed(ratio, 2))),
     )
     return band, F.when(reasons == "", "within expected range").otherwise(reasons)

@@ -71,12 +71,12 @@ def progress_line(p: str = "") -> Column:
         " | ",
         c("name"),
         F.concat(c("step").cast("string"), F.lit("/"), c("total").cast("string")),
-        F.format_string("%.1f%%", c("percent")),
-        F.format_string("avr_loss %.3f", c("avr_loss")),
+        F.concat(S.fixed(c("percent"), 1), F.lit("%")),
+        F.concat(F.lit("avr_loss "), S.fixed(c("avr_loss"), 3)),
         F.concat(F.lit("ETA "), S.eta(c("eta_seconds"))),
         F.concat(F.lit("VRAM "), c("dedicated_used_mb").cast("string"), F.lit("/"), c("dedicated_total_mb").cast("string"), F.lit("MB")),
         F.coalesce(F.concat(F.lit("Shared(train) "), c("shared_train_mb").cast("string"), F.lit("MB")), F.concat(F.lit("Shared "), c("shared_used_mb").cast("string"), F.lit("MB"))),
-        F.when(c("speed_ratio").isNotNull(), F.format_string("speed x%.2f", c("speed_ratio"))),
+        F.concat(F.lit("speed x"), S.fixed(c("speed_ratio"), 2)),
         F.concat(F.lit("risk "), c("risk")),
         c("status"),
     )

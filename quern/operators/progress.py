@@ -36,10 +36,15 @@ def log_matches(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, MATCHES)
 
 
+def _furthest() -> list[Column]:
+    """What orders records from the furthest on; a step or path that is missing comes last."""
+    return [F.isnull("step"), -F.col("step"), -F.coalesce("ts", F.lit(0.0)), -F.coalesce("runtime", F.lit(0.0)), F.isnull("path"), F.col("path")]
+
+
 def latest_record(matches: DataFrame, *keys: str) -> DataFrame:
     """Of each key: the last match of the file that is furthest by step, time and runtime; of equal ones the first by path."""
     last = matches.groupBy(*keys, "path").agg(F.max_by(F.struct("step", "total", "loss", "sec_per_step", "runtime", "ts"), "nth").alias("r")).select(*keys, "path", "r.*")
-    rank = F.struct(-F.col("step"), -F.coalesce("ts", F.lit(0.0)), -F.coalesce("runtime", F.lit(0.0)), F.col("path"))
+    rank = F.struct(*_furthest())
     return last.groupBy(*keys).agg(F.min_by(F.struct("path", "step", "total", "loss", "sec_per_step", "runtime", "ts"), rank).alias("r")).select(*keys, "r.*")
 
 
@@ -75,7 +80,7 @@ def latest_and_baseline(matches: DataFrame, *keys: str, low: int = 10, high: int
     fields = ("path", "step", "total", "loss", "sec_per_step", "runtime", "ts")
     # Of the last matches of all files the furthest counts; whether a match is its file's last shows from the file's greatest place alone.
     last = F.max("nth").over(Window.partitionBy(*keys, "path"))
-    rank = F.struct(-F.col("step"), -F.coalesce("ts", F.lit(0.0)), -F.coalesce("runtime", F.lit(0.0)), F.col("path"))
+    rank = F.struct(*_furthest())
     rows = matches.withColumns({"_v": F.when(F.col("step").between(low, high), value), "_rank": F.when(F.col("nth") == last, rank)})
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*fields), "_rank").alias("r"), F.median("_v").cast("double").alias("baseline")).where("r IS NOT NULL").select(*keys, "r.*", "baseline")
 
