@@ -9,6 +9,7 @@ Java's character classes differ from those of the cleaned texts' usual tools: wh
 from __future__ import annotations
 
 import html
+import html.entities
 import itertools
 import re
 import unicodedata
@@ -61,9 +62,22 @@ def nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf(StringType())
-def unescaped(x: pd.Series) -> pd.Series:
-    return x.map(lambda t: t if t is None or "&" not in t else html.unescape(t))
+_REFERENCE = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|([a-zA-Z][a-zA-Z0-9]*));")
+
+
+def decoded(t: str, bare: bool = True) -> str:
+    """Entities decoded; bare: as HTML has it, also those whose semicolon is missing."""
+    if "&" not in t:
+        return t
+    return html.unescape(t) if bare else _REFERENCE.sub(lambda m: m[0] if m[1] and f"{m[1]};" not in html.entities.html5 else html.unescape(m[0]), t)
+
+
+def unescaped(x: Column | str, bare: bool = True) -> Column:
+    @F.pandas_udf(StringType())
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda t: t if t is None else decoded(t, bare))
+
+    return run(x)
 
 
 _READING, _BRACES, _TAG = re.compile(r"\{([^{}:/]+)[/:][^{}]+\}"), re.compile(r"\{[^{}]*\}"), re.compile(r"(?s)<[^>]+>")
@@ -113,7 +127,7 @@ _SYMBOL = re.compile(rf"[^\w{NO_SYMBOLS}]|_")
 _TRIGGERS = [frozenset(re.sub(r"[\[\]+{}\d,]", "", p)) for p, _ in SYMBOL_RULES[:7]] + [None] * 3 + [frozenset("、。！？…」』）"), frozenset("（「『"), frozenset("」』）"), frozenset("\n")]
 
 
-def _decoded(t: str) -> str:
+def _plain(t: str, bare: bool) -> str:
     """Normal form, line ends, controls, tabs, braces, tags and entities, in this order. Each is looked for first, as few texts hold any."""
     if not t.isascii() and not unicodedata.is_normalized("NFKC", t):
         t = unicodedata.normalize("NFKC", t)
@@ -124,7 +138,7 @@ def _decoded(t: str) -> str:
         t = _without_braces(t)
     if "<" in t:
         t = _TAG.sub(" ", t)
-    return html.unescape(t) if "&" in t else t
+    return decoded(t, bare)
 
 
 def _lines(t: str) -> list[str]:
@@ -148,11 +162,11 @@ def _sentences(t: str) -> str:
     return "".join(next(same) for norm, run in itertools.groupby(parts, lambda p: "".join(p.split())) for same in ([run] if norm else map(iter, ([p] for p in run))))
 
 
-def cleaned(t: str | None) -> str:
-    """Whole cleaning of a text, once."""
+def cleaned(t: str | None, bare: bool = True) -> str:
+    """Whole cleaning of a text, once. bare: entities need no semicolon."""
     if not t:
         return ""
-    t = _decoded(t)
+    t = _plain(t, bare)
     held = set(t)
     for (pattern, by), triggers in zip(_RULES, _TRIGGERS, strict=True):
         if triggers is None or not held.isdisjoint(triggers):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -87,16 +86,16 @@ def numbered(df: DataFrame, segments: Column, *keys: str) -> DataFrame:
     return df.select(*keys, F.posexplode(segments).alias("pos", "text")).select(*keys, (F.col("pos") + 1).cast("long").alias("id"), "text")
 
 
-def _cut(size: int, decode: bool, passes: int):
+def _cut(size: int, decode: bool, passes: int, bare: bool):
     """key, id, text of the pieces of texts: all steps in one hop, without a shuffle or window, as a text's pieces follow each other."""
 
     def of(text: str) -> Iterator[str]:
-        text = html.unescape(text) if decode and "&" in text else text
+        text = X.decoded(text, bare) if decode else text
         for _ in range(passes):
-            text = X.cleaned(text)
+            text = X.cleaned(text, bare)
         for block in _BETWEEN_BLOCKS.split(text.strip()):
-            for piece in _pieces(X.cleaned(block), size):
-                if said := X.cleaned(piece):
+            for piece in _pieces(X.cleaned(block, bare), size):
+                if said := X.cleaned(piece, bare):
                     yield said
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,11 +111,11 @@ def _cut(size: int, decode: bool, passes: int):
     return run
 
 
-def split_blocks(df: DataFrame, key: str, text: str, size: int = PIECE, decode: bool = False, passes: int = 0) -> DataFrame:
+def split_blocks(df: DataFrame, key: str, text: str, size: int = PIECE, decode: bool = False, passes: int = 0, bare: bool = True) -> DataFrame:
     """key, id, text: pieces of a text's blocks, cleaned before and after they are cut; empty ones are dropped. decode: entities are decoded
-    first; passes: cleanings of the whole text before that."""
+    first; passes: cleanings of the whole text before that; bare: entities need no semicolon."""
     rows = df.select(key, F.col(text).cast("string").alias("_a"))
-    return rows.mapInArrow(_cut(size, decode, passes), T.StructType([rows.schema[key], T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
+    return rows.mapInArrow(_cut(size, decode, passes, bare), T.StructType([rows.schema[key], T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
 
 
 def text_segments(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -124,9 +123,9 @@ def text_segments(df: DataFrame, key: str, text: str) -> DataFrame:
     return split_blocks(df, key, text, passes=1)
 
 
-def web_segments(df: DataFrame, key: str, html: str) -> DataFrame:
+def web_segments(df: DataFrame, key: str, html: str, bare: bool = True) -> DataFrame:
     """Pages: scripts and styles go, tags part lines, entities are decoded; then as plain texts."""
-    return split_blocks(df.select(key, X.without_tags(X.without_scripts(F.col(html)), "\n").alias("_text")), key, "_text", decode=True, passes=1)
+    return split_blocks(df.select(key, X.without_tags(X.without_scripts(F.col(html)), "\n").alias("_text")), key, "_text", decode=True, passes=1, bare=bare)
 
 
 def transcript_segments(df: DataFrame, key: str, segments: str) -> DataFrame:
