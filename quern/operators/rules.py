@@ -68,7 +68,14 @@ def flagged(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]]
     """key, flag for each pattern found, case aside; \\b is a boundary of ASCII words. The patterns sit in the projection: there is no join and no copy of
     the text."""
     low = F.lower(text)
-    found = F.filter(F.array(*(F.when(F.rlike(low, F.lit(p.replace(r"\b", _BOUNDARY))), n) for n, p in patterns)), lambda x: x.isNotNull())
+    masked = F.regexp_replace(low, r"[^\x00-\x7f]", "\x01")  # other letters are no part of words; far cheaper than boundaries spelt out
+
+    def has(p: str) -> Column:
+        if r"\b" not in p:
+            return F.rlike(low, F.lit(p))
+        return F.rlike(masked, F.lit(p)) if p.isascii() and r"\p" not in p else F.rlike(low, F.lit(p.replace(r"\b", _BOUNDARY)))
+
+    found = F.filter(F.array(*(F.when(has(p), n) for n, p in patterns)), lambda x: x.isNotNull())
     return df.select(key, F.explode(found).alias("flag"))
 
 
