@@ -18,9 +18,10 @@ PIECE = 220
 
 
 def slices(block: Column, size: int = PIECE) -> Column:
-    """Stripped slices of size characters, without blank ones."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(block) - 1, F.lit(0)), F.lit(size))
-    return F.filter(F.transform(starts, lambda i: X.strip(F.substr(block, i + 1, F.lit(size)))), lambda s: s != "")
+    """Stripped slices of size characters, without blank ones. One pass cuts them all: to look each up by its place would read the block, and work it out if
+    it is an expression, over and over."""
+    parts = F.regexp_extract_all(block, F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
+    return F.filter(F.transform(parts, X.strip), lambda s: s != "")
 
 
 _TO_MARK = re.compile(rf"[^{X.ENDINGS}{X.CLOSINGS}]*[{X.ENDINGS}{X.CLOSINGS}]|[^{X.ENDINGS}{X.CLOSINGS}]+")
