@@ -10,6 +10,7 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +20,29 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from quern.operators.progress import AROUND, NEARBY, STEP
 from quern.operators.running import running
 
-#: Bytes of a range, and of what is read at once before or behind it.
-RANGE, STEP_BYTES = 32 << 20, 1 << 16
+#: Bytes of a range, and of what is read at once before or behind it; tasks that short ranges are dealt to at least.
+RANGE, STEP_BYTES, TASKS = 32 << 20, 1 << 16, 64
 
 
-class Span(InputPartition):
-    def __init__(self, path: str, start: int, end: int, size: int):
-        super().__init__((path, start, end))
-        self.path, self.start, self.end, self.size = path, start, end, size
+class Span(NamedTuple):
+    path: str
+    start: int
+    end: int
+    size: int
+
+
+class Spans(InputPartition):
+    """Ranges that follow each other, read by one task: a task for each short range would take longer to start than to read."""
+
+    def __init__(self, spans: list[Span]):
+        super().__init__(spans)
+        self.spans = spans
+
+
+def dealt(spans: list[Span], size: int) -> list[Spans]:
+    """Tasks of ranges of up to size bytes: RANGE bytes to a task, fewer where there would be less than TASKS tasks."""
+    each = max(1, min(RANGE // size, -(-len(spans) // TASKS)))
+    return [Spans(spans[i : i + each]) for i in range(0, len(spans), each)]
 
 
 def _file(path: str):
@@ -75,7 +91,7 @@ class _Reader(DataSourceReader):
         self.path, self.pattern = given["path"], given.get("pattern", "*")
         self.bytes = max(1, int(given.get("rangebytes", RANGE)))
 
-    def partitions(self) -> list[Span]:
+    def partitions(self) -> list[Spans]:
         from pyarrow import fs
 
         at, path = _file(self.path)
@@ -85,11 +101,13 @@ class _Reader(DataSourceReader):
         spans = []
         for f in sorted((f for f in found if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, self.pattern)), key=lambda f: f.path):
             spans += [Span(scheme + f.path, a, min(f.size, a + self.bytes), f.size) for a in range(0, f.size, self.bytes)]
-        return spans or [Span("", 0, 0, 0)]
+        return dealt(spans, self.bytes) or [Spans([])]
 
-    def read(self, span: Span) -> Iterator[pa.RecordBatch]:
-        if not span.path:
-            return
+    def read(self, partition: Spans) -> Iterator[pa.RecordBatch]:
+        for span in partition.spans:
+            yield from self._of(span)
+
+    def _of(self, span: Span) -> Iterator[pa.RecordBatch]:
         at, path = _file(span.path)
         with at.open_input_file(path) as f:
             rows = []

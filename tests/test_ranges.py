@@ -80,3 +80,11 @@ def test_pace_is_shared(spark, tmp_path):
     rows = spark.createDataFrame([(f"d{i}", 1, "x") for i in range(40)], "doc string, id long, text string")
     out = translate.translate_documents(rows, "doc", translator=adapters.paced(translate.offline_translator, 1, 2), streams=2)
     assert out.rdd.getNumPartitions() == 2 and out.count() == 40
+
+
+def test_short_ranges_share_tasks():
+    """Ten files of 1 GB by ranges of 128 KB come in tasks of 32 MB; a few ranges in a task each."""
+    spans = [ranges.Span("f", i << 17, (i + 1) << 17, 1 << 30) for i in range(1 << 13)]
+    tasks = ranges.dealt(spans * 10, 1 << 17)
+    assert len(tasks) == 320 and [s for t in tasks for s in t.spans] == spans * 10
+    assert [len(t.spans) for t in ranges.dealt(spans[:50], 1 << 17)] == [1] * 50 and len(ranges.dealt(spans[:3], 1 << 30)) == 3
