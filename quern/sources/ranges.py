@@ -19,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quern.operators.progress import AROUND, NEARBY, STEP
 from quern.operators.running import running
+from quern.sources.interim import written
 
 #: Bytes of a range, and of what is read at once before or behind it; tasks that short ranges are dealt to at least.
 RANGE, STEP_BYTES, TASKS = 32 << 20, 1 << 16, 64
@@ -147,4 +148,5 @@ def log_matches(spark: SparkSession, path: str, pattern: str = "*.wandb", range_
     """As progress.log_matches() of whole files, with place, the byte that a match begins at; nth counts the matches of a file over all its ranges."""
     spark.dataSource.register(LogRanges)
     found = spark.read.format("log_ranges").option("path", path).option("pattern", pattern).option("rangeBytes", range_bytes).load()
+    found = written(found, "matches")  # to deal them by ranges of place, they are read twice; the logs aren't
     return running(found, ["path"], [F.col("place")], {}, "nth").select("path", F.col("nth").cast("int").alias("nth"), *(n for n, _ in _KINDS[1:]))
