@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from quern.functions import text as X
 from quern.operators.running import grouped, running
 
-#: Rows above which a key is spread over blocks, and rows of a block.
-LONG, BLOCK = 1 << 15, 1 << 13
+#: Rows above which a key is spread over blocks, and rows of a block; characters of joined texts that are handed on at once.
+LONG, BLOCK, SLICE = 1 << 15, 1 << 13, 1 << 20
 
 
 def _fold(budget: int):
@@ -42,6 +42,44 @@ def _fold(budget: int):
     return run
 
 
+def _pack(key: str, text: str, budget: int):
+    """key, batch_id and the joined text of each batch of sorted rows (also _size), by the same rule as _fold()'s: a task holds one batch and a slice of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, number, used, held, kind = object(), 0, 0, [], None
+        keys, ids, texts, size = [], [], [], 0
+
+        def close() -> None:
+            nonlocal size
+            keys.append(last)
+            ids.append(number)
+            texts.append("".join(held))
+            size += used
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(keys, kind), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], [key, "batch_id", "text"])
+
+        for batch in batches:
+            kind = batch.schema.field(key).type
+            for k, said, n in zip(*(batch.column(c).to_pylist() for c in (key, text, "_size")), strict=True):
+                if held and (k != last or used + n > budget):
+                    close()
+                    number, used, held = number + 1, 0, []
+                    if size > SLICE:
+                        yield out()
+                        keys, ids, texts, size = [], [], [], 0
+                if k != last:
+                    last, number = k, 0
+                used += n
+                held.append(said or "")
+        if held:
+            close()
+        if keys:
+            yield out()
+
+    return run
+
+
 def _next(before: np.ndarray, ends: np.ndarray, budget: int) -> np.ndarray:
     """Of each row the one that opens the next batch if it opens one itself; the number of rows if that lies behind the block."""
     return np.maximum(np.arange(1, len(ends) + 1), np.searchsorted(ends, before + budget, "right"))
@@ -122,29 +160,41 @@ def _long_batches(rows: DataFrame, order: list[str], budget: int, block: int) ->
     return dealt.mapInArrow(_numbered(budget), schema).drop("_before", "_pos", "_block")
 
 
+def _sized(df: DataFrame, key: str, size: Column, long: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """df with _key and _size; of it the rows of keys up to long rows, and, if there are any, those of longer ones."""
+    rows = df.withColumns({"_key": F.col(key), "_size": F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0))})
+    many = rows.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > long).select(F.col("_key").alias("_many"))
+    if many.isEmpty():
+        return rows, rows, None
+    on = F.col("_key").eqNullSafe(F.col("_many"))
+    return rows, rows.join(many, on, "left_anti"), rows.join(many, on, "left_semi")
+
+
 def greedy_batches(df: DataFrame, key: str, order: list[str], size: Column, budget: int, long: int = LONG, block: int = BLOCK) -> DataFrame:
     """Adds batch_id, from 0 on for each key: a row opens a batch if the open one isn't empty and would exceed the budget (1 at least).
 
     Null sizes, and those below 0, count as 0; a null key is a key; rows equal in key and order come in any order. Keys of more than long rows go in blocks,
     the others by a fold, with the same result; whether there are any such keys is looked up first."""
     budget = max(1, budget)
-    rows = df.withColumns({"_key": F.col(key), "_size": F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0))})
-    many = rows.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > long).select(F.col("_key").alias("_many"))
+    rows, few, many = _sized(df, key, size, long)
     whole = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
-    fold = lambda x: x.repartition("_key").sortWithinPartitions("_key", *order).mapInArrow(_fold(budget), whole)
-    if many.isEmpty():
-        return fold(rows).drop("_key", "_size")
-    on = F.col("_key").eqNullSafe(F.col("_many"))
-    out = fold(rows.join(many, on, "left_anti")).unionByName(_long_batches(rows.join(many, on, "left_semi"), order, budget, block))
+    out = few.repartition("_key").sortWithinPartitions("_key", *order).mapInArrow(_fold(budget), whole)
+    if many is not None:
+        out = out.unionByName(_long_batches(many, order, budget, block))
     return out.drop("_key", "_size")
 
 
-def packed_rows(sentences: DataFrame, key: str, order: str, text: str, size: int, **blocks: int) -> DataFrame:
+def packed_rows(sentences: DataFrame, key: str, order: str, text: str, size: int, long: int = LONG, block: int = BLOCK) -> DataFrame:
     """key, id, text: neighbouring sentences, a row each, joined without separator while they fit into size characters; one that is too long stays whole.
-    As segments.packed_sentences(), for documents that are too long for one row."""
-    batched = greedy_batches(sentences.select(key, order, text), key, [order], F.length(text), size, **blocks)
-    each = F.array_sort(F.collect_list(F.struct(order, text)))  # size characters at most, or one sentence
-    packed = batched.groupBy(key, "batch_id").agg(F.array_join(F.transform(each, lambda r: r[text]), "").alias("text"))
+    As segments.packed_sentences(), for documents that are too long for one row. Sentences of keys up to long rows are moved once and joined by the fold."""
+    size = max(1, size)
+    rows, few, many = _sized(sentences.select(key, order, text), key, F.length(text), long)
+    schema = T.StructType([rows.schema[key], T.StructField("batch_id", T.LongType()), T.StructField("text", T.StringType())])
+    packed = few.repartition("_key").sortWithinPartitions("_key", order).select(key, text, "_size").mapInArrow(_pack(key, text, size), schema)
+    if many is not None:
+        each = F.array_sort(F.collect_list(F.struct(order, text)))  # size characters at most, or one sentence
+        batched = _long_batches(many, [order], size, block).groupBy(key, "batch_id")
+        packed = packed.unionByName(batched.agg(F.array_join(F.transform(each, lambda r: r[text]), "").alias("text")))
     return packed.select(key, (F.col("batch_id") + 1).alias("id"), "text")
 
 

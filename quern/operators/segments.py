@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from quern.functions import text as X
 
-#: Characters of a piece; a fixed value.
-PIECE = 220
+#: Characters of a piece; a fixed value. Characters that are handed on at once.
+PIECE, SLICE = 220, 1 << 20
+#: What text.strip() takes for space; Python's own strip() also takes separators of files and records.
+_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def slices(block: Column, size: int = PIECE) -> Column:
@@ -72,6 +74,35 @@ def sentences(block: Column) -> Column:
     return F.filter(F.transform(parts, X.strip), lambda s: s != "")
 
 
+def sentence_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, pos, s: a row for each of sentences(), cut in one pass and handed on in slices of some million characters. As an array that is exploded, an
+    optimiser that filters empty arrays first would cut them anew for each filter."""
+    rows = df.select(key, F.col(text).cast("string").alias("_t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, places, said, held = [], [], [], 0
+
+            def cut() -> pa.RecordBatch:
+                return pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), pa.array(places, pa.int32()), pa.array(said, pa.string())], [key, "pos", "s"])  # noqa: B023
+
+            for i in range(len(batch)):
+                pos = 0
+                for m in _TO_MARK.finditer(batch.column(1)[i].as_py() or ""):
+                    if s := m[0].strip(_SPACE):
+                        at.append(i)
+                        places.append(pos)
+                        said.append(s)
+                        pos, held = pos + 1, held + len(s) + 16
+                        if held > SLICE:
+                            yield cut()
+                            at, places, said, held = [], [], [], 0
+            if at:
+                yield cut()
+
+    return rows.mapInArrow(run, T.StructType([rows.schema[key], T.StructField("pos", T.IntegerType()), T.StructField("s", T.StringType())]))
+
+
 def pieces(block: Column, size: int = PIECE) -> Column:
     """A block as pieces: as it is if short, else sentences packed, else, of a single sentence, slices."""
 

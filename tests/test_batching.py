@@ -44,3 +44,20 @@ def test_sentences_as_rows(spark):
     want = segments.numbered(docs.select("doc", segments.packed_sentences(F.col("text")).alias("p")), F.col("p"), "doc")
     got = batching.packed_rows(said, "doc", "pos", "s", segments.PIECE, long=100, block=40)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sentences_are_cut_once_and_moved_once(spark, monkeypatch):
+    """Sentences come from one pass, in slices, as the array expression gives them; those of short documents go through one shuffle, and keys may be null."""
+    monkeypatch.setattr(segments, "SLICE", 50)
+    monkeypatch.setattr(batching, "SLICE", 50)
+    text = "One!\x85 Two?\xa0三。　 \x1c four… " + "five words of it" * 20 + "! \t」x"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, " !  "), (None, text + "six"), (4, ""), (5, text * 30)], "doc int, text string")
+    said = segments.sentence_rows(docs, "doc", "text")
+    plain = docs.select("doc", F.posexplode(segments.sentences(F.col("text"))).alias("pos", "s"))
+    key = lambda r: (r.doc or 0, r[1])
+    assert sorted(said.collect(), key=key) == sorted(plain.collect(), key=key)
+    got = batching.packed_rows(said, "doc", "pos", "s", 40)
+    want = batching.packed_rows(plain, "doc", "pos", "s", 40, long=2, block=3)
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    planned = got._jdf.queryExecution().optimizedPlan().toString()
+    assert planned.count("RepartitionByExpression") == 1 and "Aggregate" not in planned
