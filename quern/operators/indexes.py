@@ -11,20 +11,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.operators.retrieval import K1, POOL, B
-from quern.operators.running import running
-from quern.sources.interim import written
 
 #: Most cells of a vector index, whose centres are broadcast; vectors that the centres are fitted on, as expected of a hash; words of a block of postings.
 CELLS, FITTED, BLOCK = 4096, 100_000, 1024
 #: Vectors and queries, as expected of a hash, that a task compares at once, and queries of one product of matrices.
 PART, ASKED, STRIP = 8192, 8192, 256
-#: A word: letters and digits.
-_WORD = re.compile(r"[^\W_]+")
+#: A word: letters and digits; what parts words. Characters whose words are listed at once, words of a segment, which a task
+#: holds, and rows of postings that are handed on at once.
+_WORD, _GAP = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
+STRETCH, SEGMENT, ROWS = 1 << 20, 1 << 21, 1 << 12
 
 
 class VectorIndex:
@@ -208,27 +209,77 @@ def _nearest(n: int):
     return run
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, term, n, places: a row for each word of a text, with the number of words in it and the word's places."""
+def _words(text: str) -> Iterator[list[str]]:
+    """The words of a text, listed for a stretch of it at a time."""
+    lo = 0
+    while lo < len(text):
+        gap = _GAP.search(text, lo + STRETCH)
+        hi = gap.start() if gap else len(text)
+        yield _WORD.findall(text, lo, hi)
+        lo = hi
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, terms, sizes, places = [], [], [], []
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            words = _WORD.findall(text)
-            at: dict[str, list[int]] = {}
-            for place, w in enumerate(words):
-                at.setdefault(w, []).append(place)
-            rows += [i] * len(at)
-            sizes += [len(words)] * len(at)
-            terms += at
-            places += at.values()
-            if len(rows) > 1 << 16 or i + 1 == len(batch):
-                yield pa.record_batch([batch.column("key").take(pa.array(rows, pa.int64())), pa.array(terms, pa.string()), pa.array(sizes, pa.int32()), pa.array(places, pa.list_(pa.int32()))], ["key", "term", "n", "places"])
-                rows, terms, sizes, places = [], [], [], []
+        words = sum(len(w) for i in range(len(batch)) for w in _words(batch.column("text")[i].as_py()))
+        yield pa.record_batch([pa.array([len(batch)], pa.int64()), pa.array([words], pa.int64())], ["docs", "words"])
+
+
+def _inverted(words: list[pa.Array], keys: list[pa.Array], sizes: list[int], mean: float, block: int) -> Iterator[pa.RecordBatch]:
+    """Postings of a segment: of texts with these keys and numbers of words, whose words follow each other."""
+    if not any(map(len, words)):
+        return
+    listed = pa.concat_arrays(words).dictionary_encode()
+    vocabulary = listed.dictionary
+    order = pc.sort_indices(vocabulary).to_numpy()
+    code = np.empty(len(order), np.int32)
+    code[order] = np.arange(len(order), dtype=np.int32)
+    n = np.array(sizes, np.int32)
+    term = code[listed.indices.to_numpy()]
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    place = (np.arange(len(term)) - np.repeat(np.cumsum(n, dtype=np.int64) - n, n)).astype(np.int32)
+    at = np.argsort(term, kind="stable")  # by term, text and place
+    term, doc, place = term[at], doc[at], place[at]
+    first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])))
+    places = pa.ListArray.from_arrays(pa.array(np.append(first, len(term)), pa.int32()), pa.array(place))
+    term, doc = term[first], doc[first]
+    impact = TextIndex.impact(np.diff(np.append(first, len(place))), n[doc], mean)
+    at = np.lexsort((-impact, term))
+    term, impact = term[at], impact[at]
+    entries = [pa.concat_arrays(keys).take(pa.array(doc[at])), pa.array(n[doc[at]]), places.take(pa.array(at))]
+    rank = np.arange(len(term)) - np.searchsorted(term, term)
+    head = np.flatnonzero(rank % block == 0)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(term)), pa.int32()), pa.StructArray.from_arrays(entries, ["key", "n", "places"]))
+    out = pa.record_batch([vocabulary.take(pa.array(order[term[head]])), pa.array((rank[head] // block).astype(np.int32)), pa.array(impact[head]), lists], ["term", "block", "best", "entries"])
+    for lo in range(0, len(out), ROWS):
+        yield out.slice(lo, ROWS)
+
+
+def _segments(mean: float, block: int, most: int):
+    """Postings of a task's texts, a segment of about most words after another; a text lies in one segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, keys, sizes, held = [], [], [], 0
+        for batch in batches:
+            since = 0
+            for i in range(len(batch)):
+                said = [pa.array(w, pa.string()) for w in _words(batch.column("text")[i].as_py())]
+                words += said
+                sizes.append(sum(map(len, said)))
+                held += sizes[-1]
+                if held >= most:
+                    yield from _inverted(words, [*keys, batch.column("key").slice(since, i + 1 - since)], sizes, mean, block)
+                    words, keys, sizes, held, since = [], [], [], 0, i + 1
+            keys.append(batch.column("key").slice(since))
+        yield from _inverted(words, keys, sizes, mean, block)
+
+    return run
 
 
 class TextIndex:
-    """Words with their places in texts. path holds postings (term, block, best, entries: key, tf, n, places; entries of a term by falling impact, BLOCK to a
-    block, best being the largest), terms (term, docs, best) and a row of figures (docs, mean).
+    """Words with their places in texts, by segments of neighbouring texts, so that no posting moves when they are built. path holds postings (term, block,
+    best, entries: key, n, places; of each segment a term's entries by falling impact, BLOCK to a block, best being the largest), terms (term, docs, best)
+    and a row of figures (docs, mean).
 
     A word is a run of letters and digits, in lower case; its impact in a text is its BM25 score there without the word's rarity. Keys tell texts apart; null
     texts count as empty."""
@@ -238,29 +289,32 @@ class TextIndex:
         self.docs, self.mean = spark.read.parquet(f"{path}/figures").first()
 
     @classmethod
-    def build(cls, texts: DataFrame, key: str, text: str, path: str, block: int = BLOCK) -> TextIndex:
+    def build(cls, texts: DataFrame, key: str, text: str, path: str, block: int = BLOCK, segment: int = SEGMENT) -> TextIndex:
+        """Texts are read twice: impacts need the mean number of words, and it is cheaper to count words twice than to move their places."""
         spark = texts.sparkSession
         rows = texts.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"))
-        schema = T.StructType([rows.schema["key"], T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("places", T.ArrayType(T.IntegerType(), False))])
-        held = written(rows.mapInArrow(_placed, schema), "places")
-        count = held.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"))  # texts without words add nothing
-        texts.agg(F.count("*").alias("docs")).crossJoin(count).select("docs", (F.col("words") / F.when(F.col("docs") > 0, F.col("docs"))).alias("mean")).write.mode("overwrite").parquet(f"{path}/figures")  # one row each
+        count = rows.select("text").mapInArrow(_counted, "docs long, words long").agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"))
+        count.select("docs", (F.col("words") / F.when(F.col("docs") > 0, F.col("docs"))).alias("mean")).write.mode("overwrite").parquet(f"{path}/figures")  # one row
         _, mean = spark.read.parquet(f"{path}/figures").first()
-        tf = F.size("places")
-        scored = held.withColumns({"tf": tf, "impact": cls.impact(tf, F.col("n"), mean or 1.0)})
-        placed = running(scored, ["term"], [F.desc("impact"), F.col("key")], {}, "_rank").withColumn("block", F.floor(F.col("_rank") / block).cast("int"))
-        entry = F.struct((-F.col("impact")).alias("by"), "key", "tf", "n", "places")
-        blocks = placed.groupBy("term", "block").agg(F.max("impact").alias("best"), F.array_sort(F.collect_list(entry)).alias("entries"))  # block entries at most
-        # sorted by term, so that readers skip files and row groups by their least and largest terms
-        blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/postings")
-        stored = spark.read.parquet(f"{path}/postings")
+        entry = T.StructType([rows.schema["key"], T.StructField("n", T.IntegerType()), T.StructField("places", T.ArrayType(T.IntegerType()))])
+        schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("best", T.DoubleType()), T.StructField("entries", T.ArrayType(entry))])
+        placed = rows.mapInArrow(_segments(mean or 1.0, block, segment), schema)
+        # a segment is sorted by term; of its small row groups and their pages, readers skip those that can't hold a term
+        placed.write.mode("overwrite").option("parquet.block.size", 1 << 24).parquet(f"{path}/postings")
+        stored = spark.read.schema(schema).parquet(f"{path}/postings")
         stored.groupBy("term").agg(F.sum(F.size("entries")).alias("docs"), F.max("best").alias("best")).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
         return cls(spark, path)
 
     @staticmethod
-    def impact(tf: Column, n: Column, mean: float) -> Column:
+    def impact(tf, n, mean: float):
+        """Of columns or of arrays."""
         return tf * (K1 + 1) / (tf + K1 * (1 - B + B * n / mean))
 
+    def _weighed(self, postings: DataFrame, first: int | None = None) -> DataFrame:
+        """term, key, impact of all entries, or of the first ones of each block."""
+        entries = F.slice("entries", 1, first) if first else F.col("entries")
+        return postings.select("term", F.explode(entries).alias("e")).select("term", "e.key", self.impact(F.size("e.places"), F.col("e.n"), self.mean or 1.0).alias("impact"))
+
     def top(self, terms: list[str], n: int = POOL) -> DataFrame:
         """key, score of the n texts with the best BM25 scores of the terms, ties by lesser key.
 
@@ -274,8 +328,9 @@ class TextIndex:
         if not found:
             return self.postings.select(F.explode("entries").alias("e")).select("e.key", F.lit(0.0).alias("score")).limit(0)
         mine = self.postings.where(F.col("term").isin(list(found)))
-        heads = mine.where("block = 0").select("term", F.get("entries", F.lit(n - 1))["by"].alias("by")).collect() if n <= BLOCK else []  # one row a term
-        bound = max((-r["by"] * idf[r["term"]] for r in heads if r["by"] is not None), default=0.0) * (1 - 1e-9)
+        place = F.row_number().over(Window.partitionBy("term").orderBy(F.desc("impact")))
+        heads = self._weighed(mine.where("block = 0"), n).withColumn("place", place).where(F.col("place") <= n).where(F.col("place") == n).collect()  # one row a term
+        bound = max((r["impact"] * idf[r["term"]] for r in heads), default=0.0) * (1 - 1e-9)
         weak, total = set(), 0.0
         for t in sorted(found, key=best.get):
             total += best[t]
@@ -286,9 +341,8 @@ class TextIndex:
         rare = F.create_map(*(F.lit(x) for t in found for x in (t, idf[t])))
         whole = sum(best.values())
         least = F.create_map(*(F.lit(x) for t in strong for x in (t, (bound - (whole - best[t])) / idf[t] * (1 - 1e-9) if idf[t] > 0 else 0.0)))
-        flat = lambda x: x.select("term", F.explode("entries").alias("e")).select("term", "e.key", (-F.col("e.by")).alias("impact"))
-        candidates = flat(mine.where(F.col("term").isin(strong)).where(F.col("best") >= least[F.col("term")])).select("key").distinct()
-        scores = flat(mine).join(candidates, "key", "left_semi").groupBy("key", "term").agg(F.max(rare[F.col("term")] * F.col("impact")).alias("s"))
+        candidates = self._weighed(mine.where(F.col("term").isin(strong)).where(F.col("best") >= least[F.col("term")])).select("key").distinct()
+        scores = self._weighed(mine).join(candidates, "key", "left_semi").groupBy("key", "term").agg(F.max(rare[F.col("term")] * F.col("impact")).alias("s"))
         # summed in the order of the terms, so that equal texts have equal scores
         parts = scores.groupBy("key").pivot("term", list(found)).agg(F.max("s")).na.fill(0.0)
         score = functools.reduce(Column.__add__, (F.col(f"`{t}`") for t in terms if t in found), F.lit(0.0))

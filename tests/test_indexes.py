@@ -124,3 +124,31 @@ def test_phrases_equal_brute_force(spark, tmp_path):
         pieces = said.split()
         want = {i: n for i, t in rows if pieces and any(p != "*" for p in pieces) and (n := count(t, pieces))}
         assert {r.key: r.n for r in index.phrase(said).collect()} == want, said
+
+
+def _shuffled(spark):
+    """Bytes that the session's stages have written for shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(s.shuffleWriteBytes() for s in sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(stages))
+
+
+def test_words_are_indexed_where_their_texts_lie(spark, tmp_path, monkeypatch):
+    """Segments of few words, texts cut into stretches: the same answers as of one segment, and no posting is moved or written twice to build them."""
+    monkeypatch.setattr(indexes, "ROWS", 5)
+    monkeypatch.setattr(indexes, "STRETCH", 20)
+    rows, df = texts(spark)
+    none = indexes.TextIndex.build(df.limit(0), "id", "t", str(tmp_path / "none"))
+    assert none.phrase("the").collect() == []
+    files = str(tmp_path / "input")
+    df.write.parquet(files)
+    before = _shuffled(spark)
+    small = indexes.TextIndex.build(spark.read.parquet(files), "id", "t", str(tmp_path / "small"), 4, segment=100)
+    moved = _shuffled(spark) - before
+    assert moved < 0.5 * sum(f.stat().st_size for f in (tmp_path / "small" / "postings").glob("*.parquet"))
+    one = indexes.TextIndex.build(spark.read.parquet(files), "id", "t", str(tmp_path / "one"))
+    assert small.postings.where("term = 'the' AND block = 0").count() > 50 > one.postings.where("term = 'the'").count()
+    assert small.terms.count() == one.terms.count() == small.terms.select("term").distinct().count()
+    for said in ("the the", "alpha * gamma", "al* the"):
+        assert sorted(small.phrase(said).collect()) == sorted(one.phrase(said).collect())
