@@ -152,3 +152,15 @@ def test_words_are_indexed_where_their_texts_lie(spark, tmp_path, monkeypatch):
     assert small.terms.count() == one.terms.count() == small.terms.select("term").distinct().count()
     for said in ("the the", "alpha * gamma", "al* the"):
         assert sorted(small.phrase(said).collect()) == sorted(one.phrase(said).collect())
+
+
+def test_top_over_segments(spark, tmp_path):
+    """The bound for blocks comes from all segments' first blocks together, each of which holds fewer texts than are asked for."""
+    rows, df = texts(spark)
+    index = indexes.TextIndex.build(df, "id", "t", str(tmp_path / "i"), 4, segment=100)
+    assert index.postings.where("term = 'the' AND block = 0").count() > 50
+    for terms, n in ((["rare", "the"], 12), (["alpha", "beta", "the"], 5), (["the"], 30)):
+        want = retrieval.keyword_pool(df.na.fill(""), terms, "id", "t", n).collect()
+        assert [(r.key, round(r.score, 9)) for r in index.top(terms, n).collect()] == [(r.id, round(r.score, 9)) for r in want], terms
+    none = indexes.TextIndex.build(df.limit(0), "id", "t", str(tmp_path / "none"))
+    assert none.top(["the"]).collect() == []
