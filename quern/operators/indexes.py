@@ -23,9 +23,10 @@ CELLS, FITTED, BLOCK = 4096, 100_000, 1024
 #: Vectors and queries, as expected of a hash, that a task compares at once, and queries of one product of matrices.
 PART, ASKED, STRIP = 8192, 8192, 256
 #: A word: letters and digits; what parts words. Characters whose words are listed at once, words of a segment, which a task
-#: holds, and rows of postings that are handed on at once.
+#: holds, and rows of postings that are handed on at once. In a segment, LETTERS characters weigh a word at least, and a text LIGHTEST words.
 _WORD, _GAP = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
 STRETCH, SEGMENT, ROWS = 1 << 20, 1 << 21, 1 << 12
+LETTERS, LIGHTEST = 16, 16
 
 
 class VectorIndex:
@@ -256,17 +257,18 @@ def _inverted(words: list[pa.Array], keys: list[pa.Array], sizes: list[int], mea
 
 
 def _segments(mean: float, block: int, most: int):
-    """Postings of a task's texts, a segment of about most words after another; a text lies in one segment."""
+    """Postings of a task's texts, a segment of about most words after another, of fewer where words are long or texts short; a text lies in one segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, keys, sizes, held = [], [], [], 0
         for batch in batches:
             since = 0
             for i in range(len(batch)):
-                said = [pa.array(w, pa.string()) for w in _words(batch.column("text")[i].as_py())]
+                text = batch.column("text")[i].as_py()
+                said = [pa.array(w, pa.string()) for w in _words(text)]
                 words += said
                 sizes.append(sum(map(len, said)))
-                held += sizes[-1]
+                held += max(sizes[-1], len(text) // LETTERS, LIGHTEST)
                 if held >= most:
                     yield from _inverted(words, [*keys, batch.column("key").slice(since, i + 1 - since)], sizes, mean, block)
                     words, keys, sizes, held, since = [], [], [], 0, i + 1

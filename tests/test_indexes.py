@@ -164,3 +164,18 @@ def test_top_over_segments(spark, tmp_path):
         assert [(r.key, round(r.score, 9)) for r in index.top(terms, n).collect()] == [(r.id, round(r.score, 9)) for r in want], terms
     none = indexes.TextIndex.build(df.limit(0), "id", "t", str(tmp_path / "none"))
     assert none.top(["the"]).collect() == []
+
+
+def test_segments_end_with_long_words_and_short_texts(spark, tmp_path):
+    """What a task holds of a segment is bounded by characters and texts too, not by words alone; answers stay those of a whole scan."""
+    long, short = [(i, f"{i:03d}" * 200) for i in range(40)], [(100 + i, "the" if i % 2 else "") for i in range(300)]
+    df = spark.createDataFrame([*long, *short, (1000, "the the 001")], "id long, t string").repartition(1)
+    index = indexes.TextIndex.build(df, "id", "t", str(tmp_path / "i"), segment=320)
+    # one task: 40 texts of 600 characters weigh 37 words each, 301 short ones 16 each
+    assert index.postings.where("length(term) = 600").count() == 40
+    most = index.postings.select(F.size("entries").alias("n")).agg(F.max("n")).first()[0]
+    assert most <= 20
+    for terms in (["the", "001"], ["007" * 200, "the"]):
+        want = retrieval.keyword_pool(df, terms, "id", "t", 5).collect()
+        assert [(r.key, round(r.score, 9)) for r in index.top(terms, 5).collect()] == [(r.id, round(r.score, 9)) for r in want], terms
+    assert {r.key: r.n for r in index.phrase("the").collect()} == {**{100 + i: 1 for i in range(1, 300, 2)}, 1000: 2}
